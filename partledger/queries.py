@@ -145,7 +145,7 @@ def csv_folder_listing(p):
 def monthly_split(p):
     path = shared_dir(p.spark, "monthly")
     files.write_snapshots(p.raw("raw_bom"), path, files.month_snapshot(F.col("last_modified"), "plm_bom"))
-    rows = p.spark.read.schema(schemas.PLM_BOM.add("snapshot", "string")).options(**files.CSV_DIALECT).csv(path)
+    rows = p.spark.read.schema(schemas.PLM_BOM + ", snapshot string").options(**files.CSV_DIALECT).csv(path)
     return rows.groupBy("snapshot").agg(F.count(F.lit(1)).alias("n"), F.sum("quantity").alias("pieces"))
 
 

@@ -1,52 +1,46 @@
-"""Fixed schemas, keys and partition columns per table."""
+"""Fixed schemas (as DDL text, which readers and createDataFrame take), keys and partition columns per table."""
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import types as T
 
-
-def _schema(ddl: str) -> T.StructType:
-    return T.StructType.fromDDL(ddl)
-
-
-CAD_CSV = _schema(
+CAD_CSV = (
     "part_id string, part_name string, material string, weight_kg string, designer string, created_date string"
 )
-PLM_REVISIONS = _schema(
+PLM_REVISIONS = (
     "part_id string, revision string, status string, effective_from date, effective_to date, last_modified timestamp"
 )
-PLM_BOM = _schema("assembly_id string, part_id string, quantity int, last_modified timestamp")
-ERP_COST = _schema("part_id string, supplier_name string, cost string, currency string, last_updated date")
+PLM_BOM = "assembly_id string, part_id string, quantity int, last_modified timestamp"
+ERP_COST = "part_id string, supplier_name string, cost string, currency string, last_updated date"
 
 # Control tables
-WATERMARK = _schema("table_name string, last_watermark string, merge_key array<string>, adls_path string")
-CDC_POSITION = _schema("table_name string, last_lsn bigint")
-FILE_LEDGER = _schema("file_name string, status string, processed_time timestamp")
-RUN_STATUS = _schema(
+WATERMARK = "table_name string, last_watermark string, merge_key array<string>, adls_path string"
+CDC_POSITION = "table_name string, last_lsn bigint"
+FILE_LEDGER = "file_name string, status string, processed_time timestamp"
+RUN_STATUS = (
     "pipeline_name string, run_id string, status string, start_time timestamp, end_time timestamp, "
     "last_updated timestamp"
 )
 
 # Governance tables
-RUN_LOG = _schema(
+RUN_LOG = (
     "run_id string, run_date date, layer string, table_name string, status string, rows_read bigint, "
     "rows_written bigint, rows_quarantined bigint, duration_seconds double, error_message string, logged_at timestamp"
 )
-DQ_METRICS = _schema(
+DQ_METRICS = (
     "run_id string, run_date date, layer string, table_name string, metric_name string, metric_value double, "
     "threshold double, passed boolean, logged_at timestamp"
 )
-TABLE_HEALTH = _schema(
+TABLE_HEALTH = (
     "run_date date, layer string, table_name string, row_count bigint, size_bytes bigint, num_files bigint, "
     "last_modified timestamp, logged_at timestamp"
 )
-SCHEMA_BASELINE = _schema(
+SCHEMA_BASELINE = (
     "table_name string, column_name string, data_type string, is_nullable boolean, baseline_date date, "
     "logged_at timestamp"
 )
-ALERT_LOG = _schema(
+ALERT_LOG = (
     "run_id string, run_date date, alert_type string, severity string, table_name string, metric_name string, "
     "metric_value double, threshold double, message string, logged_at timestamp"
 )

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+from pyspark.sql.types import StructType
 
 from partledger.context import RunContext
 from partledger.functions.columns import null_safe
@@ -62,7 +62,7 @@ class Lake:
             df = upsert(self.read(spec.id), df, spec.keys)
         return self.publish(df, spec.id, ctx, spec.partition_by, spec.cluster_by)
 
-    def ensure(self, table: str, schema: T.StructType) -> None:
+    def ensure(self, table: str, schema: str | StructType) -> None:
         """Create an empty append table with a fixed schema unless it exists."""
         if not self.exists(table):
             self._append(self.spark.createDataFrame([], schema), table, "created")

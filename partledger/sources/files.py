@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+from pyspark.sql.types import StructType
 
 from partledger.context import EPOCH_START
 from partledger.functions.columns import file_date
@@ -12,14 +12,14 @@ from partledger.functions.columns import file_date
 CSV_DIALECT = {"header": "true", "sep": ",", "quote": '"', "escape": "\\", "mode": "PERMISSIVE"}
 
 
-def csv_tree(spark: SparkSession, path: str, schema: T.StructType, pattern: str = "*.csv") -> DataFrame:
+def csv_tree(spark: SparkSession, path: str, schema: str | StructType, pattern: str = "*.csv") -> DataFrame:
     """All CSV files below a folder, with the file of every row. The schema is given, never inferred."""
     reader = spark.read.schema(schema).options(**CSV_DIALECT)
     reader = reader.option("recursiveFileLookup", "true").option("pathGlobFilter", pattern)
     return reader.csv(path).select("*", F.col("_metadata.file_path").alias("_source_file"))
 
 
-def parquet_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+def parquet_table(spark: SparkSession, path: str, schema: str | StructType | None = None) -> DataFrame:
     reader = spark.read if schema is None else spark.read.schema(schema)
     return reader.parquet(path)
 

@@ -10,7 +10,7 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+from pyspark.sql.types import StructType
 from pyspark.sql.streaming import StreamingQuery
 
 from partledger.operators.dedup import latest_per_key
@@ -24,13 +24,13 @@ def finish(query: StreamingQuery) -> None:
     query.awaitTermination()
 
 
-def csv_arrivals(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+def csv_arrivals(spark: SparkSession, path: str, schema: str | StructType) -> DataFrame:
     """Stream of CSV files as they arrive below a folder, with the file of each row."""
     reader = spark.readStream.schema(schema).options(**CSV_DIALECT).option("recursiveFileLookup", "true")
     return reader.option("pathGlobFilter", "*.csv").csv(path).select("*", F.col("_metadata.file_path").alias("_source_file"))
 
 
-def parquet_arrivals(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+def parquet_arrivals(spark: SparkSession, path: str, schema: str | StructType) -> DataFrame:
     return spark.readStream.schema(schema).parquet(path)
 
 
