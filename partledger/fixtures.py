@@ -8,12 +8,14 @@ Every row of a source table yields rows here; nothing is sampled or cut.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from partledger.context import RunContext
+from partledger.sources import files
 
 PLANT = RunContext("run-001", datetime(2002, 1, 1, 6, 0, 0))
 DESIGN = RunContext("run-002", datetime(2024, 2, 1, 6, 0, 0))
@@ -131,18 +133,20 @@ GIVEN = ("lineitem", "supplier", "nation", "part", "events", "orders", "customer
 
 
 def given(spark: SparkSession, folder: str, table: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{table}.parquet")
+    return files.spread(spark.read.parquet(f"{folder}/{table}.parquet"))
 
 
-def raw(spark: SparkSession, folder: str, name: str) -> DataFrame:
+def derive(spark: SparkSession, name: str, table: Callable[[str], DataFrame]) -> DataFrame:
     text = RAW[name]
-    tables = {t: given(spark, folder, t) for t in GIVEN if "{" + t + "}" in text}
-    return spark.sql(text, **tables)
+    return spark.sql(text, **{t: table(t) for t in GIVEN if "{" + t + "}" in text})
+
+
+def raw(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    return derive(spark, name, lambda t: given(spark, folder, t))
 
 
-def nested_audit(spark: SparkSession, folder: str) -> DataFrame:
+def nested_audit(flat: DataFrame) -> DataFrame:
     """The audit log in its nested source shape."""
-    flat = raw(spark, folder, "raw_audit")
     return flat.select(
         "event_date", "event_time", "service_name", "user_identity", "action_name",
         F.struct("full_name_arg").alias("request_params"), F.struct("status_code").alias("response"))

@@ -8,10 +8,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from partledger.operators import skew
+from partledger.operators.skew import HotKeys
 
 
 def version_chain(df: DataFrame, key: str, start: str, tracked: Sequence[str], tie: Sequence[str] = (),
-                  group_rows: int | None = None) -> DataFrame:
+                  hot: HotKeys | None = None) -> DataFrame:
     """Type-2 history: one row per change of ``tracked``, valid from ``start`` until the next change.
 
     Consecutive rows with the same tracked values become one version. Output: key, tracked…,
@@ -19,15 +20,16 @@ def version_chain(df: DataFrame, key: str, start: str, tracked: Sequence[str], t
     """
     order = [start, *tie]
     marked = df.withColumn("_state", F.struct(*tracked))
-    seen = skew.ordered(marked, [key], order, lag={"_before": "_state"}, group_rows=group_rows)
+    seen = skew.ordered(marked, [key], order, lag={"_before": "_state"}, hot=hot)
     changes = seen.where(~F.col("_state").eqNullSafe(F.col("_before")))
-    closed = skew.ordered(changes, [key], order, lead={"valid_to": start}, group_rows=group_rows)
+    closed = skew.ordered(changes, [key], order, lead={"valid_to": start}, hot=hot)
     return closed.select(
         key, *tracked, F.col(start).alias("valid_from"), "valid_to", F.col("valid_to").isNull().alias("is_current")
     )
 
 
-def apply_changes(dim: DataFrame, changes: DataFrame, key: str, tracked: Sequence[str]) -> DataFrame:
+def apply_changes(dim: DataFrame, changes: DataFrame, key: str, tracked: Sequence[str],
+                  hot: HotKeys | None = None) -> DataFrame:
     """Bring a type-2 dimension up to date with new versions (key, tracked…, valid_from).
 
     Only keys that changed are rebuilt, from all their versions, so a late version lands in its place
@@ -37,7 +39,7 @@ def apply_changes(dim: DataFrame, changes: DataFrame, key: str, tracked: Sequenc
     cols = [key, *tracked, "valid_from"]
     kept = dim.join(touched, key, "left_anti")
     events = dim.join(touched, key, "left_semi").select(*cols).unionByName(changes.select(*cols)).distinct()
-    return kept.unionByName(version_chain(events, key, "valid_from", tracked, tie=tracked).select(*kept.columns))
+    return kept.unionByName(version_chain(events, key, "valid_from", tracked, tie=tracked, hot=hot).select(*kept.columns))
 
 
 def active_on(df: DataFrame, day: Column, start: str, end: str) -> DataFrame:
@@ -46,7 +48,7 @@ def active_on(df: DataFrame, day: Column, start: str, end: str) -> DataFrame:
 
 
 def as_of(facts: DataFrame, versions: DataFrame, key: str, at: str, start: str, take: Sequence[str],
-          end: str | None = None, tie: Sequence[str] = (), group_rows: int | None = None) -> DataFrame:
+          end: str | None = None, tie: Sequence[str] = (), hot: HotKeys | None = None) -> DataFrame:
     """For each fact the version in force at its time, as ``take`` columns (null when there is none).
 
     Facts and versions are laid on one time line per key and the last version seen is carried
@@ -64,7 +66,7 @@ def as_of(facts: DataFrame, versions: DataFrame, key: str, at: str, start: str,
         F.xxhash64(*facts.columns).alias("_content"), fact_body.alias("_fact"))
     line = marks.unionByName(probes, allowMissingColumns=True)
     solved = skew.ordered(line, [key], ["_at", "_kind", "_tie", "_content"], carry={"_found": "_version"},
-                          group_rows=group_rows).where("_kind = 1")
+                          hot=hot).where("_kind = 1")
     found = F.col("_found")
     if end:
         valid = F.col("_at").isNotNull() & (found["_until"].isNull() | (F.col("_at") < found["_until"]))

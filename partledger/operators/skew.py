@@ -3,11 +3,15 @@
 Catalyst splits skewed join sides only where both sides arrive straight from an exchange, and it
 never splits a window group. The operators here treat the few keys above a row limit on their own
 and leave every other key to the ordinary plan. No row is dropped on either path.
+
+Hot keys are found once per table (``find``), on one column of the stored table, and handed to every
+operator that joins or orders by that key.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -17,38 +21,68 @@ from partledger.session import shared_dir
 
 # A group of up to this many rows is ordinary work for one task.
 GROUP_ROWS = 2_000_000
-# Plans whose estimated size is below this cannot hold a group that hurts: no counting pass for them.
-SMALL_PLAN_BYTES = 512 * 1024 * 1024
+# Inputs of fewer bytes than this cannot hold a group that hurts: no counting pass for them.
+SMALL_INPUT_BYTES = 256 * 1024 * 1024
 # At most this many keys can be above the limit, whatever the size of the table.
 MAX_HOT_KEYS = 20_000
 # Rows with a null key match nothing, so in a salted join they may go anywhere.
 NULL_KEY_WAYS = 200
 
 
-def _estimated_bytes(df: DataFrame) -> int:
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+@dataclass(frozen=True)
+class HotKeys:
+    """The keys above the limit: ``rows`` holds the key columns and ``_rows``, their row counts."""
+
+    rows: DataFrame
+    keys: tuple[str, ...]
+    limit: int
+
+    @property
+    def total(self) -> int:
+        return self.rows.agg(F.sum("_rows")).first()[0]
+
 
+def _input_bytes(df: DataFrame) -> int:
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
 
-def hot_keys(df: DataFrame, keys: Sequence[str], group_rows: int | None = None) -> DataFrame | None:
-    """Keys with more rows than the limit, as a small frame ``keys…, _rows``; None when there are none.
 
-    The limit grows with the table (rows / MAX_HOT_KEYS at least), so the frame never has more than
-    MAX_HOT_KEYS rows and may be broadcast. The count is combined before its exchange.
+def find(df: DataFrame, keys: Sequence[str], group_rows: int | None = None) -> HotKeys | None:
+    """Keys with more rows than the limit; None when there are none or the input is small.
+
+    The limit grows with the table (rows / MAX_HOT_KEYS at least), so there are never more than
+    MAX_HOT_KEYS of them and they may be broadcast. Counts are combined before their exchange.
     """
-    if group_rows is None:
-        if _estimated_bytes(df) < SMALL_PLAN_BYTES:
-            return None
-        limit = GROUP_ROWS
-    else:
-        limit = group_rows
+    if group_rows is None and _input_bytes(df) < SMALL_INPUT_BYTES:
+        return None
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-    if group_rows is None:
-        total = df.count()
-        limit = max(limit, total // MAX_HOT_KEYS)
+    limit = group_rows or max(GROUP_ROWS, df.count() // MAX_HOT_KEYS)
     found = counts.where(F.col("_rows") > limit).collect()
     if not found:
         return None
-    return df.sparkSession.createDataFrame(found, counts.schema)
+    return HotKeys(df.sparkSession.createDataFrame(found, counts.schema), tuple(keys), limit)
+
+
+@dataclass(frozen=True)
+class Hot:
+    """Hot keys of the source tables, as far as they were looked for."""
+
+    bom_parts: HotKeys | None = None
+    assemblies: HotKeys | None = None
+    cost_parts: HotKeys | None = None
+    revision_parts: HotKeys | None = None
+
+    @staticmethod
+    def measure(bom: DataFrame, cost: DataFrame, revisions: DataFrame, group_rows: int | None = None) -> Hot:
+        """``part_id`` and ``assembly_id`` as they are after trimming."""
+        def trimmed(df: DataFrame, column: str) -> HotKeys | None:
+            return find(df.select(F.trim(column).alias(column)), [column], group_rows)
+
+        return Hot(trimmed(bom, "part_id"), trimmed(bom, "assembly_id"), trimmed(cost, "part_id"),
+                   trimmed(revisions, "part_id"))
+
+
+EVEN = Hot()
 
 
 def _matches(df: DataFrame, small: DataFrame, keys: Sequence[str]) -> Column:
@@ -59,29 +93,20 @@ def _matches(df: DataFrame, small: DataFrame, keys: Sequence[str]) -> Column:
 
 
 def join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "left",
-         group_rows: int | None = None) -> DataFrame:
-    """Equi-join whose hot left keys are spread over several tasks.
+         hot: HotKeys | None = None) -> DataFrame:
+    """Equi-join whose hot left keys (all or some of the join columns) are spread over several tasks.
 
     Rows of a hot key get a salt from their content; the matching right rows are repeated once per
     salt. All other rows carry salt 0, so the result equals the plain join.
     """
-    hot = hot_keys(left, keys, group_rows)
     if hot is None:
         return left.join(right, list(keys), how)
-    limit = group_rows or GROUP_ROWS
-    spread = hot.select(*keys, F.ceil(F.col("_rows") / limit).cast("int").alias("_ways"))
+    spread = F.broadcast(hot.rows.select(*hot.keys, F.ceil(F.col("_rows") / hot.limit).cast("int").alias("_ways")))
     ways = F.coalesce(F.col("_ways"), F.lit(1))
-    salted_left = (
-        left.join(F.broadcast(spread), list(keys), "left")
-        .withColumn("_salt", F.pmod(F.xxhash64(*left.columns), F.when(any_null(keys), NULL_KEY_WAYS).otherwise(ways))
-                    .cast("int"))
-        .drop("_ways")
-    )
-    salted_right = (
-        right.join(F.broadcast(spread), list(keys), "left")
-        .withColumn("_salt", F.explode(F.sequence(F.lit(0), ways - 1)))
-        .drop("_ways")
-    )
+    salt = F.pmod(F.xxhash64(*left.columns), F.when(any_null(keys), NULL_KEY_WAYS).otherwise(ways)).cast("int")
+    salted_left = left.join(spread, list(hot.keys), "left").withColumn("_salt", salt).drop("_ways")
+    salted_right = right.join(spread, list(hot.keys), "left").withColumn(
+        "_salt", F.explode(F.sequence(F.lit(0), ways - 1))).drop("_ways")
     return salted_left.join(salted_right, [*keys, "_salt"], how).drop("_salt")
 
 
@@ -94,7 +119,7 @@ def ordered(
     lag: Mapping[str, str] | None = None,
     carry: Mapping[str, str] | None = None,
     rank: tuple[str, Sequence[str]] | None = None,
-    group_rows: int | None = None,
+    hot: HotKeys | None = None,
 ) -> DataFrame:
     """Add ordered-window columns per key: next value, previous value, last known value, rank.
 
@@ -105,14 +130,12 @@ def ordered(
     one small row per range.
     """
     lead, lag, carry = dict(lead or {}), dict(lag or {}), dict(carry or {})
-    hot = hot_keys(df, keys, group_rows)
     if hot is None:
         return _plain(df, keys, order, lead, lag, carry, rank)
-    hot_only = F.broadcast(hot.select(*keys))
+    hot_only = F.broadcast(hot.rows.select(*keys))
     cold = df.join(hot_only, _matches(df, hot_only, keys), "left_anti")
     picked = df.join(hot_only, _matches(df, hot_only, keys), "left_semi")
-    rows = hot.agg(F.sum("_rows")).first()[0]
-    ranged = _cut_into_ranges(picked, keys, order, max(2, -(-rows // (group_rows or GROUP_ROWS)) * 2))
+    ranged = _cut_into_ranges(picked, keys, order, max(2, -(-hot.total // hot.limit) * 2))
     return _plain(cold, keys, order, lead, lag, carry, rank).unionByName(
         _by_range(ranged, keys, order, lead, lag, carry, rank)
     )

@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 from partledger.context import CURRENCIES, RunContext
 from partledger.functions.columns import banded, mean, money, percent
 from partledger.operators import skew
-from partledger.plans.silver import current_revision, part_cost_view
+from partledger.operators.skew import EVEN, Hot
+from partledger.plans.silver import VIEW_COLUMNS, current_revision, part_cost_view
 
 
 def stamp(df: DataFrame, ctx: RunContext) -> DataFrame:
@@ -66,23 +67,27 @@ def dim_supplier(cost: DataFrame) -> DataFrame:
 
 # Fact -----------------------------------------------------------------------------------------------
 
-def price_position(cost: DataFrame) -> DataFrame:
+def price_position(cost: DataFrame, hot: Hot = EVEN) -> DataFrame:
     """Price list with each price set against the cheapest of its part and currency (ties are all cheapest)."""
     floor = cost.groupBy("part_id", "currency").agg(F.min("cost").alias("_floor"))
-    return skew.join(cost, floor, ["part_id", "currency"]).select(
+    return skew.join(cost, floor, ["part_id", "currency"], hot=hot.cost_parts).select(
         *cost.columns, (F.col("cost") == F.col("_floor")).alias("is_lowest_cost_supplier"),
         (F.col("cost") - F.col("_floor")).cast("decimal(18,4)").alias("cost_vs_cheapest"))
 
 
-def fact_bom_cost(bom: DataFrame, revisions: DataFrame, cost: DataFrame) -> DataFrame:
-    """One row per (assembly, part, supplier); one row without supplier where a part has no price."""
-    rows = part_cost_view(bom, revisions, price_position(cost))
+def fact_bom_cost(bom: DataFrame, revisions: DataFrame, cost: DataFrame, hot: Hot = EVEN) -> DataFrame:
+    """One row per (assembly, part, supplier); one row without supplier where a part has no price.
+
+    Further columns of ``bom`` are passed through.
+    """
+    rows = part_cost_view(bom, revisions, price_position(cost, hot), hot)
+    more = rows.columns[len(VIEW_COLUMNS) + 3:-2]
     return rows.select(
         "assembly_id", "part_id", "supplier_name", "revision", "status", "quantity", "cost", "currency",
         "total_assembly_cost", "effective_from", "effective_to",
         F.col("has_active_revision").alias("is_current_revision"), "has_active_revision",
         "cost_data_available", "revision_data_available",
-        F.coalesce("is_lowest_cost_supplier", F.lit(False)).alias("is_lowest_cost_supplier"), "cost_vs_cheapest")
+        F.coalesce("is_lowest_cost_supplier", F.lit(False)).alias("is_lowest_cost_supplier"), "cost_vs_cheapest", *more)
 
 
 # Assembly totals ------------------------------------------------------------------------------------
@@ -96,14 +101,14 @@ def part_rates(cost: DataFrame, currencies: list[str]) -> DataFrame:
     return cost.groupBy("part_id").agg(*aggregates)
 
 
-def assembly_rollup(bom: DataFrame, cost: DataFrame, currencies: list[str] = CURRENCIES) -> DataFrame:
+def assembly_rollup(bom: DataFrame, cost: DataFrame, currencies: list[str] = CURRENCIES, hot: Hot = EVEN) -> DataFrame:
     """Per assembly: part counts, and totals per currency as a map keyed by currency.
 
     Prices are reduced to one row per part before they meet the BOM, so the join adds columns, not
     rows, and one combined aggregate on the assembly follows it.
     """
     lines = skew.join(bom.select("assembly_id", "part_id", "quantity", "has_active_revision"),
-                      part_rates(cost, currencies), ["part_id"])
+                      part_rates(cost, currencies), ["part_id"], hot=hot.bom_parts)
     qty = F.col("quantity")
     priced = F.coalesce(*[F.col(f"low_{cur}") for cur in currencies]).isNotNull()
     aggregates = [
@@ -137,9 +142,9 @@ def assembly_rollup(bom: DataFrame, cost: DataFrame, currencies: list[str] = CUR
             t["currency"], F.struct(t["low"].alias("low"), t["mean"].alias("mean"))))).alias("totals"))
 
 
-def agg_assembly_cost(bom: DataFrame, cost: DataFrame) -> DataFrame:
+def agg_assembly_cost(bom: DataFrame, cost: DataFrame, hot: Hot = EVEN) -> DataFrame:
     """One row per (assembly, currency); an assembly without any price keeps one row."""
-    rollup = assembly_rollup(bom, cost)
+    rollup = assembly_rollup(bom, cost, hot=hot)
     return rollup.select("*", F.explode_outer("totals").alias("currency", "t")).select(
         "assembly_id", "currency", F.col("t.low").alias("min_total_assembly_cost"),
         F.col("t.mean").alias("avg_total_assembly_cost"), "total_parts_count", "parts_with_cost",
@@ -149,14 +154,14 @@ def agg_assembly_cost(bom: DataFrame, cost: DataFrame) -> DataFrame:
 
 # Supplier totals ------------------------------------------------------------------------------------
 
-def agg_supplier_cost(bom: DataFrame, cost: DataFrame) -> DataFrame:
+def agg_supplier_cost(bom: DataFrame, cost: DataFrame, hot: Hot = EVEN) -> DataFrame:
     """Spend and coverage per (supplier, currency), and one row for lines no supplier prices.
 
     Sums need only the BOM totals per part; the BOM × supplier rows are formed for the distinct count
     of assemblies alone, as two narrow columns.
     """
     per_part = bom.groupBy("part_id").agg(F.count(F.lit(1)).alias("lines"), F.sum("quantity").alias("qty"))
-    offers = price_position(cost).select("part_id", "supplier_name", "currency", "cost", "is_lowest_cost_supplier")
+    offers = price_position(cost, hot).select("part_id", "supplier_name", "currency", "cost", "is_lowest_cost_supplier")
     used = per_part.join(offers, "part_id", "left")
     spend = F.col("cost") * F.col("qty")
     lines = F.sum("lines")
@@ -168,7 +173,7 @@ def agg_supplier_cost(bom: DataFrame, cost: DataFrame) -> DataFrame:
         F.max("cost").alias("max_unit_cost"),
         money(F.sum(F.when(F.col("is_lowest_cost_supplier"), spend).otherwise(0))).alias("lowest_cost_spend"))
     covered = skew.join(bom.select("part_id", "assembly_id"),
-                        offers.select("part_id", "supplier_name", "currency"), ["part_id"])
+                        offers.select("part_id", "supplier_name", "currency"), ["part_id"], hot=hot.bom_parts)
     reach = covered.groupBy("supplier_name", "currency").agg(
         F.count_distinct("assembly_id").alias("assemblies_covered"))
     same = sums["supplier_name"].eqNullSafe(reach["supplier_name"]) & sums["currency"].eqNullSafe(reach["currency"])
@@ -186,13 +191,13 @@ def agg_supplier_cost(bom: DataFrame, cost: DataFrame) -> DataFrame:
 
 # Revision history and CAD activity --------------------------------------------------------------------
 
-def agg_part_revision_history(revisions: DataFrame, group_rows: int | None = None) -> DataFrame:
+def agg_part_revision_history(revisions: DataFrame, hot: Hot = EVEN) -> DataFrame:
     rows = revisions.select(
         "part_id", "revision", "status", "effective_from", "effective_to", "is_current_revision",
         "revision_duration_days", "last_modified")
     chained = skew.ordered(
         rows, ["part_id"], ["effective_from", "revision"], lead={"next_revision": "revision"},
-        rank=("revision_sequence", ["effective_from"]), group_rows=group_rows)
+        rank=("revision_sequence", ["effective_from"]), hot=hot.revision_parts)
     return chained.select(
         "*", F.datediff("effective_to", "effective_from").alias("days_to_next_revision"),
         banded([
@@ -218,13 +223,13 @@ def agg_cad_activity(cad: DataFrame, processed_at: str = "_silver_processed_at")
 
 # Impact ---------------------------------------------------------------------------------------------
 
-def revision_impact(revisions: DataFrame, bom: DataFrame, cost: DataFrame, since: str) -> DataFrame:
+def revision_impact(revisions: DataFrame, bom: DataFrame, cost: DataFrame, since: str, hot: Hot = EVEN) -> DataFrame:
     """Assemblies touched by parts revised after a date: how many parts, how many pieces, at what cost."""
     changed = revisions.where(F.col("last_modified") > F.lit(since).cast("timestamp")).groupBy("part_id").agg(
         F.max("last_modified").alias("revised_at"))
     main = supplier_stats(cost).select("part_id", "min_cost", "currency")
     parts = changed.join(main, "part_id", "left")
-    lines = skew.join(bom.select("assembly_id", "part_id", "quantity"), parts, ["part_id"], "inner")
+    lines = skew.join(bom.select("assembly_id", "part_id", "quantity"), parts, ["part_id"], "inner", hot.bom_parts)
     return lines.groupBy("assembly_id", "currency").agg(
         F.count("part_id").alias("revised_parts"), F.sum("quantity").alias("pieces"),
         money(F.sum(F.col("min_cost") * F.col("quantity"))).alias("cost_at_lowest_price"),

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from partledger import schemas
 from partledger.context import RunContext
 from partledger.operators.rules import reject_ledger
+from partledger.operators.skew import EVEN, Hot
 from partledger.plans import bronze, gold, governance, serving, silver
 from partledger.schemas import TABLES
 from partledger.sinks import Lake
@@ -29,6 +30,7 @@ class Run:
     def __init__(self, spark: SparkSession, lake: Lake, ctx: RunContext):
         self.spark, self.lake, self.ctx = spark, lake, ctx
         self.entries: list[dict] = []
+        self.hot = EVEN
 
     def save(self, table: str, df: DataFrame) -> DataFrame:
         started = time.monotonic()
@@ -55,16 +57,17 @@ class Run:
     def silver(self) -> None:
         lake, ctx = self.lake, self.ctx
         raw = {n: lake.read(f"bronze.{n}") for n in ("cad_metadata", "plm_revisions", "plm_bom", "erp_cost")}
+        self.hot = Hot.measure(raw["plm_bom"], raw["erp_cost"], raw["plm_revisions"])
 
         def save(name: str, df: DataFrame) -> DataFrame:
             return self.save(f"silver.{name}", silver.stamp(df, f"bronze.{name}", ctx))
 
         save("cad_metadata", silver.cad_metadata(raw["cad_metadata"]))
         revisions = save("plm_revisions", silver.plm_revisions(raw["plm_revisions"], ctx))
-        bom = save("plm_bom", silver.plm_bom(raw["plm_bom"], revisions))
+        bom = save("plm_bom", silver.plm_bom(raw["plm_bom"], revisions, self.hot))
         cost = save("erp_cost", silver.erp_cost(raw["erp_cost"]))
         priced = cost.select("part_id", "supplier_name", "cost", "currency", "last_updated")
-        save("part_cost_view", silver.part_cost_view(bom, revisions, priced))
+        save("part_cost_view", silver.part_cost_view(bom, revisions, priced, self.hot))
         for name, judge in (("cad_metadata", silver.judge_cad), ("plm_revisions", silver.judge_revisions),
                             ("plm_bom", silver.judge_bom), ("erp_cost", silver.judge_cost)):
             self.reject(name, judge(raw[name]).rejected)
@@ -76,10 +79,10 @@ class Run:
         tables = {
             "dim_part": gold.dim_part(revisions, cost),
             "dim_supplier": gold.dim_supplier(cost),
-            "fact_bom_cost": gold.fact_bom_cost(bom, revisions, cost),
-            "agg_assembly_cost": gold.agg_assembly_cost(bom, cost),
-            "agg_supplier_cost": gold.agg_supplier_cost(bom, cost),
-            "agg_part_revision_history": gold.agg_part_revision_history(revisions),
+            "fact_bom_cost": gold.fact_bom_cost(bom, revisions, cost, self.hot),
+            "agg_assembly_cost": gold.agg_assembly_cost(bom, cost, self.hot),
+            "agg_supplier_cost": gold.agg_supplier_cost(bom, cost, self.hot),
+            "agg_part_revision_history": gold.agg_part_revision_history(revisions, self.hot),
             "agg_cad_activity": gold.agg_cad_activity(cad),
         }
         for name, df in tables.items():
@@ -90,18 +93,21 @@ class Run:
         g = {n: lake.read(f"gold.{n}") for n in (
             "dim_part", "dim_supplier", "fact_bom_cost", "agg_supplier_cost", "agg_part_revision_history",
             "agg_cad_activity")}
-        cost = lake.read("silver.erp_cost")
-        rollup = gold.assembly_rollup(lake.read("silver.plm_bom"), cost)
+        revisions, bom = lake.read("silver.plm_revisions"), lake.read("silver.plm_bom")
+        cost = lake.read("silver.erp_cost").select("part_id", "supplier_name", "cost", "currency", "last_updated")
+        rollup = gold.assembly_rollup(bom, cost, hot=self.hot)
+        lines = serving.with_assembly(bom, rollup, self.hot)
         tables = {
-            "mart_assembly_cost": serving.mart_assembly_cost(g["fact_bom_cost"], rollup, g["dim_part"], ctx),
+            "mart_assembly_cost": serving.mart_assembly_cost(gold.fact_bom_cost(
+                serving.with_part(lines, g["dim_part"], self.hot), revisions, cost, self.hot), ctx),
             "mart_supplier_scorecard": serving.mart_supplier_scorecard(g["agg_supplier_cost"], g["dim_supplier"], ctx),
-            "mart_open_revisions": serving.mart_open_revisions(g["agg_part_revision_history"], g["dim_part"], ctx),
-            "api_part_cost_lookup": serving.api_part_cost_lookup(g["dim_part"], cost, ctx),
+            "mart_open_revisions": serving.mart_open_revisions(g["agg_part_revision_history"], g["dim_part"], ctx, self.hot),
+            "api_part_cost_lookup": serving.api_part_cost_lookup(g["dim_part"], cost, ctx, hot=self.hot),
         }
         for name, df in tables.items():
             self.save(f"serving.{name}", serving.stamp(df, ctx))
         views = {
-            "vw_assembly_cost_dashboard": serving.assembly_cost_dashboard(g["fact_bom_cost"], rollup),
+            "vw_assembly_cost_dashboard": serving.assembly_cost_dashboard(serving.with_assembly(g["fact_bom_cost"], rollup, self.hot)),
             "vw_part_catalogue": serving.part_catalogue(g["dim_part"]),
             "vw_supplier_scorecard": serving.supplier_scorecard(g["agg_supplier_cost"], g["dim_supplier"]),
             "vw_revision_tracker": serving.revision_tracker(g["agg_part_revision_history"]),

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from partledger.context import RunContext
 from partledger.functions.columns import banded
 from partledger.operators import skew
+from partledger.operators.skew import EVEN, Hot
 
 # Suppliers listed in one row of the lookup table.
 SUPPLIERS_PER_PAGE = 1000
@@ -60,18 +61,30 @@ def register_view(df: DataFrame, name: str) -> None:
 
 # Views ------------------------------------------------------------------------------------------------
 
-def with_assembly_totals(fact: DataFrame, rollup: DataFrame) -> DataFrame:
-    """Fact lines with their assembly's figures, in the line's currency.
+# The assembly's and the part's figures can be joined to stored fact rows, or to BOM lines before
+# ``gold.fact_bom_cost`` fans them out: the second moves one row per line instead of one per supplier.
 
-    A line without a price takes the assembly's main currency.
-    """
-    lines = skew.join(fact, rollup, ["assembly_id"])
+def with_assembly(rows: DataFrame, rollup: DataFrame, hot: Hot = EVEN) -> DataFrame:
+    figures = rollup.select("assembly_id", "total_parts_count", "parts_coverage_pct", "cost_data_completeness",
+                            "main_currency", "totals")
+    return skew.join(rows, figures, ["assembly_id"], hot=hot.assemblies)
+
+
+def with_part(rows: DataFrame, dim_part: DataFrame, hot: Hot = EVEN) -> DataFrame:
+    part = dim_part.select("part_id", F.col("total_revision_count").alias("part_revision_count"),
+                           F.col("first_released_at").alias("part_first_released_at"))
+    return skew.join(rows, part, ["part_id"], hot=hot.bom_parts)
+
+
+def in_line_currency(rows: DataFrame) -> DataFrame:
+    """The assembly's totals in the currency of the line; a line without a price takes the main currency."""
     totals = F.try_element_at("totals", F.coalesce("currency", "main_currency"))
-    return lines.select("*", totals["low"].alias("assembly_min_cost"), totals["mean"].alias("assembly_avg_cost"))
+    return rows.select("*", totals["low"].alias("assembly_min_cost"), totals["mean"].alias("assembly_avg_cost"))
 
 
-def assembly_cost_dashboard(fact: DataFrame, rollup: DataFrame) -> DataFrame:
-    return labelled(with_assembly_totals(fact, rollup), DASHBOARD_LABELS)
+def assembly_cost_dashboard(fact: DataFrame) -> DataFrame:
+    """From fact rows that carry their assembly's figures."""
+    return labelled(in_line_currency(fact), DASHBOARD_LABELS)
 
 
 def part_catalogue(dim_part: DataFrame) -> DataFrame:
@@ -100,17 +113,15 @@ def cad_pipeline_health(cad_activity: DataFrame) -> DataFrame:
 
 # Marts ------------------------------------------------------------------------------------------------
 
-def mart_assembly_cost(fact: DataFrame, rollup: DataFrame, dim_part: DataFrame, ctx: RunContext) -> DataFrame:
-    part = dim_part.select("part_id", F.col("total_revision_count").alias("part_revision_count"),
-                           F.col("first_released_at").alias("part_first_released_at"))
-    lines = skew.join(with_assembly_totals(fact, rollup), part, ["part_id"])
+def mart_assembly_cost(fact: DataFrame, ctx: RunContext) -> DataFrame:
+    """From fact rows that carry their assembly's and their part's figures."""
     renamed = {
         "revision": "part_revision", "status": "part_status", "cost": "unit_cost", "total_assembly_cost": "line_cost",
         "is_lowest_cost_supplier": "is_cheapest_supplier", "cost_vs_cheapest": "cost_premium",
         "cost_data_available": "has_erp_cost", "total_parts_count": "assembly_total_parts",
         "parts_coverage_pct": "assembly_cost_coverage_pct", "cost_data_completeness": "assembly_data_completeness",
     }
-    return lines.withColumnsRenamed(renamed).select(
+    return in_line_currency(fact).withColumnsRenamed(renamed).select(
         "assembly_id", "part_id", "part_revision", "part_status", "supplier_name", "quantity", "unit_cost", "currency",
         "line_cost", "is_cheapest_supplier", "cost_premium", "is_current_revision", "has_active_revision",
         "has_erp_cost", "assembly_min_cost", "assembly_avg_cost", "assembly_total_parts",
@@ -141,10 +152,10 @@ def mart_supplier_scorecard(agg_supplier: DataFrame, dim_supplier: DataFrame, ct
         "is_multi_part_supplier", ctx.today.alias("report_date"))
 
 
-def mart_open_revisions(rev_history: DataFrame, dim_part: DataFrame, ctx: RunContext) -> DataFrame:
+def mart_open_revisions(rev_history: DataFrame, dim_part: DataFrame, ctx: RunContext, hot: Hot = EVEN) -> DataFrame:
     """Open revisions with their review state. Sort by ``days_active`` when reading."""
     costs = dim_part.select("part_id", "supplier_count", "min_cost", "currency")
-    rows = skew.join(rev_history.where("is_current_revision"), costs, ["part_id"])
+    rows = skew.join(rev_history.where("is_current_revision"), costs, ["part_id"], hot=hot.revision_parts)
     days = F.col("revision_duration_days")
     review, escalate = ctx.limits.review_days, ctx.limits.escalation_days
     state = banded([
@@ -159,7 +170,7 @@ def mart_open_revisions(rev_history: DataFrame, dim_part: DataFrame, ctx: RunCon
 
 
 def api_part_cost_lookup(dim_part: DataFrame, cost: DataFrame, ctx: RunContext,
-                         page_rows: int = SUPPLIERS_PER_PAGE) -> DataFrame:
+                         page_rows: int = SUPPLIERS_PER_PAGE, hot: Hot = EVEN) -> DataFrame:
     """One row per part for point lookups: revision, cheapest supplier, all suppliers, and the JSON answer.
 
     The cheapest supplier is taken in the part's main currency (that of ``dim_part``), ties by name. A
@@ -169,13 +180,13 @@ def api_part_cost_lookup(dim_part: DataFrame, cost: DataFrame, ctx: RunContext,
     """
     offer = F.struct(F.col("supplier_name").alias("supplier"), F.col("cost").alias("unit_cost"), F.col("currency"))
     pages = cost.groupBy("part_id").agg(F.ceil(F.count(F.lit(1)) / page_rows).alias("_pages"))
-    paged = skew.join(cost, pages, ["part_id"]).withColumn(
+    paged = skew.join(cost, pages, ["part_id"], hot=hot.cost_parts).withColumn(
         "supplier_page", F.pmod(F.xxhash64("supplier_name"), F.col("_pages")).cast("int"))
     lists = paged.groupBy("part_id", "supplier_page").agg(F.array_sort(F.collect_set(offer)).alias("all_suppliers"))
 
     main = dim_part.select("part_id", "currency")
     in_main = skew.join(cost.select("part_id", "currency", "supplier_name", "cost"), main, ["part_id", "currency"],
-                        "inner")
+                        "inner", hot.cost_parts)
     best = in_main.groupBy("part_id").agg(
         F.min(F.struct("cost", "supplier_name", "currency")).alias("b")).select(
         "part_id", F.col("b.supplier_name").alias("cheapest_supplier"), F.col("b.cost").alias("cheapest_unit_cost"),

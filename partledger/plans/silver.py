@@ -10,6 +10,7 @@ from partledger.context import RunContext
 from partledger.functions.columns import code, drop_prefixed, file_date, money, title_case, trimmed_strings
 from partledger.operators import skew
 from partledger.operators.dedup import latest_per_key
+from partledger.operators.skew import EVEN, Hot
 from partledger.operators.rules import Rule, Verdict, quarantine
 
 
@@ -96,10 +97,10 @@ def bom_lines(bronze: DataFrame) -> DataFrame:
     return latest_per_key(drop_prefixed(judge_bom(bronze).clean), ["assembly_id", "part_id"], ["last_modified"])
 
 
-def plm_bom(bronze: DataFrame, revisions: DataFrame) -> DataFrame:
+def plm_bom(bronze: DataFrame, revisions: DataFrame, hot: Hot = EVEN) -> DataFrame:
     now = current_revision(revisions).select(
         "part_id", F.col("revision").alias("current_revision"), F.col("status").alias("current_status"))
-    lines = skew.join(bom_lines(bronze), now, ["part_id"])
+    lines = skew.join(bom_lines(bronze), now, ["part_id"], hot=hot.bom_parts)
     return lines.select("*", F.col("current_revision").isNotNull().alias("has_active_revision"))
 
 
@@ -128,15 +129,21 @@ VIEW_COLUMNS = [
 ]
 
 
-def part_cost_view(bom: DataFrame, revisions: DataFrame, cost: DataFrame) -> DataFrame:
+LINE_COLUMNS = ["assembly_id", "part_id", "quantity", "current_revision", "has_active_revision"]
+
+
+def part_cost_view(bom: DataFrame, revisions: DataFrame, cost: DataFrame, hot: Hot = EVEN) -> DataFrame:
     """Every BOM line with its current revision and every supplier's price for the part.
 
-    Columns of ``cost`` beyond the usual ones are passed through.
+    Columns of ``bom`` and ``cost`` beyond the usual ones are passed through, so figures of the
+    assembly or the part can be joined to the lines before they fan out over the suppliers.
     """
-    lines = bom.select("assembly_id", "part_id", "quantity", "current_revision", "has_active_revision")
-    with_revision = skew.join(lines, current_revision(revisions), ["part_id"])
-    priced = skew.join(with_revision, cost, ["part_id"])
-    extra = [x for x in cost.columns if x not in VIEW_COLUMNS]
+    known = [*LINE_COLUMNS, *VIEW_COLUMNS, "last_modified", "current_status"]
+    more = [x for x in bom.columns if x not in known and not x.startswith("_")]
+    lines = bom.select(*LINE_COLUMNS, *more)
+    with_revision = skew.join(lines, current_revision(revisions), ["part_id"], hot=hot.bom_parts)
+    priced = skew.join(with_revision, cost, ["part_id"], hot=hot.bom_parts)
+    extra = more + [x for x in cost.columns if x not in VIEW_COLUMNS]
     return priced.select(
         *VIEW_COLUMNS,
         money(F.col("cost") * F.col("quantity")).alias("total_assembly_cost"),

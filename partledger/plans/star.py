@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from partledger.functions.columns import surrogate_key
 from partledger.operators import history, skew
+from partledger.operators.skew import EVEN, Hot, HotKeys
 
 UNKNOWN = "unknown"
 
@@ -41,19 +42,19 @@ def dim_supplier(cost: DataFrame, locations: DataFrame | None = None) -> DataFra
     return located.select(key("supplier_name").alias("supplier_key"), "supplier_name", "location")
 
 
-def dim_revision(revisions: DataFrame, group_rows: int | None = None) -> DataFrame:
+def dim_revision(revisions: DataFrame, hot: HotKeys | None = None) -> DataFrame:
     """Type-2 revision dimension: the validity ends where the next revision starts."""
     chain = history.version_chain(revisions, "part_id", "effective_from", ["revision", "status"], tie=["revision"],
-                                  group_rows=group_rows)
+                                  hot=hot)
     return chain.select(
         surrogate_key(F.col("part_id"), F.col("revision"), F.col("valid_from").cast("date")).alias("revision_key"),
         "part_id", "revision", "status", F.col("valid_from").alias("effective_from"),
         F.col("valid_to").alias("effective_to"), "is_current")
 
 
-def lookup_key(fact: DataFrame, dim: DataFrame, natural: str, surrogate: str) -> DataFrame:
+def lookup_key(fact: DataFrame, dim: DataFrame, natural: str, surrogate: str, hot: HotKeys | None = None) -> DataFrame:
     """Add the dimension's key to the fact; rows the dimension lacks point at the unknown member."""
-    found = skew.join(fact, dim.select(natural, surrogate), [natural])
+    found = skew.join(fact, dim.select(natural, surrogate), [natural], hot=hot)
     return found.withColumn(surrogate, F.coalesce(F.col(surrogate), F.lit(UNKNOWN)))
 
 
@@ -62,14 +63,15 @@ def fact_bom(bom: DataFrame) -> DataFrame:
     return bom.select(key("assembly_id").alias("assembly_key"), key("part_id").alias("part_key"), "quantity")
 
 
-def fact_cost(cost: DataFrame, parts: DataFrame, suppliers: DataFrame) -> DataFrame:
-    keyed = lookup_key(lookup_key(cost, parts, "part_id", "part_key"), suppliers, "supplier_name", "supplier_key")
+def fact_cost(cost: DataFrame, parts: DataFrame, suppliers: DataFrame, hot: Hot = EVEN) -> DataFrame:
+    with_part = lookup_key(cost, parts, "part_id", "part_key", hot.cost_parts)
+    keyed = lookup_key(with_part, suppliers, "supplier_name", "supplier_key")
     return keyed.select("part_key", "supplier_key", "cost", "currency")
 
 
-def fact_design(cad: DataFrame, revisions_dim: DataFrame, group_rows: int | None = None) -> DataFrame:
+def fact_design(cad: DataFrame, revisions_dim: DataFrame, hot: HotKeys | None = None) -> DataFrame:
     """Design rows with the revision in force when the design was created."""
     timed = cad.withColumn("_created", F.col("created_date").cast("timestamp"))
     matched = history.as_of(timed, revisions_dim, "part_id", "_created", "effective_from", ["revision_key"],
-                            end="effective_to", tie=["revision"], group_rows=group_rows)
+                            end="effective_to", tie=["revision"], hot=hot)
     return matched.select(key("part_id").alias("part_key"), "revision_key", "created_date", "weight_kg")

@@ -13,6 +13,7 @@ from partledger.fixtures import DESIGN, PLANT
 from partledger.functions.columns import file_date
 from partledger.operators import history, merge, policy, rules
 from partledger.operators.dedup import duplicate_keys, latest_per_key
+from partledger.operators.skew import Hot
 from partledger.plans import bronze, gold, governance, serving, silver, star
 from partledger.session import apply_settings, shared_dir
 from partledger.sinks import compact, upsert_partitions, write_partitioned
@@ -29,12 +30,22 @@ class Plant:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = apply_settings(spark)
         self.folder = folder
+        self._given: dict[str, DataFrame] = {}
+        self._raw: dict[str, DataFrame] = {}
+
+    def given(self, name: str) -> DataFrame:
+        if name not in self._given:
+            self._given[name] = fixtures.given(self.spark, self.folder, name)
+        return self._given[name]
 
     def raw(self, name: str) -> DataFrame:
-        return fixtures.raw(self.spark, self.folder, name)
+        if name not in self._raw:
+            self._raw[name] = fixtures.derive(self.spark, name, self.given)
+        return self._raw[name]
 
-    def given(self, name: str) -> DataFrame:
-        return fixtures.given(self.spark, self.folder, name)
+    @cached_property
+    def hot(self) -> Hot:
+        return Hot.measure(self.raw("raw_bom"), self.raw("raw_cost"), self.raw("raw_revisions"))
 
     @cached_property
     def cad(self):
@@ -46,7 +57,7 @@ class Plant:
 
     @cached_property
     def bom(self):
-        return silver.plm_bom(self.raw("raw_bom"), self.revisions)
+        return silver.plm_bom(self.raw("raw_bom"), self.revisions, self.hot)
 
     @cached_property
     def bom_lines(self):
@@ -58,11 +69,21 @@ class Plant:
 
     @cached_property
     def fact(self):
-        return gold.fact_bom_cost(self.bom, self.revisions, self.cost)
+        return gold.fact_bom_cost(self.bom, self.revisions, self.cost, self.hot)
 
     @cached_property
     def rollup(self):
-        return gold.assembly_rollup(self.bom, self.cost)
+        return gold.assembly_rollup(self.bom, self.cost, hot=self.hot)
+
+    @cached_property
+    def priced_assemblies(self):
+        lines = serving.with_assembly(self.bom, self.rollup, self.hot)
+        return gold.fact_bom_cost(lines, self.revisions, self.cost, self.hot)
+
+    @cached_property
+    def mart(self):
+        lines = serving.with_assembly(serving.with_part(self.bom, self.dim_part, self.hot), self.rollup, self.hot)
+        return serving.mart_assembly_cost(gold.fact_bom_cost(lines, self.revisions, self.cost, self.hot), PLANT)
 
     @cached_property
     def dim_part(self):
@@ -74,11 +95,11 @@ class Plant:
 
     @cached_property
     def agg_supplier(self):
-        return gold.agg_supplier_cost(self.bom, self.cost)
+        return gold.agg_supplier_cost(self.bom_lines, self.cost, self.hot)
 
     @cached_property
     def rev_history(self):
-        return gold.agg_part_revision_history(self.revisions)
+        return gold.agg_part_revision_history(self.revisions, self.hot)
 
     @cached_property
     def cad_activity(self):
@@ -86,7 +107,7 @@ class Plant:
 
     @cached_property
     def dim_revision(self):
-        return star.dim_revision(self.revisions)
+        return star.dim_revision(self.revisions, self.hot.revision_parts)
 
     @cached_property
     def star_parts(self):
@@ -283,7 +304,7 @@ def bom_enriched(p):
 
 @query
 def part_cost_view(p):
-    return silver.part_cost_view(p.bom, p.revisions, p.cost)
+    return silver.part_cost_view(p.bom, p.revisions, p.cost, p.hot)
 
 
 # Gold -----------------------------------------------------------------------------------------------------
@@ -305,19 +326,19 @@ def fact_bom_cost(p):
 
 @query
 def cheapest_supplier(p):
-    return gold.price_position(p.cost).where("is_lowest_cost_supplier").select(
+    return gold.price_position(p.cost, p.hot).where("is_lowest_cost_supplier").select(
         "part_id", "currency", "supplier_name", "cost")
 
 
 @query
 def cost_vs_cheapest(p):
-    return gold.price_position(p.cost).select(
+    return gold.price_position(p.cost, p.hot).select(
         "part_id", "supplier_name", "currency", "cost", "is_lowest_cost_supplier", "cost_vs_cheapest")
 
 
 @query
 def agg_assembly_cost(p):
-    return gold.agg_assembly_cost(p.bom, p.cost)
+    return gold.agg_assembly_cost(p.bom, p.cost, p.hot)
 
 
 @query
@@ -337,14 +358,14 @@ def agg_cad_activity(p):
 
 @query
 def revision_impact(p):
-    return gold.revision_impact(p.revisions, p.bom_lines, p.cost, "2001-06-01")
+    return gold.revision_impact(p.revisions, p.bom_lines, p.cost, "2001-06-01", p.hot)
 
 
 # Serving --------------------------------------------------------------------------------------------------
 
 @query
 def vw_assembly_cost_dashboard(p):
-    return serving.assembly_cost_dashboard(p.fact, p.rollup)
+    return serving.assembly_cost_dashboard(p.priced_assemblies)
 
 
 @query
@@ -369,7 +390,7 @@ def vw_cad_health(p):
 
 @query
 def mart_assembly_cost(p):
-    return serving.mart_assembly_cost(p.fact, p.rollup, p.dim_part, PLANT)
+    return p.mart
 
 
 @query
@@ -379,26 +400,24 @@ def mart_supplier_scorecard(p):
 
 @query
 def mart_open_revisions(p):
-    return serving.mart_open_revisions(p.rev_history, p.dim_part, PLANT)
+    return serving.mart_open_revisions(p.rev_history, p.dim_part, PLANT, p.hot)
 
 
 @query
 def api_part_cost_lookup(p):
-    rows = serving.api_part_cost_lookup(p.dim_part, p.cost, PLANT)
+    rows = serving.api_part_cost_lookup(p.dim_part, p.cost, PLANT, hot=p.hot)
     return rows.withColumn("all_suppliers", F.to_json("all_suppliers"))
 
 
 @query
 def masked_mart(p):
-    mart = serving.mart_assembly_cost(p.fact, p.rollup, p.dim_part, PLANT)
-    return policy.mask_columns(mart, {"unit_cost": policy.COST_READERS}, ["plm_engineers"]).select(
+    return policy.mask_columns(p.mart, {"unit_cost": policy.COST_READERS}, ["plm_engineers"]).select(
         "assembly_id", "part_id", "supplier_name", "unit_cost", "part_revision")
 
 
 @query
 def row_filtered_mart(p):
-    mart = serving.mart_assembly_cost(p.fact, p.rollup, p.dim_part, PLANT)
-    return policy.filter_rows(mart, "assembly_id", ["procurement_team"]).select("assembly_id", "part_id", "line_cost")
+    return policy.filter_rows(p.mart, "assembly_id", ["procurement_team"]).select("assembly_id", "part_id", "line_cost")
 
 
 @query
@@ -442,12 +461,14 @@ def cdc_apply(p):
 
 @query
 def scd2_revision(p):
-    return history.version_chain(p.revisions, "part_id", "effective_from", ["revision", "status"], tie=["revision"])
+    return history.version_chain(p.revisions, "part_id", "effective_from", ["revision", "status"], tie=["revision"],
+                                 hot=p.hot.revision_parts)
 
 
 @query
 def scd2_status(p):
-    return history.version_chain(p.revisions, "part_id", "effective_from", ["status"], tie=["revision"])
+    return history.version_chain(p.revisions, "part_id", "effective_from", ["status"], tie=["revision"],
+                                 hot=p.hot.revision_parts)
 
 
 @query
@@ -469,7 +490,7 @@ def revision_as_of(p):
 @query
 def bom_revision_as_of(p):
     return history.as_of(p.bom_lines, p.dim_revision, "part_id", "last_modified", "effective_from",
-                         ["revision", "status"], end="effective_to", tie=["revision"])
+                         ["revision", "status"], end="effective_to", tie=["revision"], hot=p.hot.bom_parts)
 
 
 # Star schema ------------------------------------------------------------------------------------------------
@@ -503,7 +524,7 @@ def star_fact_bom(p):
 def star_fact_cost(p):
     # Only parts with a design record are looked up, so others show the unknown member.
     parts = star.dim_part(p.cad)
-    return star.fact_cost(p.cost, parts, star.dim_supplier(p.cost))
+    return star.fact_cost(p.cost, parts, star.dim_supplier(p.cost), p.hot)
 
 
 @query
@@ -647,7 +668,7 @@ def sla_breaches(p):
 
 
 def _access(p):
-    return governance.table_access(fixtures.nested_audit(p.spark, p.folder), F.lit("2024-01-15").cast("date"),
+    return governance.table_access(fixtures.nested_audit(p.raw("raw_audit")), F.lit("2024-01-15").cast("date"),
                                    "tables", "plant")
 
 

@@ -14,6 +14,9 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Split a skewed join side even where that costs one more exchange above the join.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # The JVM does not compile methods above 8,000 bytes: a wide stage generated as one such method
+    # runs interpreted, several times slower than its operators generated one by one.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
