@@ -15,6 +15,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from partledger.functions.columns import any_null
 from partledger.session import shared_dir
@@ -161,8 +162,7 @@ def _cut_into_ranges(df, keys, order, ranges):
     spark = df.sparkSession
     path = shared_dir(spark, "ordered-ranges")
     df.repartitionByRange(ranges, *keys, *order).withColumn("_range", F.spark_partition_id()).write.parquet(path)
-    schema = df.schema.add("_range", "int")
-    return spark.read.schema(schema).parquet(path)
+    return spark.read.schema(StructType([*df.schema.fields, StructField("_range", IntegerType())])).parquet(path)
 
 
 def _by_range(ranged, keys, order, lead, lag, carry, rank):
