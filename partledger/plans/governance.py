@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 from partledger import schemas
 from partledger.context import RunContext
 from partledger.functions.columns import any_null, banded, percent
+from partledger.operators import skew
+from partledger.operators.skew import HotKeys
 from partledger.sources.files import file_stats
 
 Profiled = tuple[str, str, DataFrame, Sequence[str]]  # layer, table, rows, key columns
@@ -173,14 +175,14 @@ def drift(current: DataFrame, baseline: DataFrame, null_shift_pct: float = 5.0)
 
 # Quality log --------------------------------------------------------------------------------------------
 
-def orphans(child: DataFrame, parent: DataFrame, keys: Sequence[str]) -> DataFrame:
+def orphans(child: DataFrame, parent: DataFrame, keys: Sequence[str], hot: HotKeys | None = None) -> DataFrame:
     """Child rows whose parent is missing."""
-    return child.join(parent.select(*keys).distinct(), list(keys), "left_anti")
+    return skew.join(child, parent.select(*keys).distinct(), keys, "left_anti", hot)
 
 
-def covered(child: DataFrame, parent: DataFrame, keys: Sequence[str]) -> DataFrame:
+def covered(child: DataFrame, parent: DataFrame, keys: Sequence[str], hot: HotKeys | None = None) -> DataFrame:
     """Child rows whose parent exists."""
-    return child.join(parent.select(*keys).distinct(), list(keys), "left_semi")
+    return skew.join(child, parent.select(*keys).distinct(), keys, "left_semi", hot)
 
 
 def quality_log(nulls: Sequence[tuple[str, DataFrame, Sequence[str]]],

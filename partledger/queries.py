@@ -630,12 +630,14 @@ def duplicate_bom_keys(p):
 
 @query
 def referential_orphans(p):
-    return governance.orphans(p.bom_lines.select("assembly_id", "part_id"), p.cost, ["part_id"])
+    return governance.orphans(p.bom_lines.select("assembly_id", "part_id"), p.cost, ["part_id"],
+                              p.hot.bom_parts)
 
 
 @query
 def covered_lines(p):
-    return governance.covered(p.bom_lines.select("assembly_id", "part_id"), p.cost, ["part_id"])
+    return governance.covered(p.bom_lines.select("assembly_id", "part_id"), p.cost, ["part_id"],
+                              p.hot.bom_parts)
 
 
 @query
@@ -707,10 +709,9 @@ def compact_cluster(p):
 def stream_ingest_cad(p):
     arrivals = jobs.csv_arrivals(p.spark, _drop_cad_files(p), schemas.CAD_CSV)
     rows = arrivals.withColumn("snapshot", _snapshot_name()).drop("_source_file")
-    state = jobs.BatchedState(p.spark, shared_dir(p.spark, "cad-state"))
-    checkpoint = shared_dir(p.spark, "cad-checkpoint")
-    jobs.ingest(rows, state, checkpoint, ["part_id"], ["snapshot"])
-    return state.newest(checkpoint)
+    out = shared_dir(p.spark, "cad-batches")
+    jobs.ingest(rows, out, shared_dir(p.spark, "cad-checkpoint"), ["part_id"], ["snapshot"])
+    return jobs.current(p.spark, out, ["part_id"])
 
 
 def _event_stream(p):
@@ -725,10 +726,9 @@ def stream_cdc_apply(p):
     feed = _event_stream(p).select(
         F.col("event_id").alias("lsn"), F.col("user_id").alias("part_no"),
         F.col("value").cast("decimal(18,2)").cast("string").alias("reading"), op.otherwise("update").alias("op"))
-    state = jobs.BatchedState(p.spark, shared_dir(p.spark, "cdc-state"))
-    checkpoint = shared_dir(p.spark, "cdc-checkpoint")
-    jobs.apply_changes(feed, state, checkpoint, ["part_no"], "lsn", "op")
-    return state.newest(checkpoint)
+    out = shared_dir(p.spark, "cdc-batches")
+    jobs.ingest(feed, out, shared_dir(p.spark, "cdc-checkpoint"), ["part_no"], ["lsn"])
+    return jobs.current_of_feed(p.spark, out, ["part_no"], "lsn", "op")
 
 
 @query
@@ -742,8 +742,8 @@ def stream_without_repeats(p):
 @query
 def stream_daily_activity(p):
     out = shared_dir(p.spark, "daily")
-    jobs.to_versions(jobs.daily_activity(_event_stream(p), "ts", ["event_type"]), out,
-                     shared_dir(p.spark, "daily-checkpoint"))
+    jobs.store_updates(jobs.daily_activity(_event_stream(p), "ts", ["event_type"]), out,
+                       shared_dir(p.spark, "daily-checkpoint"))
     return jobs.current(p.spark, out, ["day", "event_type"])
 
 

@@ -135,31 +135,36 @@ def clustered(df: DataFrame, columns: Sequence[str], files: int | None = None) -
     return parted.sortWithinPartitions(*columns)
 
 
-def interleaved_key(df: DataFrame, columns: Sequence[str], bits: int = 8) -> Column:
+def interleaved_key(df: DataFrame, columns: Sequence[str]) -> Column:
     """One sort key that keeps several numeric columns close together (a Z-order curve).
 
-    Every column is mapped to 2**bits bands of equal share by approximate quantiles, and the bits of
-    the band numbers are interleaved.
+    Every column is mapped to 256 bands of equal share by approximate quantiles, found in two steps of
+    16, and the bits of the band numbers are interleaved.
     """
-    shares = [i / 2**bits for i in range(1, 2**bits)]
-    cuts = df.stat.approxQuantile(list(columns), shares, 0.001)
+    cuts = df.stat.approxQuantile(list(columns), [i / 256 for i in range(1, 256)], 0.001)
     key = F.lit(0).cast("bigint")
     for position, (name, bounds) in enumerate(zip(columns, cuts)):
-        edges = F.array(*[F.lit(float(b)) for b in sorted(set(bounds))])
+        bounds = bounds or [0.0] * 255  # a column without values
         value = F.col(name).cast("double")
-        band = F.size(F.filter(edges, lambda e: e <= value)).cast("bigint")
-        for bit in range(bits):
-            lifted = F.shiftleft(F.shiftright(band, bit).bitwiseAND(F.lit(1).cast("bigint")),
-                                 bit * len(columns) + position)
-            key = key.bitwiseOR(lifted)
+        coarse = _count_below(F.array(*[F.lit(float(b)) for b in bounds[15::16]]), value)
+        groups = F.array(*[F.array(*[F.lit(float(b)) for b in bounds[i * 16:i * 16 + 15]]) for i in range(16)])
+        band = (coarse * 16 + _count_below(groups[coarse], value)).cast("bigint")
+        for bit in range(8):
+            one = F.shiftright(band, bit).bitwiseAND(F.lit(1).cast("bigint"))
+            key = key.bitwiseOR(F.shiftleft(one, bit * len(columns) + position))
     return key
 
 
+def _count_below(edges: Column, value: Column) -> Column:
+    return F.size(F.filter(edges, lambda e: e <= value))
+
+
 def compact(df: DataFrame, path: str, columns: Sequence[str], files: int, numeric: bool = False) -> None:
     """Rewrite a table into ``files`` well-filled files clustered on the columns."""
     if numeric and len(columns) > 1:
         keyed = df.withColumn("_z", interleaved_key(df, columns))
-        laid = keyed.repartitionByRange(files, "_z").sortWithinPartitions("_z").drop("_z")
+        # The columns follow the key so that one crowded cell can still be cut.
+        laid = keyed.repartitionByRange(files, "_z", *columns).sortWithinPartitions("_z", *columns).drop("_z")
     else:
         laid = clustered(df, columns, files)
     laid.write.mode("errorifexists").parquet(path)

@@ -35,11 +35,12 @@ def changed_between(df: DataFrame, column: str, after: str, upto: datetime | str
 
 
 def commit_watermarks(control: DataFrame, tables: list[str], upto: datetime, path: str) -> None:
-    """Write the control record anew, after the data of the named tables has been committed."""
+    """Write the control record (one JSON array) anew, after the data of the named tables has been committed."""
     stamp = upto.strftime("%Y-%m-%d %H:%M:%S")
     moved = F.when(F.col("table_name").isin(tables), F.lit(stamp)).otherwise(F.col("last_watermark"))
     rows = control.withColumn("last_watermark", moved).collect()  # one row per source table
-    control.sparkSession.createDataFrame(rows, schemas.WATERMARK).coalesce(1).write.mode("overwrite").json(path)
+    records = control.sparkSession.createDataFrame(rows, schemas.WATERMARK)
+    records.agg(F.to_json(F.collect_list(F.struct("*"))).alias("value")).write.mode("overwrite").text(path)
 
 
 def changes_after(feed: DataFrame, positions: DataFrame, table: str, lsn: str) -> DataFrame:

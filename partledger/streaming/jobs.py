@@ -1,7 +1,9 @@
 """Streaming forms of the incremental loads. Each runs to the end of what is there and stops.
 
-Batches write to a folder named after the batch, so a batch that is repeated after a failure
-replaces its own output and nothing else.
+A batch writes only its own rows, to a folder named after the batch: a batch that is repeated after a
+failure replaces its own output and nothing else, and its cost goes with its size, not with the size
+of the table. Readers take the newest row per key (``current``); ``fold`` brings the batches together
+from time to time.
 """
 
 from __future__ import annotations
@@ -14,7 +16,6 @@ from pyspark.sql.types import StructType
 from pyspark.sql.streaming import StreamingQuery
 
 from partledger.operators.dedup import latest_per_key
-from partledger.operators.merge import apply_change_feed, upsert
 from partledger.sources.files import CSV_DIALECT
 
 LATENESS = "25 hours"
@@ -34,54 +35,40 @@ def parquet_arrivals(spark: SparkSession, path: str, schema: str | StructType) -
     return spark.readStream.schema(schema).parquet(path)
 
 
-def _each_batch(stream: DataFrame, checkpoint: str, step: Callable[[DataFrame, int], None],
-                mode: str = "append") -> None:
-    writer = stream.writeStream.outputMode(mode).option("checkpointLocation", checkpoint)
-    finish(writer.trigger(availableNow=True).foreachBatch(step).start())
-
-
-class BatchedState:
-    """A table rewritten by each batch from the one before it."""
-
-    def __init__(self, spark: SparkSession, path: str):
-        self.spark = spark
-        self.path = path
+def _each_batch(stream: DataFrame, path: str, checkpoint: str, mode: str,
+                step: Callable[[DataFrame], DataFrame]) -> None:
+    def store(batch: DataFrame, number: int) -> None:
+        step(batch).write.mode("overwrite").parquet(f"{path}/batch={number}")
 
-    def at(self, batch: int) -> str:
-        return f"{self.path}/batch-{batch}"
+    writer = stream.writeStream.outputMode(mode).option("checkpointLocation", checkpoint)
+    finish(writer.trigger(availableNow=True).foreachBatch(store).start())
 
-    def before(self, batch: int) -> DataFrame | None:
-        return self.spark.read.parquet(self.at(batch - 1)) if batch else None
 
-    def newest(self, checkpoint: str) -> DataFrame:
-        """The state after the last batch the stream committed."""
-        commits = self.spark.read.format("binaryFile").load(f"{checkpoint}/commits")
-        last = commits.select(F.element_at(F.split("path", "/"), -1).try_cast("int").alias("b")).agg(F.max("b")).first()[0]
-        return self.spark.read.parquet(self.at(last))
+def ingest(stream: DataFrame, path: str, checkpoint: str, keys: Sequence[str], by: Sequence[str]) -> None:
+    """Store arriving rows, the newest per key of each batch. Files seen once are never read again."""
+    _each_batch(stream, path, checkpoint, "append", lambda batch: latest_per_key(batch, keys, by))
 
 
-def ingest(stream: DataFrame, state: BatchedState, checkpoint: str, keys: Sequence[str], by: Sequence[str]) -> None:
-    """Upsert arriving rows by key, newest first. Files seen once are never read again."""
+def store_updates(stream: DataFrame, path: str, checkpoint: str) -> None:
+    """Store every updated result of an aggregation."""
+    _each_batch(stream, path, checkpoint, "update", lambda batch: batch)
 
-    def step(batch: DataFrame, number: int) -> None:
-        rows = latest_per_key(batch, keys, by)
-        before = state.before(number)
-        after = rows if before is None else upsert(before, rows, keys)
-        after.write.mode("overwrite").parquet(state.at(number))
 
-    _each_batch(stream, checkpoint, step)
+def current(spark: SparkSession, path: str, keys: Sequence[str]) -> DataFrame:
+    """The table the batches make: later batches replace earlier ones, key by key."""
+    return latest_per_key(spark.read.parquet(path), keys, ["batch"]).drop("batch")
 
 
-def apply_changes(stream: DataFrame, state: BatchedState, checkpoint: str, keys: Sequence[str], lsn: str, op: str) -> None:
-    """Apply inserts, updates and deletes by key; the highest sequence number wins."""
+def current_of_feed(spark: SparkSession, path: str, keys: Sequence[str], lsn: str, op: str,
+                    delete: str = "delete") -> DataFrame:
+    """The table a stored change feed makes: per key the highest sequence number wins, deleted keys are gone."""
+    final = latest_per_key(spark.read.parquet(path).drop("batch"), keys, [lsn])
+    return final.where(~F.col(op).eqNullSafe(F.lit(delete))).drop(op)
 
-    def step(batch: DataFrame, number: int) -> None:
-        before = state.before(number)
-        if before is None:
-            before = batch.drop(op).limit(0)
-        apply_change_feed(before, batch, keys, lsn, op).write.mode("overwrite").parquet(state.at(number))
 
-    _each_batch(stream, checkpoint, step)
+def fold(table: DataFrame, path: str) -> None:
+    """Write the table the batches make as batch -1 of a new folder, to go on from there."""
+    table.write.mode("errorifexists").parquet(f"{path}/batch=-1")
 
 
 def without_repeats(stream: DataFrame, time: str, keys: Sequence[str], lateness: str = LATENESS) -> DataFrame:
@@ -99,15 +86,3 @@ def to_files(stream: DataFrame, path: str, checkpoint: str) -> None:
     """Append results to Parquet files: rows are final when they are written."""
     writer = stream.writeStream.outputMode("append").option("checkpointLocation", checkpoint)
     finish(writer.trigger(availableNow=True).format("parquet").start(path))
-
-
-def to_versions(stream: DataFrame, path: str, checkpoint: str) -> None:
-    """Store every updated result under its batch; ``current`` reads the newest of each."""
-    def step(batch: DataFrame, number: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/batch={number}")
-
-    _each_batch(stream, checkpoint, step, mode="update")
-
-
-def current(spark: SparkSession, path: str, keys: Sequence[str]) -> DataFrame:
-    return latest_per_key(spark.read.parquet(path), keys, ["batch"]).drop("batch")
