@@ -28,7 +28,7 @@ SELECT concat('P', q.l_partkey) AS part_id,
             WHEN q.l_linenumber = 1 AND q.l_quantity >= 49 THEN '0'
             WHEN q.l_linenumber = 2 AND q.l_quantity >= 50 THEN '-12.5'
             WHEN q.l_linenumber = 3 AND q.l_quantity >= 50 THEN NULL
-            ELSE CAST(CAST(q.l_extendedprice AS DECIMAL(18,4)) AS STRING) END AS cost,
+            ELSE CAST(q.l_extendedprice AS STRING) END AS cost,
        CASE WHEN q.l_suppkey % 50 = 7 THEN NULL
             WHEN q.l_suppkey % 50 = 9 THEN 'xxx'
             WHEN q.l_partkey % 10 = 3 THEN 'gbp '

@@ -77,6 +77,11 @@ def banded(bands: Sequence[tuple[Column, Column | str]], otherwise: Column | str
                       otherwise if isinstance(otherwise, Column) else F.lit(otherwise))
 
 
+def content_hash(df: DataFrame) -> Column:
+    """Hash of a row; maps are left out, as Spark does not hash them."""
+    return F.xxhash64(*[F.col(f.name) for f in df.schema.fields if "map<" not in f.dataType.simpleString()])
+
+
 def surrogate_key(*parts: Column) -> Column:
     """128-bit key of a natural key: computed anywhere, the same on every run, no numbering pass."""
     return F.md5(F.concat_ws("\u001f", *[F.coalesce(p.cast("string"), F.lit("\u0000")) for p in parts]))

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from partledger.functions.columns import content_hash
 from partledger.operators import skew
 from partledger.operators.skew import HotKeys
 
@@ -63,7 +64,7 @@ def as_of(facts: DataFrame, versions: DataFrame, key: str, at: str, start: str,
         F.lit(0).cast("bigint").alias("_content"), body.alias("_version"))
     probes = facts.select(
         F.col(key), F.col(at).alias("_at"), F.lit(1).alias("_kind"),
-        F.xxhash64(*facts.columns).alias("_content"), fact_body.alias("_fact"))
+        content_hash(facts).alias("_content"), fact_body.alias("_fact"))
     line = marks.unionByName(probes, allowMissingColumns=True)
     solved = skew.ordered(line, [key], ["_at", "_kind", "_tie", "_content"], carry={"_found": "_version"},
                           hot=hot).where("_kind = 1")

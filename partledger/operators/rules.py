@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from partledger.context import RunContext
-from partledger.functions.columns import percent
+from partledger.functions.columns import content_hash, percent
 
 REASON = "_rejection_reason"
 
@@ -47,7 +47,7 @@ def reject_ledger(rejected: DataFrame, ctx: RunContext) -> DataFrame:
 
     (run, hash, copy) identifies a stored row, so writing the same run twice adds nothing.
     """
-    content = F.xxhash64(*[F.col(c) for c in rejected.columns])
+    content = content_hash(rejected)
     return rejected.select("*", ctx.ts.alias("_quarantine_ts"), F.lit(ctx.run_id).alias("_run_id"),
                            content.alias("_row_hash"))
 

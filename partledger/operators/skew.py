@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
-from partledger.functions.columns import any_null
+from partledger.functions.columns import any_null, content_hash
 from partledger.session import shared_dir
 
 # A group of up to this many rows is ordinary work for one task.
@@ -104,7 +104,7 @@ def join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "lef
         return left.join(right, list(keys), how)
     spread = F.broadcast(hot.rows.select(*hot.keys, F.ceil(F.col("_rows") / hot.limit).cast("int").alias("_ways")))
     ways = F.coalesce(F.col("_ways"), F.lit(1))
-    salt = F.pmod(F.xxhash64(*left.columns), F.when(any_null(keys), NULL_KEY_WAYS).otherwise(ways)).cast("int")
+    salt = F.pmod(content_hash(left), F.when(any_null(keys), NULL_KEY_WAYS).otherwise(ways)).cast("int")
     salted_left = left.join(spread, list(hot.keys), "left").withColumn("_salt", salt).drop("_ways")
     salted_right = right.join(spread, list(hot.keys), "left").withColumn(
         "_salt", F.explode(F.sequence(F.lit(0), ways - 1))).drop("_ways")

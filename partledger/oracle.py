@@ -319,6 +319,10 @@ BODIES: dict[str, str] = {
        WHERE NOT coalesce({file_day('_source_file')} <= DATE '2024-01-20', false)""",
     "incremental_by_watermark": """SELECT *, TIMESTAMP '2001-06-30' AS _ingestion_ts FROM raw_cost
        WHERE last_updated > DATE '1998-01-01' AND last_updated <= DATE '2001-06-30'""",
+    "land_increment": """SELECT *, CASE WHEN last_modified <= TIMESTAMP '1998-12-31' THEN TIMESTAMP '1998-12-31'
+       ELSE TIMESTAMP '2001-12-31' END AS _ingestion_ts FROM raw_bom""",
+    "bulk_load_csv": """SELECT part_id, material, TRY_CAST(weight_kg AS DECIMAL(18,4)) AS weight_kg,
+       TRY_CAST(created_date AS DATE) AS created_date FROM raw_cad""",
     "cdc_changes_after": "SELECT * FROM raw_cdc WHERE lsn > (SELECT floor(max(lsn) / 2) FROM raw_cdc)",
     "cad_file_date": f"SELECT part_id, _source_file, {file_day('_source_file')} AS file_date FROM raw_cad",
     "dedup_latest_cad": f"""SELECT * FROM raw_cad
@@ -358,6 +362,9 @@ FROM bom_lines b
 JOIN (SELECT part_id, max(last_modified) AS revised_at FROM silver_rev WHERE last_modified > TIMESTAMP '2001-06-01'
       GROUP BY part_id) r USING (part_id)
 LEFT JOIN main_price m USING (part_id) GROUP BY b.assembly_id, m.currency""",
+    "assembly_cost_summary": "SELECT * EXCLUDE is_main_currency FROM agg_assembly WHERE is_main_currency",
+    "supplier_performance": """SELECT supplier_name, currency, parts_supplied, assemblies_covered, avg_unit_cost,
+       lowest_cost_spend, spend_share_pct, supplier_tier FROM agg_supplier WHERE supplier_name IS NOT NULL""",
     "vw_assembly_cost_dashboard": f"SELECT {labels(serving.DASHBOARD_LABELS)} FROM dashboard",
     "vw_part_catalogue": f"SELECT {labels(serving.CATALOGUE_LABELS)} FROM dim_part ORDER BY part_id",
     "vw_supplier_scorecard": f"SELECT {labels(serving.SCORECARD_LABELS)} FROM scorecard ORDER BY spend_share_pct DESC",

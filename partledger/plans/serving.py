@@ -59,6 +59,20 @@ def register_view(df: DataFrame, name: str) -> None:
     df.createOrReplaceTempView(name)
 
 
+# Summaries --------------------------------------------------------------------------------------------
+
+def assembly_cost_summary(agg_assembly: DataFrame) -> DataFrame:
+    """One row per assembly: its totals in its main currency, and its coverage."""
+    return agg_assembly.where("is_main_currency").drop("is_main_currency")
+
+
+def supplier_performance(agg_supplier: DataFrame) -> DataFrame:
+    """Coverage, price level, spend and tier of every supplier that prices something."""
+    return agg_supplier.where("supplier_name is not null").select(
+        "supplier_name", "currency", "parts_supplied", "assemblies_covered", "avg_unit_cost", "lowest_cost_spend",
+        "spend_share_pct", "supplier_tier")
+
+
 # Views ------------------------------------------------------------------------------------------------
 
 # The assembly's and the part's figures can be joined to stored fact rows, or to BOM lines before

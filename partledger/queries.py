@@ -193,6 +193,24 @@ def incremental_by_watermark(p):
     return incremental.changed_between(p.raw("raw_cost"), "last_updated", "1998-01-01", "2001-06-30")
 
 
+@query
+def land_increment(p):
+    path = shared_dir(p.spark, "landing")
+    for after, upto in (("1900-01-01", "1998-12-31"), ("1998-12-31", "2001-12-31")):
+        incremental.land(incremental.changed_between(p.raw("raw_bom"), "last_modified", after, upto), path, upto)
+    return p.spark.read.parquet(path).drop("run")
+
+
+@query
+def bulk_load_csv(p):
+    path = shared_dir(p.spark, "loaded")
+    typed = files.csv_tree(p.spark, _drop_cad_files(p), schemas.CAD_CSV).select(
+        "part_id", "material", F.col("weight_kg").try_cast("decimal(18,4)").alias("weight_kg"),
+        F.col("created_date").try_cast("date").alias("created_date"))
+    typed.write.mode("append").parquet(path)
+    return p.spark.read.parquet(path)
+
+
 @query
 def cdc_changes_after(p):
     feed = p.raw("raw_cdc")
@@ -363,6 +381,16 @@ def revision_impact(p):
 
 # Serving --------------------------------------------------------------------------------------------------
 
+@query
+def assembly_cost_summary(p):
+    return serving.assembly_cost_summary(gold.agg_assembly_cost(p.bom, p.cost, p.hot))
+
+
+@query
+def supplier_performance(p):
+    return serving.supplier_performance(p.agg_supplier)
+
+
 @query
 def vw_assembly_cost_dashboard(p):
     return serving.assembly_cost_dashboard(p.priced_assemblies)

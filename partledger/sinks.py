@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -84,6 +85,18 @@ class Lake:
         return self.spark.read.option("mergeSchema", "true").parquet(f"{self.root}/{layer}/{name}")
 
 
+@contextmanager
+def cached(*frames: DataFrame):
+    """Keep frames that several writes read, and let them go afterwards."""
+    for df in frames:
+        df.persist()
+    try:
+        yield frames
+    finally:
+        for df in frames:
+            df.unpersist()
+
+
 def reject_duplicates(df: DataFrame, spec: TableSpec) -> None:
     if not duplicate_keys(df, spec.keys).isEmpty():
         raise ValueError(f"{spec.id}: source rows are not unique on {list(spec.keys)}")

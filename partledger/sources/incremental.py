@@ -34,6 +34,13 @@ def changed_between(df: DataFrame, column: str, after: str, upto: datetime | str
     return changed.withColumn("_ingestion_ts", F.lit(str(upto)).cast("timestamp"))
 
 
+def land(changes: DataFrame, path: str, run_id: str) -> str:
+    """Write a run's changed rows as Parquet in a folder of their own; a repeat replaces it."""
+    folder = f"{path}/run={run_id}"
+    changes.write.mode("overwrite").parquet(folder)
+    return folder
+
+
 def commit_watermarks(control: DataFrame, tables: list[str], upto: datetime, path: str) -> None:
     """Write the control record (one JSON array) anew, after the data of the named tables has been committed."""
     stamp = upto.strftime("%Y-%m-%d %H:%M:%S")

@@ -8,7 +8,7 @@ from partledger.operators import history, merge, skew
 from partledger.operators.dedup import duplicate_keys
 from partledger.schemas import TableSpec
 from partledger.session import shared_dir
-from partledger.sinks import Lake, clustered, compact, upsert_partitions, write_partitioned
+from partledger.sinks import Lake, cached, clustered, compact, upsert_partitions, write_partitioned
 
 COST = "part_id string, supplier_name string, cost int"
 
@@ -91,6 +91,13 @@ def test_clustering_keeps_rows_and_narrows_files(spark, rows):
     assert rows(clustered(df, ["a"], 4)) == rows(df)
 
 
+def test_cached_frames_are_released(spark):
+    df = spark.range(5)
+    with cached(df):
+        assert df.is_cached
+    assert not df.is_cached
+
+
 # History
 
 def versions(spark, seed, n=200):

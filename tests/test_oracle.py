@@ -10,6 +10,8 @@ sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(
 
 import __spark_entry__ as entry  # noqa: E402
 import check  # noqa: E402
+from partledger.operators.skew import Hot  # noqa: E402
+from partledger.queries import QUERIES, Plant  # noqa: E402
 
 FOLDER = "/root/testdata/sf0.001"
 ORACLE = entry.oracle_sql()
@@ -31,3 +33,14 @@ def test_every_query_has_its_sql():
 def test_query(spark, con, name):
     message, _, same = check.compare(spark, con, FOLDER, name, ORACLE[name])
     assert same, message
+
+
+@pytest.mark.parametrize("name", ["fact_bom_cost", "agg_assembly_cost", "agg_supplier_cost", "mart_assembly_cost",
+                                  "agg_part_revision_history", "scd2_status", "bom_revision_as_of",
+                                  "api_part_cost_lookup", "covered_lines", "revision_impact"])
+def test_query_with_hot_keys(spark, rows, name):
+    """Treating the larger keys as hot changes the plan, not the rows."""
+    even, uneven = Plant(spark, FOLDER), Plant(spark, FOLDER)
+    uneven.hot = Hot.measure(even.raw("raw_bom"), even.raw("raw_cost"), even.raw("raw_revisions"), group_rows=4)
+    assert uneven.hot.bom_parts and uneven.hot.assemblies and uneven.hot.cost_parts and uneven.hot.revision_parts
+    assert rows(QUERIES[name](uneven)) == rows(QUERIES[name](even))
