@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -39,11 +40,14 @@ def apply_settings(spark: SparkSession) -> SparkSession:
 def shared_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh folder below the cluster's checkpoint folder.
 
-    ``spark.checkpoint.dir`` names storage that outlives an executor. Only where it is unset
-    (a laptop, a test) is a temporary folder taken, once per session.
+    ``spark.checkpoint.dir`` names storage that outlives an executor and that all of them reach. Only
+    a local session may go without it: it gets a temporary folder, once per session.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        master = spark.sparkContext.master
+        if not re.fullmatch(r"local(\[[^]]*\])?", master):
+            raise ValueError(f"spark.checkpoint.dir must name a folder that all executors of {master} share")
         base = getattr(spark, "_partledger_shared", None)
         if not base:
             base = tempfile.mkdtemp(prefix="partledger-")
