@@ -2,11 +2,30 @@
 
 from __future__ import annotations
 
+from pathlib import Path
+
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from partledger.llm import chat, linededup, mixing
+from partledger.llm import bpe, chat, linededup, mixing, tokenfile
 from partledger.llm.common import table
+from partledger.session import shared_dir
+
+
+def vocabulary(name: str) -> str:
+    """A public tokenizer's definition, read where the driver runs and sent to the tasks."""
+    return Path(public_tokenizers.path(name)).read_text(encoding="utf-8")
+
+
+def op1_bpe_round_trip(spark: SparkSession, folder: str) -> DataFrame:
+    docs, words = table(spark, folder, "documents"), vocabulary("word_bpe_49k.json")
+    encoded = bpe.encode(docs, words).withColumn("kept", F.col("ids"))
+    decoded = bpe.decode(encoded, words, "kept")
+    return decoded.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2("text", 256).alias("decoded_sha256"))
 
 
 def op3_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
@@ -14,6 +33,14 @@ def op3_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.taken_words(*mixing.mix(docs, mixing.word_count(F.col("text"))))
 
 
+def op5_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    docs, path = table(spark, folder, "documents"), shared_dir(spark, "token-files")
+    tokenfile.write_tokens(docs, path, vocabulary("byte_bpe_50k.json"), end_id=0)
+    read = tokenfile.read_tokens(spark, path).withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+    return read.join(tokenfile.block_starts(spark, path), ["part", "seq"]).select(
+        "doc_id", (F.col("start") + F.col("offset")).alias("start"), "n_tokens", "ids_crc32")
+
+
 def op7_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     return linededup.dedup_lines(docs).select(
@@ -37,7 +64,7 @@ def op8_chat_format(spark: SparkSession, folder: str) -> DataFrame:
         F.length("loss").cast("long").alias("loss_chars"), F.sha2("loss", 256).alias("loss_sha256"), "formatted_chars")
 
 
-QUERIES = {f.__name__: f for f in (op3_mix_sources, op7_line_dedup, op8_chat_format)}
+QUERIES = {f.__name__: f for f in (op1_bpe_round_trip, op3_mix_sources, op5_token_files, op7_line_dedup, op8_chat_format)}
 
 ORACLE_SQL = {
     "op3_mix_sources": r"""
