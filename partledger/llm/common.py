@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
 from collections.abc import Sequence
+from pathlib import Path
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -15,8 +18,23 @@ ARROW_ROWS = "256"
 SPACES = b" \t\n\x0b\x0c\r"  # the white space between words: [\x20\x09-\x0D]
 
 
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors, once per application: their Python functions live in it."""
+    context = spark.sparkContext
+    if getattr(context, "_partledger_shipped", False):
+        return
+    package = Path(__file__).resolve().parent.parent
+    path = Path(tempfile.mkdtemp(prefix="partledger-")) / "partledger.zip"
+    with zipfile.ZipFile(path, "w") as z:
+        for f in sorted(package.rglob("*.py")):
+            z.write(f, f.relative_to(package.parent))
+    context.addPyFile(str(path))
+    context._partledger_shipped = True
+
+
 def prepare(spark: SparkSession) -> SparkSession:
     apply_settings(spark)
+    ship(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ARROW_ROWS)
     return spark
 

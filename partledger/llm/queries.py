@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from partledger.llm import bpe, chat, linededup, mixing, tokenfile
+from partledger.llm import bpe, chat, langid, linededup, mixing, quality, tokenfile
 from partledger.llm.common import table
 from partledger.session import shared_dir
 
@@ -41,6 +41,18 @@ def op5_token_files(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", (F.col("start") + F.col("offset")).alias("start"), "n_tokens", "ids_crc32")
 
 
+def held_out(doc_id):
+    """Rows that no model learns from: crc32 of the id's digits leaves 2 when divided by 4."""
+    return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2, F.lit(False))
+
+
+def op6_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    languages, vectors = langid.prototypes(docs.where(~held_out(F.col("doc_id"))))
+    return langid.identify(docs.select("doc_id", "text"), languages, vectors).select(
+        "doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
 def op7_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     return linededup.dedup_lines(docs).select(
@@ -64,7 +76,13 @@ def op8_chat_format(spark: SparkSession, folder: str) -> DataFrame:
         F.length("loss").cast("long").alias("loss_chars"), F.sha2("loss", 256).alias("loss_sha256"), "formatted_chars")
 
 
-QUERIES = {f.__name__: f for f in (op1_bpe_round_trip, op3_mix_sources, op5_token_files, op7_line_dedup, op8_chat_format)}
+def op9_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return quality.measure(docs, Path(public_tokenizers.path("piece_bpe_32k.model")).read_bytes()).drop("text")
+
+
+QUERIES = {f.__name__: f for f in (op1_bpe_round_trip, op3_mix_sources, op5_token_files, op6_language_id, op7_line_dedup,
+                                    op8_chat_format, op9_quality_rules)}
 
 ORACLE_SQL = {
     "op3_mix_sources": r"""
