@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from partledger.llm import bpe, chat, langid, linededup, mixing, quality, tokenfile
+from partledger.llm import ann, bpe, chat, langid, linededup, mixing, quality, tokenfile
 from partledger.llm.common import table
 from partledger.session import shared_dir
 
@@ -81,8 +81,13 @@ def op9_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality.measure(docs, Path(public_tokenizers.path("piece_bpe_32k.model")).read_bytes()).drop("text")
 
 
+def op10_nearest_vectors(spark: SparkSession, folder: str) -> DataFrame:
+    rows = table(spark, folder, "embeddings").select("vec_id", "embedding")
+    return ann.nearest(rows, rows.where(F.col("vec_id") % 20 == 0), k=20)
+
+
 QUERIES = {f.__name__: f for f in (op1_bpe_round_trip, op3_mix_sources, op5_token_files, op6_language_id, op7_line_dedup,
-                                    op8_chat_format, op9_quality_rules)}
+                                    op8_chat_format, op9_quality_rules, op10_nearest_vectors)}
 
 ORACLE_SQL = {
     "op3_mix_sources": r"""
