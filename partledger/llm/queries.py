@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from partledger.llm import ann, bpe, chat, langid, linededup, mixing, quality, tokenfile
+from partledger.llm import ann, bpe, chat, langid, linededup, mixing, near, quality, tokenfile
 from partledger.llm.common import table
 from partledger.session import shared_dir
 
@@ -33,6 +33,10 @@ def op3_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.taken_words(*mixing.mix(docs, mixing.word_count(F.col("text"))))
 
 
+def op4_similar_texts(spark: SparkSession, folder: str) -> DataFrame:
+    return near.similar(table(spark, folder, "documents")).select("doc_id", "class_id", "n_links")
+
+
 def op5_token_files(spark: SparkSession, folder: str) -> DataFrame:
     docs, path = table(spark, folder, "documents"), shared_dir(spark, "token-files")
     tokenfile.write_tokens(docs, path, vocabulary("byte_bpe_50k.json"), end_id=0)
@@ -86,7 +90,7 @@ def op10_nearest_vectors(spark: SparkSession, folder: str) -> DataFrame:
     return ann.nearest(rows, rows.where(F.col("vec_id") % 20 == 0), k=20)
 
 
-QUERIES = {f.__name__: f for f in (op1_bpe_round_trip, op3_mix_sources, op5_token_files, op6_language_id, op7_line_dedup,
+QUERIES = {f.__name__: f for f in (op1_bpe_round_trip, op3_mix_sources, op4_similar_texts, op5_token_files, op6_language_id, op7_line_dedup,
                                     op8_chat_format, op9_quality_rules, op10_nearest_vectors)}
 
 ORACLE_SQL = {
