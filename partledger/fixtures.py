@@ -133,7 +133,7 @@ GIVEN = ("lineitem", "supplier", "nation", "part", "events", "orders", "customer
 
 
 def given(spark: SparkSession, folder: str, table: str) -> DataFrame:
-    return files.spread(spark.read.parquet(f"{folder}/{table}.parquet"))
+    return files.parquet_table(spark, f"{folder}/{table}.parquet")
 
 
 def derive(spark: SparkSession, name: str, table: Callable[[str], DataFrame]) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -29,18 +30,33 @@ def version_chain(df: DataFrame, key: str, start: str, tracked: Sequence[str], t
     )
 
 
-def apply_changes(dim: DataFrame, changes: DataFrame, key: str, tracked: Sequence[str],
-                  hot: HotKeys | None = None) -> DataFrame:
-    """Bring a type-2 dimension up to date with new versions (key, tracked…, valid_from).
+def add_points(points: DataFrame, changes: DataFrame, key: str, tracked: Sequence[str],
+               order: Sequence[str] = ()) -> DataFrame:
+    """Change points (key, tracked…, order…, valid_from) with new ones added; a repeat adds nothing.
+
+    Points are the stored form of a history: unlike versions, which leave out a state that repeats the
+    one before it, they stay complete when a late one falls between two equal states.
+    """
+    cols = list(dict.fromkeys([key, *tracked, *order, "valid_from"]))
+    fresh = changes.select(*cols).distinct()
+    same = reduce(lambda a, b: a & b, [fresh[c].eqNullSafe(points[c]) for c in cols])
+    return points.select(*cols).unionByName(fresh.join(points, same, "left_anti"))
+
+
+def apply_changes(dim: DataFrame, points: DataFrame, changes: DataFrame, key: str, tracked: Sequence[str],
+                  tie: Sequence[str] = (), hot: HotKeys | None = None) -> tuple[DataFrame, DataFrame]:
+    """Bring a type-2 dimension and its change points up to date: (dimension, points).
 
-    Only keys that changed are rebuilt, from all their versions, so a late version lands in its place
-    and an open row is closed by its successor.
+    Only keys that changed are rebuilt, from all their points, so a late version lands in its place, the
+    state after it begins again, and an open row is closed by its successor.
     """
+    order = list(tie or tracked)
     touched = changes.select(key).distinct()
-    cols = [key, *tracked, "valid_from"]
-    kept = dim.join(touched, key, "left_anti")
-    events = dim.join(touched, key, "left_semi").select(*cols).unionByName(changes.select(*cols)).distinct()
-    return kept.unionByName(version_chain(events, key, "valid_from", tracked, tie=tracked, hot=hot).select(*kept.columns))
+    every = add_points(points, changes, key, tracked, order)
+    kept = skew.join(dim, touched, [key], "left_anti", hot)
+    events = skew.join(every, touched, [key], "left_semi", hot)
+    rebuilt = version_chain(events, key, "valid_from", tracked, tie=order, hot=hot)
+    return kept.unionByName(rebuilt.select(*kept.columns)), every
 
 
 def active_on(df: DataFrame, day: Column, start: str, end: str) -> DataFrame:

@@ -11,13 +11,19 @@ from partledger.functions.columns import null_safe
 from partledger.operators.dedup import latest_per_key
 
 
-def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
+def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str], newer_by: str | None = None) -> DataFrame:
     """Target after the source rows replaced, or joined, those with the same key.
 
     Keys match null-safely. Columns new in the source appear (null on untouched rows); columns the
     source lacks keep the target's value on matched rows. The source must be unique on the keys; a
-    small source is broadcast by Spark, so the target is streamed through without a shuffle.
+    small source is broadcast by Spark, so the target is streamed through without a shuffle. With
+    ``newer_by``, source rows whose value there is below the target's (or null) are left out.
     """
+    if newer_by:
+        there = target.select(*keys, F.col(newer_by).alias("_there")).alias("t")
+        same = [F.col(f"s.{k}").eqNullSafe(F.col(f"t.{k}")) for k in keys]
+        stale = F.col("_there").isNotNull() & (F.col(f"s.{newer_by}").isNull() | (F.col(f"s.{newer_by}") < F.col("_there")))
+        source = source.alias("s").join(there, [*same, stale], "left_anti").select(*source.columns)
     only_target = [c for c in target.columns if c not in source.columns]
     incoming = source
     if only_target:

@@ -12,27 +12,24 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from functools import cached_property, reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
-from partledger.functions.columns import any_null, content_hash
+from partledger.functions.columns import code, content_hash
 from partledger.session import shared_dir
 
 # A group of up to this many rows is ordinary work for one task.
 GROUP_ROWS = 2_000_000
-# Inputs of fewer bytes than this cannot hold a group that hurts: no counting pass for them.
-SMALL_INPUT_BYTES = 256 * 1024 * 1024
-# At most this many keys can be above the limit, whatever the size of the table.
-MAX_HOT_KEYS = 20_000
-# Rows with a null key match nothing, so in a salted join they may go anywhere.
-NULL_KEY_WAYS = 200
 
 
 @dataclass(frozen=True)
 class HotKeys:
-    """The keys above the limit: ``rows`` holds the key columns and ``_rows``, their row counts."""
+    """The keys above the limit: ``rows`` is a written table of the key columns and ``_rows``, their row
+    counts. It has at most as many rows as the limit goes into the table, and is joined, not broadcast:
+    Spark broadcasts it where its size allows that."""
 
     rows: DataFrame
     keys: tuple[str, ...]
@@ -43,44 +40,63 @@ class HotKeys:
         return self.rows.agg(F.sum("_rows")).first()[0]
 
 
-def _input_bytes(df: DataFrame) -> int:
-    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
-    return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
+def find(df: DataFrame, keys: Sequence[str], group_rows: int = GROUP_ROWS) -> HotKeys | None:
+    """Keys (null included) with more rows than the limit; None when there are none.
 
-
-def find(df: DataFrame, keys: Sequence[str], group_rows: int | None = None) -> HotKeys | None:
-    """Keys with more rows than the limit; None when there are none or the input is small.
-
-    The limit grows with the table (rows / MAX_HOT_KEYS at least), so there are never more than
-    MAX_HOT_KEYS of them and they may be broadcast. Counts are combined before their exchange.
+    One pass over the key columns, whose counts are combined before their exchange. Tables of every
+    size are counted, against the same limit.
     """
-    if group_rows is None and _input_bytes(df) < SMALL_INPUT_BYTES:
-        return None
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-    limit = group_rows or max(GROUP_ROWS, df.count() // MAX_HOT_KEYS)
-    found = counts.where(F.col("_rows") > limit).collect()
-    if not found:
-        return None
-    return HotKeys(df.sparkSession.createDataFrame(found, counts.schema), tuple(keys), limit)
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")).where(F.col("_rows") > group_rows)
+    path = shared_dir(df.sparkSession, "hot-keys")
+    counts.write.parquet(path)
+    found = df.sparkSession.read.schema(counts.schema).parquet(path)
+    return None if found.isEmpty() else HotKeys(found, tuple(keys), group_rows)
 
 
-@dataclass(frozen=True)
 class Hot:
-    """Hot keys of the source tables, as far as they were looked for."""
+    """Hot keys of the source tables. Each is looked for when an operator first asks for it."""
 
-    bom_parts: HotKeys | None = None
-    assemblies: HotKeys | None = None
-    cost_parts: HotKeys | None = None
-    revision_parts: HotKeys | None = None
+    def __init__(self, bom: DataFrame | None = None, cost: DataFrame | None = None,
+                 revisions: DataFrame | None = None, cad: DataFrame | None = None, group_rows: int = GROUP_ROWS):
+        self.tables = {"bom": bom, "cost": cost, "revisions": revisions, "cad": cad}
+        self.group_rows = group_rows
 
     @staticmethod
-    def measure(bom: DataFrame, cost: DataFrame, revisions: DataFrame, group_rows: int | None = None) -> Hot:
-        """``part_id`` and ``assembly_id`` as they are after trimming."""
-        def trimmed(df: DataFrame, column: str) -> HotKeys | None:
-            return find(df.select(F.trim(column).alias(column)), [column], group_rows)
+    def measure(bom: DataFrame, cost: DataFrame, revisions: DataFrame, group_rows: int = GROUP_ROWS,
+                cad: DataFrame | None = None) -> Hot:
+        return Hot(bom, cost, revisions, cad, group_rows)
+
+    def _of(self, table: str, column: str) -> HotKeys | None:
+        df = self.tables[table]
+        # Keys as they are after trimming.
+        return None if df is None else find(df.select(F.trim(column).alias(column)), [column], self.group_rows)
+
+    @cached_property
+    def bom_parts(self) -> HotKeys | None:
+        return self._of("bom", "part_id")
+
+    @cached_property
+    def assemblies(self) -> HotKeys | None:
+        return self._of("bom", "assembly_id")
 
-        return Hot(trimmed(bom, "part_id"), trimmed(bom, "assembly_id"), trimmed(cost, "part_id"),
-                   trimmed(revisions, "part_id"))
+    @cached_property
+    def cost_parts(self) -> HotKeys | None:
+        return self._of("cost", "part_id")
+
+    @cached_property
+    def suppliers(self) -> HotKeys | None:
+        """Suppliers of the price list, coded as silver codes them."""
+        df = self.tables["cost"]
+        name = code(F.col("supplier_name")).alias("supplier_name")
+        return None if df is None else find(df.select(name), ["supplier_name"], self.group_rows)
+
+    @cached_property
+    def revision_parts(self) -> HotKeys | None:
+        return self._of("revisions", "part_id")
+
+    @cached_property
+    def cad_parts(self) -> HotKeys | None:
+        return self._of("cad", "part_id")
 
 
 EVEN = Hot()
@@ -98,16 +114,22 @@ def join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "lef
     """Equi-join whose hot left keys (all or some of the join columns) are spread over several tasks.
 
     Rows of a hot key get a salt from their content; the matching right rows are repeated once per
-    salt. All other rows carry salt 0, so the result equals the plain join.
+    salt. All other rows carry salt 0, so the result equals the plain join. Null is a key like others
+    here: where it is hot its rows are spread, though they match nothing.
     """
     if hot is None:
         return left.join(right, list(keys), how)
-    spread = F.broadcast(hot.rows.select(*hot.keys, F.ceil(F.col("_rows") / hot.limit).cast("int").alias("_ways")))
-    ways = F.coalesce(F.col("_ways"), F.lit(1))
-    salt = F.pmod(content_hash(left), F.when(any_null(keys), NULL_KEY_WAYS).otherwise(ways)).cast("int")
-    salted_left = left.join(spread, list(hot.keys), "left").withColumn("_salt", salt).drop("_ways")
-    salted_right = right.join(spread, list(hot.keys), "left").withColumn(
-        "_salt", F.explode(F.sequence(F.lit(0), ways - 1))).drop("_ways")
+    ways = F.ceil(F.col("_rows") / hot.limit).cast("int").alias("_ways")
+
+    def with_ways(df: DataFrame) -> DataFrame:
+        spread = hot.rows.select(*[F.col(k).alias(f"_hot_{k}") for k in hot.keys], ways)
+        same = reduce(lambda a, b: a & b, [df[k].eqNullSafe(spread[f"_hot_{k}"]) for k in hot.keys])
+        return df.join(spread, same, "left").drop(*[f"_hot_{k}" for k in hot.keys])
+
+    n = F.coalesce(F.col("_ways"), F.lit(1))
+    salt = F.pmod(content_hash(left), n).cast("int")
+    salted_left = with_ways(left).withColumn("_salt", salt).drop("_ways")
+    salted_right = with_ways(right).withColumn("_salt", F.explode(F.sequence(F.lit(0), n - 1))).drop("_ways")
     return salted_left.join(salted_right, [*keys, "_salt"], how).drop("_salt")
 
 
@@ -133,7 +155,7 @@ def ordered(
     lead, lag, carry = dict(lead or {}), dict(lag or {}), dict(carry or {})
     if hot is None:
         return _plain(df, keys, order, lead, lag, carry, rank)
-    hot_only = F.broadcast(hot.rows.select(*keys))
+    hot_only = hot.rows.select(*keys)
     cold = df.join(hot_only, _matches(df, hot_only, keys), "left_anti")
     picked = df.join(hot_only, _matches(df, hot_only, keys), "left_semi")
     ranged = _cut_into_ranges(picked, keys, order, max(2, -(-hot.total // hot.limit) * 2))
@@ -206,7 +228,7 @@ def _by_range(ranged, keys, order, lead, lag, carry, rank):
         seams = seams.withColumnRenamed("_first_by", "_opening_by")
     keep = place + [c for c in seams.columns
                     if c.startswith(("_next_", "_prev_", "_past_", "_rows_before", "_start_rank", "_opening_by"))]
-    seams = F.broadcast(seams.select(*keep).withColumnsRenamed({k: f"_k_{k}" for k in place}))
+    seams = seams.select(*keep).withColumnsRenamed({k: f"_k_{k}" for k in place})
     same = F.lit(True)
     for k in place:
         same = same & local[k].eqNullSafe(seams[f"_k_{k}"])

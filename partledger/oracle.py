@@ -296,7 +296,8 @@ LOOKUP_JSON = "'{' || concat_ws(',', " + ", ".join([
     json_field("part_id", "part_id"), json_field("current_revision", "current_revision"),
     json_field("current_status", "current_status"), json_field("is_available", "(current_status = 'Released')", False),
     json_field("cheapest_supplier", "cheapest_supplier"), json_field("cheapest_unit_cost", "cheapest_unit_cost", False),
-    json_field("cost_currency", "cost_currency"), json_field("all_suppliers", "all_suppliers", False)]) + ") || '}'"
+    json_field("cost_currency", "cost_currency"), json_field("all_suppliers", "all_suppliers", False),
+    json_field("page", "0", False), json_field("pages", "1", False)]) + ") || '}'"
 
 SNAPSHOT = "regexp_extract(_source_file, '([^/]+)\\.csv$', 1)"
 
@@ -325,12 +326,14 @@ BODIES: dict[str, str] = {
        TRY_CAST(created_date AS DATE) AS created_date FROM raw_cad""",
     "cdc_changes_after": "SELECT * FROM raw_cdc WHERE lsn > (SELECT floor(max(lsn) / 2) FROM raw_cdc)",
     "cad_file_date": f"SELECT part_id, _source_file, {file_day('_source_file')} AS file_date FROM raw_cad",
-    "dedup_latest_cad": f"""SELECT * FROM raw_cad
-       {newest('part_id', '_source_file, created_date, designer, material, part_name, weight_kg')}""",
+    "dedup_latest_cad": f"""SELECT * EXCLUDE (day, w) FROM (SELECT *, {file_day('_source_file')} AS day,
+       TRY_CAST(weight_kg AS DECIMAL(18,4)) AS w FROM raw_cad)
+       {newest('part_id', 'day, _source_file, created_date, designer, material, part_name, w, weight_kg')}""",
     "dedup_latest_revisions": f"""SELECT * FROM raw_revisions
        {newest('part_id, revision', 'last_modified, effective_from, effective_to, status')}""",
     "dedup_latest_bom": f"SELECT * FROM raw_bom {newest('assembly_id, part_id', 'last_modified, quantity')}",
-    "dedup_latest_cost": f"SELECT * FROM raw_cost {newest('part_id, supplier_name', 'last_updated, cost, currency')}",
+    "dedup_latest_cost": f"""SELECT * EXCLUDE c FROM (SELECT *, TRY_CAST(cost AS DECIMAL(18,4)) AS c FROM raw_cost)
+       {newest('part_id, supplier_name', 'last_updated, c, cost, currency')}""",
     "clean_cad": "SELECT * FROM silver_cad",
     "clean_revisions": "SELECT * FROM silver_rev",
     "clean_bom": "SELECT * FROM bom_lines",
@@ -394,12 +397,13 @@ SELECT r.part_id, r.revision, r.status, r.effective_from, r.revision_duration_da
 FROM rev_history r LEFT JOIN dim_part p USING (part_id) WHERE r.is_current_revision""",
     "api_part_cost_lookup": f"""
 SELECT part_id, current_revision, current_status, current_status = 'Released' AS is_available, cheapest_supplier,
-       cheapest_unit_cost, cost_currency, all_suppliers, 0 AS supplier_page, {LOOKUP_JSON} AS api_response_json,
+       cheapest_unit_cost, cost_currency, all_suppliers, 0 AS supplier_page, 1 AS supplier_pages, {LOOKUP_JSON} AS api_response_json,
        {PLANT_TS} AS cache_refreshed_at
 FROM dim_part LEFT JOIN best_offer USING (part_id) LEFT JOIN offers USING (part_id)""",
     "masked_mart": """SELECT assembly_id, part_id, supplier_name, CAST(NULL AS DECIMAL(18,4)) AS unit_cost, part_revision
        FROM mart""",
-    "row_filtered_mart": "SELECT assembly_id, part_id, line_cost FROM mart WHERE assembly_id IS NOT NULL",
+    "row_filtered_mart": """SELECT assembly_id, part_id, line_cost FROM mart
+       WHERE assembly_id IS NOT NULL AND assembly_data_completeness <> 'Incomplete'""",
     "domain_filtered_rejects": """
 SELECT table_name, reason AS rejection_reason, count(*) AS rows_rejected,
        CASE table_name WHEN 'cad_metadata' THEN 'cad' ELSE 'plm' END AS domain
@@ -512,8 +516,9 @@ SELECT *, {pct('failed', 'total')} AS failed_pct, failed = 0 AS passed FROM (
     "table_file_stats": """SELECT 'lineitem' AS table_name, count(*) AS row_count, true AS has_files, true AS has_bytes
        FROM lineitem""",
     "compact_cluster": "SELECT * FROM lineitem",
-    "stream_ingest_cad": f"""SELECT * EXCLUDE _source_file FROM (SELECT *, {SNAPSHOT} AS snapshot FROM raw_cad)
-       {newest('part_id', 'snapshot, created_date, designer, material, part_name, weight_kg')}""",
+    "stream_ingest_cad": f"""SELECT * EXCLUDE _source_file FROM (SELECT *, {SNAPSHOT} AS snapshot,
+       {file_day('_source_file')} AS file_date FROM raw_cad)
+       {newest('part_id', 'file_date, snapshot, created_date, designer, material, part_name, weight_kg')}""",
     "stream_cdc_apply": f"SELECT lsn, part_no, reading FROM (SELECT * FROM raw_cdc {newest('part_no', 'lsn')}) WHERE op <> 'delete'",
     "stream_without_repeats": "SELECT event_id, user_id, event_type FROM events",
     "stream_daily_activity": "SELECT CAST(ts AS DATE) AS day, event_type, count(*) AS n FROM events GROUP BY 1, 2",
@@ -544,5 +549,21 @@ def sql(name: str) -> str:
     return "WITH " + ",\n".join(ctes) + (",\n" + own if own else "\n" + body)
 
 
+BODIES["scd2_status_incremental"] = BODIES["scd2_status"]
+BODIES["lake_upsert_reopened"] = BODIES["lake_upsert_repeat"] = BODIES["run_chain_cost"] = BODIES["clean_cost"]
+BODIES["run_chain_revisions"], BODIES["run_chain_cad"] = BODIES["clean_revisions"], BODIES["clean_cad"]
+BODIES["run_chain_rejects"] = BODIES["quarantine_summary"]
+BODIES["gold_after_second_run"] = BODIES["agg_assembly_cost"]
+BODIES["open_revisions_after_second_run"] = BODIES["mart_open_revisions"]
+BODIES["watermark_commit"] = """
+SELECT trim(supplier_name) AS table_name,
+       CASE WHEN min(last_updated) <= DATE '2000-01-01' THEN '2000-01-01 00:00:00' END AS last_watermark
+FROM raw_cost WHERE last_updated <= DATE '2000-01-01' GROUP BY 1"""
+BODIES["incremental_run"] = f"""
+SELECT part_id, supplier_name, cost, currency, last_updated FROM (SELECT *, TRY_CAST(cost AS DECIMAL(18,4)) AS c FROM raw_cost)
+WHERE TRY_CAST(cost AS DECIMAL(18,4)) > 0 AND upper(trim(currency)) IN ({listed(CURRENCIES)})
+{newest('part_id, supplier_name', 'last_updated, c, cost, currency')}"""
+
+
 def all_sql() -> dict[str, str]:
     return {name: sql(name) for name in BODIES}

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from partledger.context import RunContext
+from partledger.functions.columns import file_date
 from partledger.operators.dedup import latest_per_key
 
 
@@ -17,7 +18,12 @@ def stamp(df: DataFrame, path: str, domain: str, ctx: RunContext) -> DataFrame:
 
 
 def cad_metadata(raw: DataFrame) -> DataFrame:
-    return latest_per_key(raw, ["part_id"], ["_source_file"])
+    """Newest row per part by the date in its file's name, then by the file; undated files come first.
+    Repeats within a file are ordered as silver orders them, weights as numbers."""
+    dated = raw.withColumns({"_file_date": file_date(F.col("_source_file")),
+                             "_weight": F.col("weight_kg").try_cast("decimal(18,4)")})
+    order = ["_file_date", "_source_file", "created_date", "designer", "material", "part_name", "_weight"]
+    return latest_per_key(dated, ["part_id"], order).drop("_file_date", "_weight")
 
 
 def plm_revisions(raw: DataFrame) -> DataFrame:
@@ -29,4 +35,5 @@ def plm_bom(raw: DataFrame) -> DataFrame:
 
 
 def erp_cost(raw: DataFrame) -> DataFrame:
-    return latest_per_key(raw, ["part_id", "supplier_name"], ["last_updated"])
+    priced = raw.withColumn("_cost", F.col("cost").try_cast("decimal(18,4)"))
+    return latest_per_key(priced, ["part_id", "supplier_name"], ["last_updated", "_cost"]).drop("_cost")

@@ -162,7 +162,10 @@ def agg_supplier_cost(bom: DataFrame, cost: DataFrame, hot: Hot = EVEN) -> DataF
     """
     per_part = bom.groupBy("part_id").agg(F.count(F.lit(1)).alias("lines"), F.sum("quantity").alias("qty"))
     offers = price_position(cost, hot).select("part_id", "supplier_name", "currency", "cost", "is_lowest_cost_supplier")
-    used = per_part.join(offers, "part_id", "left")
+    # Offers are the larger side; parts without any keep one row.
+    offered = skew.join(offers, per_part, ["part_id"], "inner", hot.cost_parts)
+    bare = per_part.join(offers.select("part_id").distinct(), "part_id", "left_anti")
+    used = offered.unionByName(bare, allowMissingColumns=True)
     spend = F.col("cost") * F.col("qty")
     lines = F.sum("lines")
     sums = used.groupBy("supplier_name", "currency").agg(

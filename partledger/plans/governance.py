@@ -59,8 +59,9 @@ def _metric(df: DataFrame, layer: Column, name: str, value: Column, limit: float
 
 
 def dq_metrics(ctx: RunContext, profile: DataFrame | None = None, rates: DataFrame | None = None,
-               stale: DataFrame | None = None) -> DataFrame:
-    """The metric log rows of a run, from whichever of the three inputs there are."""
+               stale: DataFrame | None = None, drifted: DataFrame | None = None, log: DataFrame | None = None) -> DataFrame:
+    """The metric log rows of a run, from whichever of the inputs there are: key profile, reject rates,
+    watermark ages, drifted columns per table, run log."""
     out, lim = [], ctx.limits
     if profile is not None:
         null_pct = F.coalesce("null_key_pct", F.lit(0.0))
@@ -74,6 +75,12 @@ def dq_metrics(ctx: RunContext, profile: DataFrame | None = None, rates: DataFra
     if stale is not None:
         out.append(_metric(stale, F.lit("pipeline"), "watermark_age_hrs", F.col("age_hours"), lim.watermark_age_hours,
                            F.col("passed")))
+    if drifted is not None:
+        out.append(_metric(drifted, F.lit("schema"), "schema_drift", F.col("columns_drifted"), 0, F.col("columns_drifted") == 0))
+    if log is not None:
+        minutes = F.round(F.col("duration_seconds") / 60, 1)
+        out.append(_metric(log, F.col("layer"), "duration_minutes", minutes, lim.layer_minutes,
+                           F.col("duration_seconds") / 60 <= lim.layer_minutes))
     return _union(out).select(F.lit(ctx.run_id).alias("run_id"), ctx.today.alias("run_date"), "*",
                               ctx.ts.alias("logged_at"))
 
@@ -134,6 +141,17 @@ def schema_baseline(spark: SparkSession, tables: dict[str, DataFrame], ctx: RunC
     return spark.createDataFrame(rows, schemas.SCHEMA_BASELINE)
 
 
+def schema_drift(now: DataFrame, baseline: DataFrame) -> DataFrame:
+    """Columns added, dropped or changed in type per table against the newest earlier baseline of the
+    table (``table_name, columns_drifted``); a table without one has none."""
+    newest = baseline.groupBy("table_name").agg(F.max("logged_at").alias("logged_at"))
+    base = baseline.join(newest, ["table_name", "logged_at"], "left_semi")
+    found = drift(now.join(newest, "table_name", "left_semi"), base).groupBy("table_name").agg(
+        F.count_if(F.col("drift") != "same").alias("columns_drifted"))
+    return now.select("table_name").distinct().join(found, "table_name", "left").select(
+        "table_name", F.coalesce("columns_drifted", F.lit(0)).alias("columns_drifted"))
+
+
 def column_profile(tables: dict[str, DataFrame], distinct: bool = True) -> DataFrame:
     """Type, rows, null share, smallest and largest value of every column, one pass per table."""
     out = []

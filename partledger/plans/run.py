@@ -3,141 +3,273 @@
 from __future__ import annotations
 
 import time
+from collections.abc import Callable, Mapping, Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from partledger import schemas
 from partledger.context import RunContext
+from partledger.functions.columns import file_date, percent
+from partledger.operators import rules
 from partledger.operators.rules import reject_ledger
 from partledger.operators.skew import EVEN, Hot
-from partledger.plans import bronze, gold, governance, serving, silver
+from partledger.plans import bronze, gold, governance, serving, silver, star
 from partledger.schemas import TABLES
+from partledger.session import shared_dir
 from partledger.sinks import Lake
+from partledger.sources import incremental
 
 
 @dataclass(frozen=True)
 class Sources:
+    """Rows to load: whole sources, or what arrived since the last run."""
+
     cad: DataFrame
     revisions: DataFrame
     bom: DataFrame
     cost: DataFrame
 
 
+@dataclass(frozen=True)
+class Source:
+    domain: str
+    newest: Callable[[DataFrame], DataFrame]
+    changed: str  # the column that says which of two rows of a key is newer
+
+
+SOURCES = {
+    "cad_metadata": Source("cad", bronze.cad_metadata, "_file_date"),
+    "plm_revisions": Source("plm", bronze.plm_revisions, "last_modified"),
+    "plm_bom": Source("plm", bronze.plm_bom, "last_modified"),
+    "erp_cost": Source("erp", bronze.erp_cost, "last_updated"),
+}
+
+
 class Run:
-    """One pass over the layers. Each step reads tables of the layer below and upserts its own."""
+    """One pass over the layers.
+
+    Arriving rows are judged first; the clean ones are merged into bronze by key, newer rows winning.
+    Every table above bronze is a function of the tables below it, so it is published whole, which
+    also removes rows that are no longer true, and only when one of those tables, or the day that
+    its ages and dates are counted to, has changed.
+    """
 
     def __init__(self, spark: SparkSession, lake: Lake, ctx: RunContext):
         self.spark, self.lake, self.ctx = spark, lake, ctx
         self.entries: list[dict] = []
+        self.changed: set[str] = set()
+        self.arrived: dict[str, tuple[int, int]] = {}  # rows that arrived, rows rejected
         self.hot = EVEN
 
-    def save(self, table: str, df: DataFrame) -> DataFrame:
-        started = time.monotonic()
-        seen = self.lake.upsert(df, TABLES[table], self.ctx)
+    @contextmanager
+    def step(self, table: str):
+        """Log what happens to a table: its rows, its time, and its error if it fails."""
         layer, name = table.split(".")
-        self.entries.append({"layer": layer, "table_name": name, "seconds": time.monotonic() - started,
-                             "rows_written": seen["rows_written"]})
+        entry = {"layer": layer, "table_name": name, "rows_written": 0}
+        started = time.monotonic()
+        try:
+            yield entry
+        except Exception as error:
+            self.entries.append(entry | {"status": "failed", "error": str(error)[:1000], "seconds": time.monotonic() - started})
+            self.log()
+            raise
+        self.entries.append(entry | {"seconds": time.monotonic() - started})
+
+    def log(self) -> None:
+        self.lake.append(governance.run_log(self.spark, self.ctx, self.entries), "govern.pipeline_run_log", self.ctx)
+
+    def save(self, table: str, build: Callable[[], DataFrame], inputs: Sequence[str], dated: bool = False) -> DataFrame:
+        """Publish a derived table, unless nothing that it is made from has changed."""
+        state = self.lake.state(table)
+        same_day = state and state["day"] == self.ctx.run_date.isoformat()
+        if state and not self.changed.intersection(inputs) and (same_day or not dated):
+            return self.lake.read(table)
+        spec = TABLES[table]
+        with self.step(table) as entry:
+            entry |= self.lake.publish(build(), table, self.ctx, spec.partition_by, spec.cluster_by)
+        self.changed.add(table)
         return self.lake.read(table)
 
-    def reject(self, name: str, rejected: DataFrame) -> None:
-        self.lake.append(reject_ledger(rejected, self.ctx), f"silver.{name}_quarantine", self.ctx)
+    # Arrivals -----------------------------------------------------------------------------------------
+
+    def arrive(self, name: str, raw: DataFrame) -> None:
+        """Take in arriving rows of a source: reject, keep the newest per key, merge into bronze."""
+        table, source = f"bronze.{name}", SOURCES[name]
+        with self.step(table) as entry:
+            path = shared_dir(self.spark, "arrivals")
+            raw.write.parquet(path)
+            rows = self.spark.read.schema(raw.schema).parquet(path)
+            verdict = silver.judge_arrivals(name, rows)
+            self.lake.append(reject_ledger(verdict.rejected, self.ctx), f"silver.{name}_quarantine", self.ctx)
+            rejected = self.lake.read_appended(f"silver.{name}_quarantine").where(F.col("run") == self.ctx.run_id).count()
+            total = rows.count()
+            self.arrived[name] = (total, rejected)
+            entry |= {"rows_read": total, "rows_quarantined": rejected}
+            newest = source.newest(verdict.clean)
+            if name == "cad_metadata":
+                newest = newest.withColumn("_file_date", file_date(F.col("_source_file")))
+            before = self.lake.state(table)
+            entry |= self.lake.upsert(bronze.stamp(newest, name, source.domain, self.ctx), TABLES[table], self.ctx, source.changed)
+            if self.lake.state(table) != before:
+                self.changed.add(table)
 
     def bronze(self, src: Sources) -> None:
-        ctx = self.ctx
-        steps = {
-            "cad_metadata": (bronze.cad_metadata(src.cad), "cad"),
-            "plm_revisions": (bronze.plm_revisions(src.revisions), "plm"),
-            "plm_bom": (bronze.plm_bom(src.bom), "plm"),
-            "erp_cost": (bronze.erp_cost(src.cost), "erp"),
-        }
-        for name, (rows, domain) in steps.items():
-            self.save(f"bronze.{name}", bronze.stamp(rows, name, domain, ctx))
+        for name, raw in {"cad_metadata": src.cad, "plm_revisions": src.revisions, "plm_bom": src.bom, "erp_cost": src.cost}.items():
+            self.arrive(name, raw)
+
+    def load(self, sources: Mapping[str, tuple[DataFrame, str]], control: str, upto: datetime) -> None:
+        """Take in what changed since each source's watermark: (name → (table, change column)).
+
+        The upper bound is taken once, by the caller. Rows are landed as they were read, then taken in;
+        watermarks move after the data of all sources is stored. A run that dies in between reads the
+        same rows again, which changes nothing: landing replaces, merging keeps the newer row.
+        """
+        marks = incremental.read_watermarks(self.spark, control)
+        for name, (table, column) in sources.items():
+            after = incremental.watermark_of(marks, name)
+            rows = incremental.changed_between(table, column, after, upto)
+            landed = incremental.land(rows, f"{self.lake.root}/landing/{name}", self.ctx.run_id)
+            self.arrive(name, self.spark.read.schema(rows.schema).parquet(landed).drop("_ingestion_ts"))
+        incremental.commit_watermarks(marks, list(sources), upto, control)
+
+    # Layers -------------------------------------------------------------------------------------------
 
     def silver(self) -> None:
         lake, ctx = self.lake, self.ctx
-        raw = {n: lake.read(f"bronze.{n}") for n in ("cad_metadata", "plm_revisions", "plm_bom", "erp_cost")}
-        self.hot = Hot.measure(raw["plm_bom"], raw["erp_cost"], raw["plm_revisions"])
-
-        def save(name: str, df: DataFrame) -> DataFrame:
-            return self.save(f"silver.{name}", silver.stamp(df, f"bronze.{name}", ctx))
-
-        save("cad_metadata", silver.cad_metadata(raw["cad_metadata"]))
-        revisions = save("plm_revisions", silver.plm_revisions(raw["plm_revisions"], ctx))
-        bom = save("plm_bom", silver.plm_bom(raw["plm_bom"], revisions, self.hot))
-        cost = save("erp_cost", silver.erp_cost(raw["erp_cost"]))
-        priced = cost.select("part_id", "supplier_name", "cost", "currency", "last_updated")
-        save("part_cost_view", silver.part_cost_view(bom, revisions, priced, self.hot))
-        for name, judge in (("cad_metadata", silver.judge_cad), ("plm_revisions", silver.judge_revisions),
-                            ("plm_bom", silver.judge_bom), ("erp_cost", silver.judge_cost)):
-            self.reject(name, judge(raw[name]).rejected)
-
-    def gold(self) -> None:
-        lake, ctx = self.lake, self.ctx
-        revisions, bom, cad = (lake.read(f"silver.{n}") for n in ("plm_revisions", "plm_bom", "cad_metadata"))
-        cost = lake.read("silver.erp_cost").select("part_id", "supplier_name", "cost", "currency", "last_updated")
+        raw = {n: lake.read(f"bronze.{n}") for n in SOURCES}
+        self.hot = Hot.measure(raw["plm_bom"], raw["erp_cost"], raw["plm_revisions"], cad=raw["cad_metadata"])
+
+        def save(name: str, build: Callable[[], DataFrame], inputs: Sequence[str], dated: bool = False) -> DataFrame:
+            return self.save(f"silver.{name}", lambda: silver.stamp(build(), f"bronze.{name}", ctx), inputs, dated)
+
+        save("cad_metadata", lambda: silver.cad_metadata(raw["cad_metadata"]), ["bronze.cad_metadata"])
+        revisions = save("plm_revisions", lambda: silver.plm_revisions(raw["plm_revisions"], ctx), ["bronze.plm_revisions"], True)
+        bom = save("plm_bom", lambda: silver.plm_bom(raw["plm_bom"], revisions, self.hot), ["bronze.plm_bom", "bronze.plm_revisions"])
+        cost = save("erp_cost", lambda: silver.erp_cost(raw["erp_cost"]), ["bronze.erp_cost"])
+        save("part_cost_view", lambda: silver.part_cost_view(bom, revisions, _prices(cost), self.hot),
+             ["silver.plm_bom", "silver.plm_revisions", "silver.erp_cost"])
+
+    def gold(self, only: Sequence[str] | None = None) -> None:
+        """All gold tables and the star schema, or just some of the gold tables."""
+        revisions, bom, cad = (self.lake.read(f"silver.{n}") for n in ("plm_revisions", "plm_bom", "cad_metadata"))
+        cost = _prices(self.lake.read("silver.erp_cost"))
+        rev, lines, price, design = "silver.plm_revisions", "silver.plm_bom", "silver.erp_cost", "silver.cad_metadata"
         tables = {
-            "dim_part": gold.dim_part(revisions, cost),
-            "dim_supplier": gold.dim_supplier(cost),
-            "fact_bom_cost": gold.fact_bom_cost(bom, revisions, cost, self.hot),
-            "agg_assembly_cost": gold.agg_assembly_cost(bom, cost, self.hot),
-            "agg_supplier_cost": gold.agg_supplier_cost(bom, cost, self.hot),
-            "agg_part_revision_history": gold.agg_part_revision_history(revisions, self.hot),
-            "agg_cad_activity": gold.agg_cad_activity(cad),
+            "dim_part": (lambda: gold.dim_part(revisions, cost), [rev, price]),
+            "dim_supplier": (lambda: gold.dim_supplier(cost), [price]),
+            "fact_bom_cost": (lambda: gold.fact_bom_cost(bom, revisions, cost, self.hot), [lines, rev, price]),
+            "agg_assembly_cost": (lambda: gold.agg_assembly_cost(bom, cost, self.hot), [lines, price]),
+            "agg_supplier_cost": (lambda: gold.agg_supplier_cost(bom, cost, self.hot), [lines, price]),
+            "agg_part_revision_history": (lambda: gold.agg_part_revision_history(revisions, self.hot), [rev]),
+            "agg_cad_activity": (lambda: gold.agg_cad_activity(cad), [design]),
         }
-        for name, df in tables.items():
-            self.save(f"gold.{name}", gold.stamp(df, ctx))
+        for name in only or tables:
+            build, inputs = tables[name]
+            self.save(f"gold.{name}", lambda b=build: gold.stamp(b(), self.ctx), inputs)
+        if only is None:
+            self.star(cad, bom, revisions, cost)
+
+    def star(self, cad: DataFrame, bom: DataFrame, revisions: DataFrame, cost: DataFrame) -> None:
+        """The star schema, with the type-2 revision dimension."""
+        rev, lines, price, design = "silver.plm_revisions", "silver.plm_bom", "silver.erp_cost", "silver.cad_metadata"
+        parts = self.save("star.dim_part", lambda: star.dim_part(cad, bom, revisions, cost), [design, lines, rev, price])
+        self.save("star.dim_assembly", lambda: star.dim_assembly(bom), [lines])
+        suppliers = self.save("star.dim_supplier", lambda: star.dim_supplier(cost), [price])
+        dim = self.save("star.dim_revision", lambda: star.dim_revision(revisions, self.hot.revision_parts), [rev])
+        self.save("star.fact_bom", lambda: star.fact_bom(bom), [lines])
+        self.save("star.fact_cost", lambda: star.fact_cost(cost, parts, suppliers, self.hot),
+                  [price, "star.dim_part", "star.dim_supplier"])
+        self.save("star.fact_design", lambda: star.fact_design(cad, dim, self.hot.cad_parts), [design, "star.dim_revision"])
 
     def serving(self) -> None:
         lake, ctx = self.lake, self.ctx
         g = {n: lake.read(f"gold.{n}") for n in (
             "dim_part", "dim_supplier", "fact_bom_cost", "agg_supplier_cost", "agg_part_revision_history",
             "agg_cad_activity")}
-        revisions, bom = lake.read("silver.plm_revisions"), lake.read("silver.plm_bom")
-        cost = lake.read("silver.erp_cost").select("part_id", "supplier_name", "cost", "currency", "last_updated")
+        bom = lake.read("silver.plm_bom")
+        cost = _prices(lake.read("silver.erp_cost"))
+        lines, price = "silver.plm_bom", "silver.erp_cost"
         rollup = gold.assembly_rollup(bom, cost, hot=self.hot)
-        lines = serving.with_assembly(bom, rollup, self.hot)
+
+        def priced() -> DataFrame:
+            return serving.with_assembly(g["fact_bom_cost"], rollup, self.hot)
+
         tables = {
-            "mart_assembly_cost": serving.mart_assembly_cost(gold.fact_bom_cost(
-                serving.with_part(lines, g["dim_part"], self.hot), revisions, cost, self.hot), ctx),
-            "mart_supplier_scorecard": serving.mart_supplier_scorecard(g["agg_supplier_cost"], g["dim_supplier"], ctx),
-            "mart_open_revisions": serving.mart_open_revisions(g["agg_part_revision_history"], g["dim_part"], ctx, self.hot),
-            "api_part_cost_lookup": serving.api_part_cost_lookup(g["dim_part"], cost, ctx, hot=self.hot),
+            "mart_assembly_cost": (lambda: serving.mart_assembly_cost(serving.with_part(priced(), g["dim_part"], self.hot), ctx),
+                                   ["gold.fact_bom_cost", "gold.dim_part", lines, price]),
+            "mart_supplier_scorecard": (lambda: serving.mart_supplier_scorecard(g["agg_supplier_cost"], g["dim_supplier"], ctx),
+                                        ["gold.agg_supplier_cost", "gold.dim_supplier"]),
+            "mart_open_revisions": (lambda: serving.mart_open_revisions(
+                g["agg_part_revision_history"], g["dim_part"], ctx, self.hot), ["gold.agg_part_revision_history", "gold.dim_part"]),
+            "api_part_cost_lookup": (lambda: serving.api_part_cost_lookup(g["dim_part"], cost, ctx, hot=self.hot),
+                                     ["gold.dim_part", price]),
         }
-        for name, df in tables.items():
-            self.save(f"serving.{name}", serving.stamp(df, ctx))
+        for name, (build, inputs) in tables.items():
+            self.save(f"serving.{name}", lambda b=build: serving.stamp(b(), ctx), inputs, dated=True)
         views = {
-            "vw_assembly_cost_dashboard": serving.assembly_cost_dashboard(serving.with_assembly(g["fact_bom_cost"], rollup, self.hot)),
-            "vw_part_catalogue": serving.part_catalogue(g["dim_part"]),
-            "vw_supplier_scorecard": serving.supplier_scorecard(g["agg_supplier_cost"], g["dim_supplier"]),
-            "vw_revision_tracker": serving.revision_tracker(g["agg_part_revision_history"]),
-            "vw_cad_pipeline_health": serving.cad_pipeline_health(g["agg_cad_activity"]),
+            "vw_assembly_cost_dashboard": (lambda: serving.assembly_cost_dashboard(priced()), ["gold.fact_bom_cost", lines, price]),
+            "vw_part_catalogue": (lambda: serving.part_catalogue(g["dim_part"]), ["gold.dim_part"]),
+            "vw_supplier_scorecard": (lambda: serving.supplier_scorecard(g["agg_supplier_cost"], g["dim_supplier"]),
+                                      ["gold.agg_supplier_cost", "gold.dim_supplier"]),
+            "vw_revision_tracker": (lambda: serving.revision_tracker(g["agg_part_revision_history"]), ["gold.agg_part_revision_history"]),
+            "vw_cad_pipeline_health": (lambda: serving.cad_pipeline_health(g["agg_cad_activity"]), ["gold.agg_cad_activity"]),
         }
-        for name, df in views.items():
-            serving.register_view(df, name)
+        for name, (build, inputs) in views.items():
+            serving.register_view(self.save(f"serving.{name}", build, inputs), name)
 
-    def govern(self) -> None:
-        lake, ctx = self.lake, self.ctx
+    # Governance ---------------------------------------------------------------------------------------
+
+    def govern(self, control: str | None = None) -> None:
+        """Profiles, rejects of this run, watermark ages, schema drift, quality rules, alerts, health, log."""
+        lake, ctx, spark = self.lake, self.ctx, self.spark
         for name, schema in schemas.GOVERNANCE_TABLES.items():
             lake.ensure(f"govern.{name}", schema)
+        stored = {t.id: lake.read(t.id) for t in TABLES.values()}
         profile = governance.key_profile([
-            (t.layer, t.name, lake.read(t.id), [k for k in t.keys if k not in ("currency", "supplier_page")])
-            for t in TABLES.values()])
-        rates = governance.quarantine_rate([
-            (n, lake.read(f"silver.{n}"), lake.read_appended(f"silver.{n}_quarantine").where(f"run = '{ctx.run_id}'"))
-            for n in ("plm_revisions", "plm_bom", "erp_cost", "cad_metadata")])
-        lake.append(governance.dq_metrics(ctx, profile, rates), "govern.dq_metrics", ctx)
-        metrics = lake.read("govern.dq_metrics").where(f"run_id = '{ctx.run_id}'")
-        lake.append(governance.alerts(metrics), "govern.alert_log", ctx)
-        lake.append(governance.table_health([(t.layer, t.name, lake.files(t.id)) for t in TABLES.values()], ctx),
+            (t.layer, t.name, stored[t.id], [k for k in t.keys if k not in ("currency", "supplier_page")])
+            for t in TABLES.values() if t.keys])
+        rates = spark.createDataFrame([(n, bad, total) for n, (total, bad) in self.arrived.items()],
+                                      "table_name string, rejected_rows long, total_rows long").select(
+            "*", percent(F.col("rejected_rows"), F.col("total_rows")).alias("quarantine_pct"))
+        stale = None if control is None else incremental.staleness(
+            incremental.read_watermarks(spark, control), ctx.ts, ctx.limits.watermark_age_hours)
+        now = governance.schema_baseline(spark, stored, ctx)
+        baseline = lake.read("govern.schema_baseline").where(F.col("run") != ctx.run_id)
+        drifted = governance.schema_drift(now, baseline)
+        metrics = governance.dq_metrics(ctx, profile, rates, stale, drifted, governance.run_log(spark, ctx, self.entries))
+        lake.append(metrics, "govern.dq_metrics", ctx)
+        lake.append(now, "govern.schema_baseline", ctx)
+        lake.append(governance.quality_log(
+            nulls=[("plm_bom", stored["silver.plm_bom"], ["part_id"]), ("erp_cost", stored["silver.erp_cost"], ["part_id"])],
+            unique=[("plm_bom", stored["silver.plm_bom"], ["assembly_id", "part_id"])],
+            references=[("plm_bom", stored["silver.plm_bom"], "erp_cost", stored["silver.erp_cost"], ["part_id"])],
+            business=rules.rule_report([("erp_cost", stored["silver.erp_cost"], silver.COST_RULES())])), "govern.quality_log", ctx)
+        own = lake.read("govern.dq_metrics").where(F.col("run_id") == ctx.run_id)
+        lake.append(governance.alerts(own), "govern.alert_log", ctx)
+        lake.append(governance.table_health([(t.layer, t.name, stored[t.id]) for t in TABLES.values()], ctx),
                     "govern.table_health", ctx)
-        health = lake.read("govern.table_health").where(f"run = '{ctx.run_id}'")
-        lake.publish(governance.daily_summary(metrics, health), "govern.daily_summary", ctx)
-        lake.append(governance.run_log(self.spark, ctx, self.entries), "govern.pipeline_run_log", ctx)
+        health = lake.read("govern.table_health").where(F.col("run") == ctx.run_id)
+        lake.publish(governance.daily_summary(own, health), "govern.daily_summary", ctx)
+        self.log()
 
-    def all(self, src: Sources) -> None:
-        self.bronze(src)
+    def layers(self, control: str | None = None) -> None:
         self.silver()
         self.gold()
         self.serving()
-        self.govern()
+        self.govern(control)
+
+    def all(self, src: Sources) -> None:
+        self.bronze(src)
+        self.layers()
+
+    def incremental(self, sources: Mapping[str, tuple[DataFrame, str]], control: str, upto: datetime) -> None:
+        self.load(sources, control, upto)
+        self.layers(control)
+
+
+def _prices(cost: DataFrame) -> DataFrame:
+    return cost.select("part_id", "supplier_name", "cost", "currency", "last_updated")

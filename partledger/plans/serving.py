@@ -187,16 +187,18 @@ def api_part_cost_lookup(dim_part: DataFrame, cost: DataFrame, ctx: RunContext,
                          page_rows: int = SUPPLIERS_PER_PAGE, hot: Hot = EVEN) -> DataFrame:
     """One row per part for point lookups: revision, cheapest supplier, all suppliers, and the JSON answer.
 
-    The cheapest supplier is taken in the part's main currency (that of ``dim_part``), ties by name. A
-    part with more suppliers than fit a page gets further rows, numbered by ``supplier_page``, so that
-    no list outgrows a task; page 0 alone is the common case. Prices are read from the price list: the
-    fact only repeats them per assembly.
+    The key is (part_id, supplier_page). The cheapest supplier is taken in the part's main currency (that
+    of ``dim_part``), ties by name. A part's suppliers are listed on as many pages as ``page_rows`` asks
+    for, so that no list outgrows a task, and every answer states its page and the number of pages:
+    whoever wants the whole list reads pages 0 to pages - 1. Prices are read from the price list: the fact
+    only repeats them per assembly.
     """
     offer = F.struct(F.col("supplier_name").alias("supplier"), F.col("cost").alias("unit_cost"), F.col("currency"))
     pages = cost.groupBy("part_id").agg(F.ceil(F.count(F.lit(1)) / page_rows).alias("_pages"))
     paged = skew.join(cost, pages, ["part_id"], hot=hot.cost_parts).withColumn(
         "supplier_page", F.pmod(F.xxhash64("supplier_name"), F.col("_pages")).cast("int"))
-    lists = paged.groupBy("part_id", "supplier_page").agg(F.array_sort(F.collect_set(offer)).alias("all_suppliers"))
+    lists = paged.groupBy("part_id", "supplier_page").agg(
+        F.array_sort(F.collect_set(offer)).alias("all_suppliers"), F.max("_pages").alias("_pages"))
 
     main = dim_part.select("part_id", "currency")
     in_main = skew.join(cost.select("part_id", "currency", "supplier_name", "cost"), main, ["part_id", "currency"],
@@ -210,9 +212,11 @@ def api_part_cost_lookup(dim_part: DataFrame, cost: DataFrame, ctx: RunContext,
     rows = parts.join(best, "part_id", "left").join(lists, "part_id", "left").select(
         "part_id", "current_revision", "current_status", F.col("current_status").isin("Released").alias("is_available"),
         "cheapest_supplier", "cheapest_unit_cost", "cost_currency", "all_suppliers",
-        F.coalesce("supplier_page", F.lit(0)).alias("supplier_page"))
+        F.coalesce("supplier_page", F.lit(0)).alias("supplier_page"),
+        F.coalesce("_pages", F.lit(1)).cast("int").alias("supplier_pages"))
     answer = F.struct("part_id", "current_revision", "current_status", "is_available", "cheapest_supplier",
-                      "cheapest_unit_cost", "cost_currency", "all_suppliers")
+                      "cheapest_unit_cost", "cost_currency", "all_suppliers", F.col("supplier_page").alias("page"),
+                      F.col("supplier_pages").alias("pages"))
     return rows.select("*", F.to_json(answer).alias("api_response_json"), ctx.ts.alias("cache_refreshed_at"))
 
 

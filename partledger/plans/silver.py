@@ -98,10 +98,13 @@ def bom_lines(bronze: DataFrame) -> DataFrame:
 
 
 def plm_bom(bronze: DataFrame, revisions: DataFrame, hot: Hot = EVEN) -> DataFrame:
+    return with_current_revision(bom_lines(bronze), revisions, hot)
+
+
+def with_current_revision(lines: DataFrame, revisions: DataFrame, hot: Hot = EVEN) -> DataFrame:
     now = current_revision(revisions).select(
         "part_id", F.col("revision").alias("current_revision"), F.col("status").alias("current_status"))
-    lines = skew.join(bom_lines(bronze), now, ["part_id"], hot=hot.bom_parts)
-    return lines.select("*", F.col("current_revision").isNotNull().alias("has_active_revision"))
+    return skew.join(lines, now, ["part_id"], hot=hot.bom_parts).select("*", F.col("current_revision").isNotNull().alias("has_active_revision"))
 
 
 # Supplier cost --------------------------------------------------------------------------------------
@@ -121,6 +124,15 @@ def erp_cost(bronze: DataFrame) -> DataFrame:
     return latest_per_key(drop_prefixed(judge_cost(bronze).clean), ["part_id", "supplier_name"], ["last_updated"])
 
 
+JUDGES = {"cad_metadata": judge_cad, "plm_revisions": judge_revisions, "plm_bom": judge_bom, "erp_cost": judge_cost}
+
+
+def judge_arrivals(name: str, raw: DataFrame) -> Verdict:
+    """Judge rows as they arrive: the clean ones unchanged, the rejected ones typed, with their reason."""
+    verdict = JUDGES[name](raw.withColumn("_raw", F.struct(*raw.columns)))
+    return Verdict(verdict.clean.select("_raw.*"), verdict.rejected.drop("_raw"))
+
+
 # Conformed ------------------------------------------------------------------------------------------
 
 VIEW_COLUMNS = [

@@ -65,7 +65,7 @@ def fact_bom(bom: DataFrame) -> DataFrame:
 
 def fact_cost(cost: DataFrame, parts: DataFrame, suppliers: DataFrame, hot: Hot = EVEN) -> DataFrame:
     with_part = lookup_key(cost, parts, "part_id", "part_key", hot.cost_parts)
-    keyed = lookup_key(with_part, suppliers, "supplier_name", "supplier_key")
+    keyed = lookup_key(with_part, suppliers, "supplier_name", "supplier_key", hot.suppliers)
     return keyed.select("part_key", "supplier_key", "cost", "currency")
 
 

@@ -96,5 +96,18 @@ TABLES = {
         TableSpec("serving", "mart_supplier_scorecard", ("supplier_name", "currency"), (), ("supplier_name",)),
         TableSpec("serving", "mart_open_revisions", ("part_id", "revision"), (), ("part_id", "review_status")),
         TableSpec("serving", "api_part_cost_lookup", ("part_id", "supplier_page"), (), ("part_id",)),
+        TableSpec("star", "dim_part", ("part_key",)),
+        TableSpec("star", "dim_assembly", ("assembly_key",)),
+        TableSpec("star", "dim_supplier", ("supplier_key",)),
+        TableSpec("star", "dim_revision", ("revision_key",)),
+        TableSpec("star", "fact_bom", ("assembly_key", "part_key")),
+        TableSpec("star", "fact_cost", ("part_key", "supplier_key")),
+        TableSpec("star", "fact_design", ("part_key",)),
+        # Views for reports, stored with their labels: no keys to check.
+        TableSpec("serving", "vw_assembly_cost_dashboard", ()),
+        TableSpec("serving", "vw_part_catalogue", ()),
+        TableSpec("serving", "vw_supplier_scorecard", ()),
+        TableSpec("serving", "vw_revision_tracker", ()),
+        TableSpec("serving", "vw_cad_pipeline_health", ()),
     ]
 }

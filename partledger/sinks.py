@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import json
+import uuid
 from collections.abc import Sequence
 from contextlib import contextmanager
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -17,51 +20,124 @@ from partledger.schemas import TableSpec
 from partledger.session import shared_dir
 
 
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Put a small text file in place in one step: readers see the old content or the new one."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    final = hadoop.Path(path)
+    files = final.getFileSystem(spark._jsc.hadoopConfiguration())
+    staged = hadoop.Path(f"{path}.{uuid.uuid4().hex}")
+    out = files.create(staged, True)
+    out.write(bytearray(text, "utf-8"))
+    out.close()
+    swap = spark.sparkContext._gateway.new_array(hadoop.Options.Rename, 1)
+    swap[0] = hadoop.Options.Rename.OVERWRITE
+    hadoop.FileContext.getFileContext(files.makeQualified(final).toUri(), spark._jsc.hadoopConfiguration()).rename(
+        files.makeQualified(staged), files.makeQualified(final), swap)
+
+
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """A small text file, or None where there is none."""
+    final = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if not final.getFileSystem(spark._jsc.hadoopConfiguration()).exists(final):
+        return None
+    return spark.read.text(path, wholetext=True).first()[0]
+
+
+# A file of a compacted table.
+FILE_BYTES = 256 * 1024 * 1024
+
+
 class Lake:
-    """Tables as Parquet folders, one per run, each named by a view ``layer.table``.
+    """Tables as Parquet folders. A small file ``pointers/layer.table.json`` names the folder that
+    holds a table's rows now and their schema.
 
-    A run never writes where it reads: it writes a new folder and then points the view at it, so
-    readers see the old table or the new one, and a run that dies leaves the old one in place.
+    A write goes to a fresh folder, and the file is replaced after it: readers see the old table or the
+    new one, a write that dies leaves the old one in place, and repeating it is harmless. Everything is
+    found from storage, so tables outlive the session. Views ``layer.table`` serve SQL in this session.
     """
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
 
+    def folder(self, table: str) -> str:
+        return f"{self.root}/{table.replace('.', '/')}"
+
+    def pointer(self, table: str) -> str:
+        return f"{self.root}/pointers/{table}.json"
+
+    def state(self, table: str) -> dict | None:
+        """What the pointer says: path, schema, run, and the day the rows were computed for."""
+        text = read_text(self.spark, self.pointer(table))
+        return None if text is None else json.loads(text)
+
     def exists(self, table: str) -> bool:
-        layer, _ = table.split(".")
-        return self.spark.catalog.databaseExists(layer) and self.spark.catalog.tableExists(table)
+        return self.state(table) is not None
 
     def read(self, table: str) -> DataFrame:
-        return self.spark.table(table)
+        state = self.state(table)
+        if state is None:
+            raise ValueError(f"there is no table {table} below {self.root}")
+        if state.get("appended"):
+            return self.read_appended(table)
+        return self.spark.read.schema(StructType.fromJson(state["schema"])).parquet(state["path"])
+
+    # A scan that knows each row's file is an ordinary read.
+    files = read
+
+    def _point(self, table: str, path: str, schema: StructType, ctx: RunContext | None, **more) -> None:
+        state = {"path": path, "schema": schema.jsonValue(), **more}
+        if ctx:
+            state |= {"run": ctx.run_id, "day": ctx.run_date.isoformat()}
+        write_text(self.spark, self.pointer(table), json.dumps(state))
+        self._name(table)
+
+    def _name(self, table: str) -> None:
+        self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {table.split('.')[0]}")
+        state = self.state(table)
+        if state.get("appended"):
+            self.spark.sql(f"CREATE OR REPLACE VIEW {table} AS SELECT * FROM parquet.`{state['path']}`")
+        else:
+            columns = ", ".join(f"`{f['name']}`" for f in state["schema"]["fields"])
+            self.spark.sql(f"CREATE OR REPLACE VIEW {table} AS SELECT {columns} FROM parquet.`{state['path']}`")
+
+    def open(self) -> None:
+        """Name every table below the root in this session, as after a restart."""
+        found = self.spark.read.format("binaryFile").option("pathGlobFilter", "*.json").load(
+            f"{self.root}/pointers").select("path").collect()  # one row per table
+        for row in found:
+            self._name(row.path.rsplit("/", 1)[-1].removesuffix(".json"))
 
     def publish(self, df: DataFrame, table: str, ctx: RunContext, partition_by: Sequence[str] = (),
                 cluster_by: Sequence[str] = ()) -> dict:
-        """Write the table anew and point its view there. Returns the row count seen on the way."""
-        layer, name = table.split(".")
-        path = f"{self.root}/{layer}/{name}/{ctx.run_id}"
+        """Write the table anew and then switch to it. Returns the row count seen on the way."""
+        path = f"{self.folder(table)}/{ctx.run_id}-{uuid.uuid4().hex[:12]}"
         seen = Observation()
         counted = df.observe(seen, F.count(F.lit(1)).alias("rows_written"))
         if cluster_by and not partition_by:
             counted = clustered(counted, cluster_by)
-        write_partitioned(counted, path, partition_by, mode="overwrite")
-        self._name(table, path)
+        write_partitioned(counted, path, partition_by)
+        order = [*(f for f in df.schema.fields if f.name not in partition_by),
+                 *(df.schema[c] for c in partition_by)]
+        self._point(table, path, StructType(order), ctx)
         return seen.get
 
-    def _name(self, table: str, path: str) -> None:
-        self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {table.split('.')[0]}")
-        self.spark.sql(f"CREATE OR REPLACE VIEW {table} COMMENT '{path}' AS SELECT * FROM parquet.`{path}`")
-
-    def files(self, table: str) -> DataFrame:
-        """The files behind a table as a scan, which knows each row's file."""
-        return self.spark.read.parquet(self.spark.catalog.getTable(table).description)
-
-    def upsert(self, df: DataFrame, spec: TableSpec, ctx: RunContext) -> dict:
-        """Create the table, or merge the rows into it by the table's keys."""
+    def upsert(self, df: DataFrame, spec: TableSpec, ctx: RunContext, newer_by: str | None = None) -> dict:
+        """Create the table, or merge the rows into it by the table's keys.
+
+        The arriving rows are computed once, to a written table; their keys are checked there. With
+        ``newer_by`` an arriving row that is older than the stored one does not replace it. Rows that
+        bring nothing leave the table as it is, unwritten.
+        """
+        path = shared_dir(self.spark, "arriving")
+        df.write.parquet(path)
+        arriving = self.spark.read.schema(df.schema).parquet(path)
+        reject_duplicates(arriving, spec)
         if self.exists(spec.id):
-            reject_duplicates(df, spec)
-            df = upsert(self.read(spec.id), df, spec.keys)
-        return self.publish(df, spec.id, ctx, spec.partition_by, spec.cluster_by)
+            if arriving.isEmpty():
+                return {"rows_written": 0}
+            arriving = upsert(self.read(spec.id), arriving, spec.keys, newer_by)
+        return self.publish(arriving, spec.id, ctx, spec.partition_by, spec.cluster_by)
 
     def ensure(self, table: str, schema: str | StructType) -> None:
         """Create an empty append table with a fixed schema unless it exists."""
@@ -74,15 +150,14 @@ class Lake:
         self._append(df, table, ctx.run_id)
 
     def _append(self, df: DataFrame, table: str, run: str) -> None:
-        layer, name = table.split(".")
-        path = f"{self.root}/{layer}/{name}"
+        path = self.folder(table)
         df.write.mode("overwrite").parquet(f"{path}/run={run}")
-        self._name(table, path)
+        if not self.exists(table):
+            self._point(table, path, df.schema, None, appended=True)
 
     def read_appended(self, table: str) -> DataFrame:
         """All runs of an append table, with columns that only some runs have."""
-        layer, name = table.split(".")
-        return self.spark.read.option("mergeSchema", "true").parquet(f"{self.root}/{layer}/{name}")
+        return self.spark.read.option("mergeSchema", "true").parquet(self.folder(table))
 
 
 @contextmanager
@@ -111,22 +186,35 @@ def write_partitioned(df: DataFrame, path: str, partition_by: Sequence[str] = ()
         df.write.mode(mode).parquet(path)
 
 
+def _in_places(df: DataFrame, places: Sequence[Row], partition_by: Sequence[str]) -> Column:
+    """Literal tests on the partition columns, which decide at planning time which folders are read."""
+    def is_(c: str, v) -> Column:
+        return df[c].isNull() if v is None else df[c] == F.lit(v)
+
+    return reduce(lambda a, b: a | b, (reduce(lambda a, b: a & b, (is_(c, r[c]) for c in partition_by)) for r in places),
+                  F.lit(False))
+
+
 def upsert_partitions(spark: SparkSession, path: str, source: DataFrame, keys: Sequence[str],
                       partition_by: Sequence[str]) -> int:
     """Merge rows into a partitioned table and rewrite only the partitions concerned.
 
     Concerned are the partitions of the source and those where a matched row lies now: a row whose
-    partition value changes leaves its old one. The merged rows are written to shared storage first,
-    then replace the partitions; partitions left empty are removed. Returns the partitions rewritten.
+    partition value changes leaves its old one. To find these, only keys and partition columns of the
+    table are read. The merged rows are written to shared storage first, then replace the partitions;
+    partitions left empty are removed. Returns the partitions rewritten.
     """
     target = spark.read.parquet(path)
-    matched = target.join(source.select(*keys), null_safe(target, source, keys), "left_semi")
-    places = source.select(*partition_by).union(matched.select(*partition_by)).distinct()
-    affected = target.join(places, null_safe(target, places, partition_by), "left_semi")
+    known = target.select(*{*keys, *partition_by})
+    matched = known.join(source.select(*keys), null_safe(known, source, keys), "left_semi")
+    # Partition values: as many as there are folders, at most.
+    touched = source.select(*partition_by).union(matched.select(*partition_by)).distinct().collect()
+    if not touched:
+        return 0
+    affected = target.where(_in_places(target, touched, partition_by))
     staged = shared_dir(spark, "merge")
     write_partitioned(upsert(affected, source, keys), staged)
-    merged = spark.read.parquet(staged)
-    touched = places.collect()  # partition values: as many as there are folders, at most
+    merged = spark.read.schema(target.schema).parquet(staged)
     merged.hint("rebalance", *partition_by).write.mode("overwrite").option(
         "partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path)
     filled = {tuple(r) for r in merged.select(*partition_by).distinct().collect()}
@@ -172,8 +260,13 @@ def _count_below(edges: Column, value: Column) -> Column:
     return F.size(F.filter(edges, lambda e: e <= value))
 
 
-def compact(df: DataFrame, path: str, columns: Sequence[str], files: int, numeric: bool = False) -> None:
-    """Rewrite a table into ``files`` well-filled files clustered on the columns."""
+def compact(df: DataFrame, path: str, columns: Sequence[str], files: int | None = None, numeric: bool = False,
+            file_bytes: int = FILE_BYTES) -> None:
+    """Rewrite a table into well-filled files clustered on the columns.
+
+    Without a number of files there are as many as its bytes fill.
+    """
+    files = files or max(1, -(-_bytes_of(df) // file_bytes))
     if numeric and len(columns) > 1:
         keyed = df.withColumn("_z", interleaved_key(df, columns))
         # The columns follow the key so that one crowded cell can still be cut.
@@ -181,3 +274,8 @@ def compact(df: DataFrame, path: str, columns: Sequence[str], files: int, numeri
     else:
         laid = clustered(df, columns, files)
     laid.write.mode("errorifexists").parquet(path)
+
+
+def _bytes_of(df: DataFrame) -> int:
+    """Size of what a frame reads, as the optimizer takes it from the files."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))

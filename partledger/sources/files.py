@@ -24,19 +24,6 @@ def parquet_table(spark: SparkSession, path: str, schema: str | StructType | Non
     return reader.parquet(path)
 
 
-def spread(df: DataFrame, min_bytes: int = 4 * 1024 * 1024) -> DataFrame:
-    """Share out a table whose files cannot be split into as many tasks as there are cores.
-
-    A Parquet file is split between row groups only, so one small file is one task. Tables of many
-    files, and those too small to matter, are returned as they are.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if len(df.inputFiles()) >= cores:
-        return df
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return df.repartition(cores, df.columns[0]) if min_bytes <= size < cores * 128 * 1024 * 1024 else df
-
-
 def jdbc_table(spark: SparkSession, url: str, table: str, split_column: str, lower: str, upper: str, parts: int,
                **options: str) -> DataFrame:
     """A database table read in parallel ranges; filters put on the result are pushed to the database."""

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -10,9 +11,13 @@ from pyspark.sql import functions as F
 from partledger import schemas
 from partledger.context import EPOCH_START
 from partledger.functions.columns import age_hours
+from partledger.sinks import read_text, write_text
 
 
 def read_watermarks(spark: SparkSession, path: str) -> DataFrame:
+    """The control record, one JSON array in a file; empty where there is none yet."""
+    if read_text(spark, path) is None:
+        return spark.createDataFrame([], schemas.WATERMARK)
     return spark.read.schema(schemas.WATERMARK).json(path, multiLine=True)
 
 
@@ -42,12 +47,15 @@ def land(changes: DataFrame, path: str, run_id: str) -> str:
 
 
 def commit_watermarks(control: DataFrame, tables: list[str], upto: datetime, path: str) -> None:
-    """Write the control record (one JSON array) anew, after the data of the named tables has been committed."""
+    """Write the control record anew, after the data of the named tables has been committed.
+
+    Tables the record lacks are added to it. The new record replaces the old one in one step.
+    """
     stamp = upto.strftime("%Y-%m-%d %H:%M:%S")
-    moved = F.when(F.col("table_name").isin(tables), F.lit(stamp)).otherwise(F.col("last_watermark"))
-    rows = control.withColumn("last_watermark", moved).collect()  # one row per source table
-    records = control.sparkSession.createDataFrame(rows, schemas.WATERMARK)
-    records.agg(F.to_json(F.collect_list(F.struct("*"))).alias("value")).write.mode("overwrite").text(path)
+    records = {r["table_name"]: r.asDict() for r in control.collect()}  # one row per source table
+    for table in tables:
+        records[table] = {**records.get(table, {"table_name": table}), "last_watermark": stamp}
+    write_text(control.sparkSession, path, json.dumps([records[t] for t in sorted(records)]))
 
 
 def changes_after(feed: DataFrame, positions: DataFrame, table: str, lsn: str) -> DataFrame:
@@ -57,11 +65,11 @@ def changes_after(feed: DataFrame, positions: DataFrame, table: str, lsn: str) -
 
 
 def staleness(watermarks: DataFrame, now: Column, limit_hours: float) -> DataFrame:
-    """Age in hours of each watermark; one that cannot be read is flagged, not skipped."""
+    """Age in hours of each watermark. One that cannot be read, or lies in the future, does not pass."""
     seen = F.try_to_timestamp("last_watermark")
     aged = watermarks.select("table_name", "last_watermark", age_hours(now, seen).alias("age_hours"))
     return aged.select("*", F.col("age_hours").isNull().alias("unreadable"),
-                       F.coalesce(F.col("age_hours") <= limit_hours, F.lit(False)).alias("passed"))
+                       F.coalesce(F.col("age_hours").between(0, limit_hours), F.lit(False)).alias("passed"))
 
 
 def latest_runs(ledger: DataFrame) -> DataFrame:

@@ -54,9 +54,9 @@ def store_updates(stream: DataFrame, path: str, checkpoint: str) -> None:
     _each_batch(stream, path, checkpoint, "update", lambda batch: batch)
 
 
-def current(spark: SparkSession, path: str, keys: Sequence[str]) -> DataFrame:
-    """The table the batches make: later batches replace earlier ones, key by key."""
-    return latest_per_key(spark.read.parquet(path), keys, ["batch"]).drop("batch")
+def current(spark: SparkSession, path: str, keys: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
+    """The table the batches make, key by key: the highest ``by`` wins, then the later batch."""
+    return latest_per_key(spark.read.parquet(path), keys, [*by, "batch"]).drop("batch")
 
 
 def current_of_feed(spark: SparkSession, path: str, keys: Sequence[str], lsn: str, op: str,

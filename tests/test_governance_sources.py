@@ -52,9 +52,12 @@ def test_watermarks_are_committed_as_read(spark, tmp_path, rows):
                                 "v string, t timestamp")
     taken = incremental.changed_between(src, "t", after, upto)
     assert rows(taken, "v", "_ingestion_ts") == [("new", "2026-03-10 09:00:00")]
-    incremental.commit_watermarks(control, ["erp_cost"], upto, str(tmp_path / "next"))
-    again = incremental.read_watermarks(spark, str(tmp_path / "next"))
-    assert rows(again, "table_name", "last_watermark") == [("erp_cost", "2026-03-10 09:00:00"), ("plm_bom", "2026-03-05 00:00:00")]
+    for _ in range(2):
+        incremental.commit_watermarks(control, ["erp_cost", "added"], upto, str(path))
+    again = incremental.read_watermarks(spark, str(path))
+    assert rows(again, "table_name", "last_watermark") == [
+        ("added", "2026-03-10 09:00:00"), ("erp_cost", "2026-03-10 09:00:00"), ("plm_bom", "2026-03-05 00:00:00")]
+    assert incremental.read_watermarks(spark, str(tmp_path / "none")).isEmpty()
     assert rows(incremental.changed_between(src, "t", incremental.watermark_of(again, "erp_cost"), "2026-03-11"), "v") == [("later",)]
 
 

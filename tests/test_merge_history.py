@@ -1,9 +1,15 @@
+import os
 import random
+import subprocess
+import sys
 from datetime import datetime, timedelta
 
 import pytest
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
+from partledger import sinks
+
 from partledger.operators import history, merge, skew
 from partledger.operators.dedup import duplicate_keys
 from partledger.schemas import TableSpec
@@ -70,6 +76,68 @@ def test_tables_are_swapped_whole(spark, ctx, rows):
     assert duplicate_keys(twice, ["part_id", "supplier_name"]).first().copies == 2
 
 
+def test_older_rows_do_not_replace_newer_ones(spark, rows):
+    schema = "k int, v string, t int"
+    target = spark.createDataFrame([(1, "new", 5), (2, "old", 1), (3, "x", None)], schema)
+    source = spark.createDataFrame([(1, "late", 4), (2, "newer", 2), (3, "y", 1), (4, "z", None)], schema)
+    assert rows(merge.upsert(target, source, ["k"], "t"), "k", "v") == [("1", "new"), ("2", "newer"), ("3", "y"), ("4", "z")]
+
+
+IN_A_NEW_PROCESS = """
+import sys
+from datetime import datetime
+from partledger.context import RunContext
+from partledger.schemas import TableSpec
+from partledger.session import build_session
+from partledger.sinks import Lake
+spark = build_session("second", "local[2]", **{"spark.ui.enabled": "false", "spark.sql.shuffle.partitions": "2"})
+lake = Lake(spark, sys.argv[1])
+lake.upsert(spark.createDataFrame([("D", "s", 4)], "part_id string, supplier_name string, cost int"),
+            TableSpec("shop", "prices", ("part_id", "supplier_name")), RunContext("t9", datetime(2026, 4, 2)))
+lake.open()
+print("ROWS", spark.table("shop.prices").count())
+"""
+
+
+def test_tables_outlive_the_process(spark, ctx, rows, tmp_path):
+    lake = Lake(spark, str(tmp_path / "lake"))
+    spec = TableSpec("shop", "prices", ("part_id", "supplier_name"))
+    lake.upsert(spark.createDataFrame([(k, "s", 1) for k in "ABC"], COST), spec, ctx)
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    out = subprocess.run([sys.executable, "-c", IN_A_NEW_PROCESS, lake.root], capture_output=True, text=True, timeout=300,
+                         cwd=root, env=os.environ | {"PYTHONPATH": root})
+    assert "ROWS 4" in out.stdout, out.stderr[-2000:]
+    assert rows(lake.read("shop.prices"), "part_id") == [("A",), ("B",), ("C",), ("D",)]
+
+
+def test_a_run_id_may_be_repeated_on_a_large_table(spark, ctx):
+    lake = Lake(spark, shared_dir(spark, "lake"))
+    spec = TableSpec("large", "t", ("id",))
+    lake.upsert(spark.range(1_000_000).withColumn("v", F.lit(1)), spec, ctx)
+    for _ in range(2):
+        lake.upsert(spark.range(900_000, 1_100_000).withColumn("v", F.lit(2)), spec, ctx)
+    got = lake.read("large.t").agg(F.count(F.lit(1)), F.count_distinct("id"), F.sum("v")).first()
+    assert tuple(got) == (1_100_000, 1_100_000, 1_300_000)
+
+
+def test_nothing_arriving_writes_nothing(spark, ctx):
+    lake = Lake(spark, shared_dir(spark, "lake"))
+    spec = TableSpec("still", "t", ("id",))
+    lake.upsert(spark.range(3), spec, ctx)
+    before = lake.state("still.t")
+    lake.upsert(spark.range(0), spec, type(ctx)("t2", ctx.run_ts))
+    assert lake.state("still.t") == before
+
+
+def test_partition_upsert_reads_only_its_partitions(spark):
+    path = shared_dir(spark, "test")
+    write_partitioned(spark.range(9).select("id", (F.col("id") % 3).cast("string").alias("part")), path, ["part"])
+    target = spark.read.parquet(path)
+    plan = target.where(sinks._in_places(target, [Row(part="1"), Row(part=None)], ["part"]))
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in text and "PartitionFilters: []" not in text
+
+
 def test_repeated_appends_add_nothing(spark, ctx, rows):
     lake = Lake(spark, shared_dir(spark, "lake"))
     df = spark.createDataFrame([(1,), (1,)], "v int")
@@ -160,10 +228,22 @@ def test_changes_rebuild_only_their_keys(spark, rows):
     early, late = df.where("revision < 'r120'"), df.where("revision >= 'r120'")
     tracked = ["revision", "status"]
     dim = history.version_chain(early, "part_id", "effective_from", tracked, ["revision"])
-    changes = late.withColumnRenamed("effective_from", "valid_from")
-    got = history.apply_changes(dim, changes, "part_id", tracked)
+    points, changes = (x.withColumnRenamed("effective_from", "valid_from") for x in (early, late))
+    got, points = history.apply_changes(dim, points, changes, "part_id", tracked)
     assert rows(got) == rows(history.version_chain(df, "part_id", "effective_from", tracked, ["revision"]))
-    assert rows(history.apply_changes(got, changes, "part_id", tracked)) == rows(got)
+    again, same = history.apply_changes(got, points, changes, "part_id", tracked)
+    assert rows(again) == rows(got) and rows(same) == rows(points)
+
+
+def test_late_version_between_equal_states(spark, rows):
+    schema = "k string, state string, valid_from int"
+    points = spark.createDataFrame([("x", "A", 1), ("x", "A", 5)], schema)
+    late = spark.createDataFrame([("x", "B", 3)], schema)
+    dim = history.version_chain(points.withColumnRenamed("valid_from", "start"), "k", "start", ["state"])
+    assert rows(dim, "state", "valid_from") == [("A", "1")]
+    got, _ = history.apply_changes(dim, points, late, "k", ["state"])
+    assert rows(got, "state", "valid_from", "valid_to", "is_current") == [
+        ("A", "1", "3", "False"), ("A", "5", "None", "True"), ("B", "3", "5", "False")]
 
 
 def test_active_on_is_half_open(spark, rows):

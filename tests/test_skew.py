@@ -14,10 +14,19 @@ def lines(spark, n=600, seed=7):
     return spark.createDataFrame(data, "k string, t int, id int, v string")
 
 
-def test_small_inputs_are_not_counted(spark):
+def test_no_key_above_the_limit(spark):
     assert skew.find(lines(spark), ["k"]) is None
 
 
+def test_hot_null_keys_are_spread_and_match_nothing(spark, rows):
+    left = spark.range(90).select(F.when(F.col("id") < 10, F.lit("a")).alias("k"), "id")
+    right = spark.createDataFrame([("a", 1), (None, 2)], "k string, w int")
+    hot = skew.find(left, ["k"], group_rows=30)
+    assert [(r.k, r["_rows"]) for r in hot.rows.collect()] == [(None, 80)]
+    for how in ("left", "inner", "left_anti", "left_semi"):
+        assert rows(skew.join(left, right, ["k"], how, hot)) == rows(left.join(right, "k", how))
+
+
 def test_hot_keys_are_found(spark):
     hot = skew.find(lines(spark), ["k"], group_rows=50)
     assert [(r.k, r["_rows"]) for r in hot.rows.collect()] == [("hot", 200)]
