@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from partledger.llm import ann, bpe, chat, langid, linededup, mixing, near, quality, tokenfile
+from partledger.llm import ann, bpe, chat, langid, linededup, mixing, near, quality, tokenfile, urls
 from partledger.llm.common import table
 from partledger.session import shared_dir
 
@@ -28,6 +28,33 @@ def op1_bpe_round_trip(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2("text", 256).alias("decoded_sha256"))
 
 
+# Captures and dated lists derived from the pages: a page is fetched at a time that follows from its id, and
+# domains, directories and URLs go on and off three lists at times that follow from the first page they have.
+CAPTURES = "SELECT page_id, url, timestamp_seconds(1704067200 + page_id * 7919 % 31536000) AS fetched_at FROM {pages}"
+ENTRIES = """
+WITH parts AS (
+  SELECT page_id, lower(regexp_extract(url, '//([^/?#:]*)', 1)) AS host,
+         regexp_extract(url, '//[^/?#]*(/[^/?#]*)', 1) AS dir, url FROM {pages}),
+named AS (
+  SELECT 'spam' AS list, concat('d:', regexp_extract(host, '([^.]+[.][^.]+[.][^.]+)$', 1)) AS pattern, page_id FROM parts
+  UNION ALL SELECT 'adult' AS list, concat('p:', host, dir) AS pattern, page_id FROM parts
+  UNION ALL SELECT 'takedown' AS list,
+    concat('u:', host, regexp_replace(regexp_extract(url, '//[^/?#]*([^?#]*)', 1), '/+$', ''),
+           regexp_extract(url, '^[^?#]*([?][^#]*)', 1)) AS pattern, page_id FROM parts WHERE page_id % 20 = 7),
+firsts AS (SELECT list, pattern, min(page_id) AS m FROM named GROUP BY list, pattern),
+steps AS (SELECT list, pattern, m, explode(sequence(0, cast(m % 6 AS int))) AS step FROM firsts WHERE m % 4 <> 3)
+SELECT list, pattern, CASE WHEN step % 2 = 0 THEN 'add' ELSE 'remove' END AS change,
+       timestamp_seconds(1701388800 + m * 104729 % 20000000 + step * (500000 + m % 11 * 300000)) AS at
+FROM steps
+"""
+
+
+def op2_url_filters(spark: SparkSession, folder: str) -> DataFrame:
+    pages = table(spark, folder, "pages").select("page_id", "url")
+    captures, entries = spark.sql(CAPTURES, pages=pages), spark.sql(ENTRIES, pages=pages)
+    return urls.filter_captures(captures, entries)
+
+
 def op3_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     return mixing.taken_words(*mixing.mix(docs, mixing.word_count(F.col("text"))))
@@ -90,10 +117,42 @@ def op10_nearest_vectors(spark: SparkSession, folder: str) -> DataFrame:
     return ann.nearest(rows, rows.where(F.col("vec_id") % 20 == 0), k=20)
 
 
-QUERIES = {f.__name__: f for f in (op1_bpe_round_trip, op3_mix_sources, op4_similar_texts, op5_token_files, op6_language_id, op7_line_dedup,
+QUERIES = {f.__name__: f for f in (op1_bpe_round_trip, op2_url_filters, op3_mix_sources, op4_similar_texts, op5_token_files, op6_language_id, op7_line_dedup,
                                     op8_chat_format, op9_quality_rules, op10_nearest_vectors)}
 
 ORACLE_SQL = {
+    "op2_url_filters": r"""
+WITH captures AS (
+  SELECT page_id, url, make_timestamp((1704067200 + page_id * 7919 % 31536000) * 1000000) AS fetched_at,
+         lower(regexp_extract(url, '//([^/?#:]*)', 1)) AS host,
+         rtrim(regexp_extract(url, '//[^/?#]*([^?#]*)', 1), '/') AS path,
+         regexp_extract(url, '^[^?#]*(\?[^#]*)', 1) AS query,
+         regexp_extract(url, '//[^/?#]*(/[^/?#]*)', 1) AS dir
+  FROM pages),
+named AS (
+  SELECT 'spam' AS list, 'd:' || regexp_extract(host, '([^.]+[.][^.]+[.][^.]+)$', 1) AS pattern, page_id FROM captures
+  UNION ALL SELECT 'adult', 'p:' || host || dir, page_id FROM captures
+  UNION ALL SELECT 'takedown', 'u:' || host || path || query, page_id FROM captures WHERE page_id % 20 = 7),
+firsts AS (SELECT list, pattern, min(page_id) AS m FROM named GROUP BY ALL),
+entries AS (
+  SELECT list, pattern, step % 2 = 0 AS listed,
+         make_timestamp((1701388800 + m * 104729 % 20000000 + step * (500000 + m % 11 * 300000)) * 1000000) AS moment
+  FROM firsts, unnest(generate_series(0, m % 6)) AS s(step) WHERE m % 4 <> 3),
+labels AS (SELECT *, string_split(host, '.') AS l, string_split(path, '/') AS s FROM captures),
+keys AS (
+  SELECT page_id, fetched_at, 'd:' || array_to_string(l[i:], '.') AS pattern FROM labels, unnest(generate_series(1, len(l))) AS x(i)
+  UNION SELECT page_id, fetched_at, 'p:' || host || array_to_string(s[1:i], '/') FROM labels, unnest(generate_series(1, len(s))) AS x(i)
+  UNION SELECT page_id, fetched_at, 'u:' || host || path || query FROM labels),
+latest AS (
+  SELECT page_id, list, pattern, arg_max(listed, moment) AS listed FROM keys JOIN entries USING (pattern) WHERE moment <= fetched_at GROUP BY ALL),
+active AS (
+  SELECT *, ROW_NUMBER() OVER (PARTITION BY page_id ORDER BY CASE pattern[1] WHEN 'u' THEN 1 WHEN 'p' THEN 2 ELSE 3 END,
+                                                          length(pattern) DESC, list, pattern) AS place
+  FROM latest WHERE listed),
+best AS (SELECT page_id, COUNT(*) AS n, MAX(list) FILTER (place = 1) AS list, MAX(pattern) FILTER (place = 1) AS pattern FROM active GROUP BY 1)
+SELECT c.page_id, fetched_at, host || path || query AS url_key, COALESCE(n, 0)::BIGINT AS n_active, n IS NOT NULL AS blocked,
+       list, pattern
+FROM captures c LEFT JOIN best b USING (page_id)""",
     "op3_mix_sources": r"""
 WITH sized AS (
   SELECT doc_id, source, COALESCE(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size FROM documents),
