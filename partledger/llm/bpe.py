@@ -20,7 +20,8 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from partledger.llm.common import Words, stored
+from partledger.llm.common import Words
+from partledger.session import shared_dir
 
 BLOCK_CHARS = 8 << 20      # text of one block; a longer document is a block by itself
 BUCKET_WORDS = 300_000     # (block, word) pairs of one bucket, about
@@ -98,7 +99,7 @@ def check_words_stand_alone(definition: str) -> None:
 
 def _split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Documents to blocks: per block its documents, words per document, word numbers, and words.
-    A block's words are numbered by ascending hash, so a range of hashes is a range of numbers."""
+    A block's words are numbered by falling count, then by text: small numbers and like neighbours pack well."""
     schema = pa.schema([("block", pa.string()), ("docs", pa.list_(pa.int64())), ("sizes", pa.list_(pa.int64())),
                         ("codes", pa.binary()), ("words", pa.binary()), ("n_words", pa.int64())])
     docs, sizes, codes, chars = [], [], [], 0
@@ -106,15 +107,14 @@ def _split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     def block() -> pa.RecordBatch:
         words = list(number)
-        joined = "\n".join(words)
-        order = np.argsort(Words([joined]).hashes(), kind="stable") if words else np.zeros(0, np.int64)
+        flat = np.concatenate(codes) if codes else np.zeros(0, np.int64)
+        often = np.bincount(flat, minlength=len(words)).tolist()
+        order = sorted(range(len(words)), key=lambda i: (-often[i], words[i]))
         rank = np.empty(len(order), np.int64)
         rank[order] = np.arange(len(order))
-        flat = np.concatenate(codes) if codes else np.zeros(0, np.int64)
         return pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip(
-            (uuid.uuid4().hex, docs, sizes, pack(rank[flat]),
-             zstandard.compress("\n".join([words[i] for i in order]).encode(), 1), len(words)), schema.types)],
-            schema=schema)
+            (uuid.uuid4().hex, docs, sizes, pack(rank[flat]), _pack_words([words[i] for i in order]), len(words)),
+            schema.types)], schema=schema)
 
     for batch in batches:
         for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
@@ -130,11 +130,22 @@ def _split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield block()
 
 
+def _pack_words(words: list[str]) -> bytes:
+    return zstandard.compress("\n".join(words).encode(), 3)
+
+
 def _words_of(packed: bytes) -> list[str]:
     text = zstandard.decompress(packed).decode()
     return text.split("\n") if text else []
 
 
+def _by_bucket(words: list[str], bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Word numbers in the order of their buckets, and the bucket of each in that order."""
+    bucket = (Words(["\n".join(words)]).hashes() >> np.uint64(64 - bits)).astype(np.int64)
+    order = np.argsort(bucket, kind="stable")
+    return order, bucket[order]
+
+
 def _deal(bits: int):
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -142,11 +153,11 @@ def _deal(bits: int):
                 words = _words_of(packed)
                 if not words:
                     continue
-                bucket = (Words(["\n".join(words)]).hashes() >> np.uint64(64 - bits)).astype(np.int64)
+                order, bucket = _by_bucket(words, bits)
                 at = np.concatenate([[0], np.flatnonzero(np.diff(bucket)) + 1, [len(words)]])
                 yield pa.RecordBatch.from_pydict({
                     "bucket": bucket[at[:-1]], "block": pa.array([block] * (len(at) - 1)),
-                    "words": pa.array([zstandard.compress("\n".join(words[a:b]).encode(), 1)
+                    "words": pa.array([_pack_words([words[i] for i in order[a:b]])
                                        for a, b in zip(at[:-1], at[1:])], pa.binary())})
     return deal
 
@@ -167,24 +178,28 @@ def _encode_bucket(definition):
     return encode
 
 
-def _place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Join the ids back by position: a block's word numbers become the ids of its words."""
-    for batch in batches:
-        for row in batch.to_pylist():
-            parts = sorted(row["parts"] or [], key=lambda p: p["bucket"])
-            lengths = np.concatenate([unpack(p["lengths"]) for p in parts] or [np.zeros(0, np.uint32)]).astype(np.int64)
-            ids = np.concatenate([unpack(p["ids"]) for p in parts] or [np.zeros(0, np.uint32)])
-            starts = np.cumsum(lengths) - lengths
-            codes, at = unpack(row["codes"]), 0
-            for doc, size in zip(row["docs"], row["sizes"]):
-                own = codes[at:at + size]
-                at += size
-                n = lengths[own]
-                before = np.cumsum(n) - n
-                picked = ids[np.repeat(starts[own] - before, n) + np.arange(n.sum())]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([doc], pa.int64()), pa.ListArray.from_arrays(
-                        pa.array([0, len(picked)], pa.int32()), pa.array(picked.astype(np.int32)))], ["doc_id", "ids"])
+def _place(bits: int):
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Join the ids back by position: a block's word numbers become the ids of its words."""
+        for batch in batches:
+            for row in batch.to_pylist():
+                words, parts = _words_of(row["words"]), sorted(row["parts"] or [], key=lambda p: p["bucket"])
+                order = _by_bucket(words, bits)[0] if words else np.zeros(0, np.int64)
+                dealt = np.concatenate([unpack(p["lengths"]) for p in parts] or [np.zeros(0, np.uint32)]).astype(np.int64)
+                ids = np.concatenate([unpack(p["ids"]) for p in parts] or [np.zeros(0, np.uint32)])
+                lengths, starts = np.empty(len(words), np.int64), np.empty(len(words), np.int64)
+                lengths[order], starts[order] = dealt, np.cumsum(dealt) - dealt
+                codes, at = unpack(row["codes"]), 0
+                for doc, size in zip(row["docs"], row["sizes"]):
+                    own = codes[at:at + size]
+                    at += size
+                    n = lengths[own]
+                    before = np.cumsum(n) - n
+                    picked = ids[np.repeat(starts[own] - before, n) + np.arange(n.sum())]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([doc], pa.int64()), pa.ListArray.from_arrays(
+                            pa.array([0, len(picked)], pa.int32()), pa.array(picked.astype(np.int32)))], ["doc_id", "ids"])
+    return place
 
 
 def _merged(batches: Iterator[pa.RecordBatch], rows: int = 64) -> Iterator[pa.RecordBatch]:
@@ -208,16 +223,27 @@ def encode(docs: DataFrame, definition: str, doc_id: str = "doc_id", text: str =
     check_words_stand_alone(definition)
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(definition)
-    blocks = stored(docs.select(F.col(doc_id).cast("long"), F.col(text).cast("string")).mapInArrow(
-        _split, "block string, docs array<long>, sizes array<long>, codes binary, words binary, n_words long"), "blocks")
+    blocks = _bucketed(docs.select(F.col(doc_id).cast("long"), F.col(text).cast("string")).mapInArrow(
+        _split, "block string, docs array<long>, sizes array<long>, codes binary, words binary, n_words long"), "block")
     pairs = blocks.agg(F.sum("n_words")).first()[0] or 0
     bits = max(3, int(np.ceil(np.log2(max(1, pairs / BUCKET_WORDS)))))
     dealt = blocks.select("block", "words").mapInArrow(_deal(bits), "bucket long, block string, words binary")
     coded = dealt.groupBy("bucket").applyInPandas(
         _encode_bucket(shared), "bucket long, block string, lengths binary, ids binary")
     parts = coded.groupBy("block").agg(F.collect_list(F.struct("bucket", "lengths", "ids")).alias("parts"))
-    return blocks.select("block", "docs", "sizes", "codes").join(parts, "block", "left").mapInArrow(
-        lambda b: _merged(_place(b)), "doc_id long, ids array<int>")
+    place = _place(bits)
+    return blocks.select("block", "docs", "sizes", "codes", "words").join(parts.hint("merge"), "block", "left").mapInArrow(
+        lambda b: _merged(place(b)), "doc_id long, ids array<int>")
+
+
+def _bucketed(df: DataFrame, key: str) -> DataFrame:
+    """Write a table to the shared folder in buckets of a key, so that a join on it moves only the other side."""
+    spark, name = df.sparkSession, f"partledger_{uuid.uuid4().hex}"
+    ways = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    df.write.bucketBy(ways, key).option("path", shared_dir(spark, "blocks")).format("parquet").saveAsTable(name)
+    table = spark.table(name).select("*")
+    spark.sql(f"DROP TABLE {name}")  # only the name goes: the files are at a path of their own
+    return table
 
 
 def piece_table(spark: SparkSession, definition: str) -> DataFrame:
