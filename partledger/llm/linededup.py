@@ -9,6 +9,12 @@ of them (smallest id) and is dropped from the others.
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -17,23 +23,73 @@ from partledger.llm.common import stored
 DEPTH = 4             # leading tokens that a leaf fixes
 AGREEMENT = 0.7       # share of a line's tokens that must be constants of the template
 FIELD = "<*>"
-FILTER_SLOTS = 1 << 20  # bound of the broadcast that spares lines of unshared leaves the shuffle
+FILTER_BITS = 1 << 23  # bits of the filter that spares lines of unshared leaves the shuffle: 1 MB, always
 LAST = (1 << 63) - 1
 
+_SPACES = str.maketrans("\t\x0b\x0c\r", "    ")
+_DIGIT, _HAS_DIGIT = re.compile("[0-9]"), re.compile("[^ ]*[0-9][^ ]*")
 
-def normal(line: Column) -> Column:
-    """A line as tokens with single spaces around them in mind: other white space becomes spaces."""
-    return F.trim(F.translate(line, "\t\x0b\x0c\r", "    "))
 
+def normal(line: str) -> str:
+    """A line whose tokens are what single spaces separate: other white space becomes spaces."""
+    return line.translate(_SPACES).strip(" ")
+
+
+def masked(line: str) -> str:
+    return _HAS_DIGIT.sub(FIELD, line) if _DIGIT.search(line) else line
+
+
+def leaf(line: str) -> int:
+    """64-bit id of a masked line's leaf in the tree."""
+    head = line.split(" ", DEPTH)[:DEPTH]
+    return xxhash.xxh64_intdigest(f"{line.count(' ') + 1} {' '.join(head)}") - (1 << 63)
+
+
+def line_id(line: str) -> int:
+    return xxhash.xxh64_intdigest(line) - (1 << 63)
+
+
+def _lines(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, int, list[tuple[int, str]]]]:
+    """Per document: its order, the hash of its text, and its lines that are not blank."""
+    for batch in batches:
+        for doc, key, text in zip(*(batch.column(i).to_pylist() for i in range(3))):
+            yield doc, key, [(i, n) for i, n in enumerate(map(normal, text.split("\n"))) if n]
 
-def masked(line: Column) -> Column:
-    return F.when(line.rlike("[0-9]"), F.regexp_replace(line, "[^ ]*[0-9][^ ]*", FIELD)).otherwise(line)
 
+def _batches(rows: Iterator[tuple], schema: pa.Schema, size: int = 50_000) -> Iterator[pa.RecordBatch]:
+    held = []
+    for row in rows:
+        held.append(row)
+        if len(held) >= size:
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*held), schema.types)], schema=schema)
+            held = []
+    if held:
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*held), schema.types)], schema=schema)
 
-def leaf(line: Column) -> Column:
-    """64-bit id of the tree's leaf."""
-    tokens = F.length(line) - F.length(F.replace(line, F.lit(" "), F.lit(""))) + 1
-    return F.xxhash64(tokens, F.substring_index(line, " ", DEPTH))
+
+def _index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    schema = pa.schema([("_doc", pa.int64()), ("_hash", pa.int64()), ("_line", pa.int32()), ("_leaf", pa.int64()), ("_id", pa.int64())])
+    yield from _batches(((doc, key, i, leaf(masked(n)), line_id(n)) for doc, key, lines in _lines(batches) for i, n in lines), schema)
+
+
+def _shared_lines(bits):
+    """Lines in leaves that pass the filter, each distinct one of a batch once."""
+    schema = pa.schema([("_leaf", pa.int64()), ("_norm", pa.string()), ("n", pa.int64()), ("first", pa.int64()), ("last", pa.int64())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        passing = bits.value
+        for batch in batches:
+            seen: dict[tuple[int, str], list[int]] = {}
+            for doc, _, lines in _lines(iter([batch])):
+                for _, n in lines:
+                    place = leaf(masked(n))
+                    slot = place & (FILTER_BITS - 1)
+                    if passing[slot >> 6] >> (slot & 63) & 1:
+                        found = seen.setdefault((place, n), [0, doc, doc])
+                        found[0] += 1
+                        found[1], found[2] = min(found[1], doc), max(found[2], doc)
+            yield from _batches(((*k, *v) for k, v in seen.items()), schema)
+    return run
 
 
 def constants_shared(a: Column, b: Column) -> Column:
@@ -42,31 +98,36 @@ def constants_shared(a: Column, b: Column) -> Column:
                            lambda t: (t["x"] == t["y"]) & (t["x"] != FIELD)))
 
 
+def masked_column(line: Column) -> Column:
+    return F.when(line.rlike("[0-9]"), F.regexp_replace(line, "[^ ]*[0-9][^ ]*", FIELD)).otherwise(line)
+
+
 def dropped_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``_doc, _hash, dropped``: the line numbers (from 0, ascending) to drop from a document."""
-    key = [F.coalesce(F.col(doc_id).cast("long"), F.lit(LAST)).alias("_doc"), F.xxhash64(text).alias("_hash")]
-    lines = docs.select(*key, F.posexplode(F.split(text, "\n")).alias("_line", "_raw")).select(
-        "_doc", "_hash", "_line", normal(F.col("_raw")).alias("_norm")).where("_norm <> ''")
-    keyed = lines.withColumn("_masked", masked(F.col("_norm"))).withColumn("_leaf", leaf(F.col("_masked")))
-    narrow = stored(keyed.select("_doc", "_hash", "_line", "_leaf", F.xxhash64("_norm").alias("_id")), "lines")
-    # Only leaves with lines of two documents can hold a shared template.
+    texts = docs.where(F.col(text).isNotNull()).select(
+        F.coalesce(F.col(doc_id).cast("long"), F.lit(LAST)).alias("_doc"), F.xxhash64(text).alias("_hash"), F.col(text))
+    narrow = stored(texts.mapInArrow(_index, "_doc long, _hash long, _line int, _leaf long, _id long"), "lines")
+    # Only leaves with lines of two documents can hold a shared template. The filter has a fixed size;
+    # lines that it lets through in vain do no harm.
     shared = narrow.groupBy("_leaf").agg(F.min("_doc").alias("a"), F.max("_doc").alias("b")).where("a < b")
-    slot = F.pmod(F.xxhash64("_leaf"), F.lit(FILTER_SLOTS))
-    # At most FILTER_SLOTS rows, whatever the input. Lines it lets through in vain do no harm.
-    few = F.broadcast(shared.select(slot.alias("_slot")).distinct())
-    distinct = stored(keyed.withColumn("_slot", slot).join(few, "_slot", "left_semi").groupBy("_leaf", "_norm").agg(
-        F.count(F.lit(1)).alias("n"), F.min("_doc").alias("first"), F.max("_doc").alias("last")), "distinct-lines")
+    slot = F.col("_leaf").bitwiseAND(F.lit(FILTER_BITS - 1))
+    words = shared.select(F.shiftright(slot, 6).alias("word"), F.expr(f"shiftleft(1L, cast((_leaf & {FILTER_BITS - 1}) % 64 as int))").alias("bit")
+                          ).groupBy("word").agg(F.bit_or("bit").alias("bits"))
+    bits = np.zeros(FILTER_BITS // 64, np.int64)
+    for word, value in words.toLocalIterator():
+        bits[word] = value
+    passing = docs.sparkSession.sparkContext.broadcast(bits.view(np.uint64).tolist())
+    distinct = stored(texts.mapInArrow(_shared_lines(passing), "_leaf long, _norm string, n long, first long, last long").groupBy(
+        "_leaf", "_norm").agg(F.sum("n").alias("n"), F.min("first").alias("first"), F.max("last").alias("last")), "distinct-lines")
     # The seed of a leaf: its most frequent masked line, ties by the larger string.
-    seeds = distinct.groupBy("_leaf", masked(F.col("_norm")).alias("m")).agg(F.sum("n").alias("n")).groupBy("_leaf").agg(
+    own = masked_column(F.col("_norm"))
+    seeds = distinct.groupBy("_leaf", own.alias("m")).agg(F.sum("n").alias("n")).groupBy("_leaf").agg(
         F.max(F.struct("n", "m"))["m"].alias("seed"))
-    own = masked(F.col("_norm"))
-    size = F.size(F.split(own, " "))
-    fits = constants_shared(own, F.col("seed")) >= F.lit(AGREEMENT) * size
-    judged = distinct.join(seeds, "_leaf").select(
-        "_leaf", F.xxhash64("_norm").alias("_id"), "first", "last", fits.alias("fits"),
-        # A template is named by its leaf, a line of its own by its text.
-        F.when(fits, F.lit(0)).otherwise(F.xxhash64("_norm")).alias("template"))
-    judged = stored(judged, "line-templates")
+    fits = constants_shared(own, F.col("seed")) >= F.lit(AGREEMENT) * F.size(F.split(own, " "))
+    named = distinct.join(seeds, "_leaf").select("_leaf", "_norm", "first", "last", fits.alias("fits"))
+    # A template is named by its leaf, a line of its own by its text.
+    judged = stored(named.mapInArrow(_name_lines, "_leaf long, _id long, first long, last long, fits boolean").withColumn(
+        "template", F.when(F.col("fits"), F.lit(0)).otherwise(F.col("_id"))), "line-templates")
     spread = judged.groupBy("_leaf", "fits", "template").agg(
         F.min("first").alias("first"), F.max("last").alias("last")).where("first < last")
     repeated = judged.select("_leaf", "_id", "fits", "template").join(
@@ -75,6 +136,13 @@ def dropped_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -
         F.sort_array(F.collect_set("_line")).alias("dropped"))
 
 
+def _name_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The id of each line instead of its text."""
+    for batch in batches:
+        ids = pa.array([line_id(n) for n in batch.column(1).to_pylist()], pa.int64())
+        yield pa.RecordBatch.from_arrays([batch.column(0), ids, *batch.columns[2:]], ["_leaf", "_id", "first", "last", "fits"])
+
+
 def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """All rows and columns of ``docs`` plus ``kept_text, n_lines, dropped``.
 
