@@ -897,7 +897,8 @@ def stream_cdc_apply(p):
 @query
 def stream_without_repeats(p):
     out = shared_dir(p.spark, "unique")
-    once = jobs.without_repeats(_event_stream(p), "ts", ["event_id"])
+    twice = _event_stream(p).union(_event_stream(p))  # every event is sent again
+    once = jobs.without_repeats(twice, "ts", ["event_id"])
     jobs.to_files(once.select("event_id", "user_id", "event_type"), out, shared_dir(p.spark, "unique-checkpoint"))
     return p.spark.read.parquet(out)
 
