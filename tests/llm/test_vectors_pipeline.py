@@ -54,13 +54,14 @@ def test_recall_on_random_vectors(spark):
 
 
 def test_recall_with_two_hashes_a_cell(spark):
-    assert compare(spark, unit(800, 2), 10, hashes=2, probes=600) >= 0.9
+    # As many vectors as a test can hold; with fewer, the nearest ones are hardly nearer than the rest.
+    assert compare(spark, unit(3000, 2), 10, hashes=2) >= 0.9
 
 
 def test_hot_cells_are_cut(spark, monkeypatch):
     monkeypatch.setattr(ann, "PART_ROWS", 40)
     rows = unit(600, 3)
-    near = [(i, (np.array(rows[0][1]) + 0.01 * np.array(rows[i][1])).tolist()) for i in range(0, 600, 3)]
+    near = [(i, (np.array(rows[0][1]) + 0.01 * np.array(rows[i][1])).astype(np.float32).tolist()) for i in range(0, 600, 3)]
     assert compare(spark, [*near, *(r for r in rows if r[0] % 3)], 5) >= 0.9
 
 
