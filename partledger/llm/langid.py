@@ -111,7 +111,8 @@ def prototypes(labelled: DataFrame, text: str = "text", lang: str = "lang", trai
     """
     rows = labelled.select(F.col(text).alias("t"), F.col(lang).alias("l")).where("t is not null and l is not null")
     share = rows.groupBy("l").agg(F.count(F.lit(1)).alias("n"))
-    picked = rows.join(share, "l").where(
+    # One row per language, like the prototypes: broadcast, so that no text is moved to its language's task.
+    picked = rows.join(F.broadcast(share), "l").where(
         F.pmod(F.xxhash64("t"), F.lit(1 << 20)) * F.col("n") < F.lit(float(train_rows) * (1 << 20))).select("l", "t")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
