@@ -1,3 +1,4 @@
+import base64
 import collections
 import random
 import re
@@ -104,6 +105,32 @@ def test_noise_is_rejected(spark):
     assert {r.doc_id: r.kept for r in quality.measure(df, MODEL, bands=latin).collect()} == {1: False, 2: False, 3: True}
 
 
+def test_noise_is_rejected_by_the_production_bands(spark):
+    pick = random.Random(4)
+    words = lambda letters, n=200: " ".join("".join(pick.choices(letters, k=pick.randint(3, 9))) for _ in range(n))
+    span = lambda a, b: [c for c in map(chr, range(a, b)) if c.isalpha()]
+    noise = {
+        "letters": words("abcdefghijklmnopqrstuvwxyz"), "base64": " ".join(base64.b64encode(pick.randbytes(48)).decode() for _ in range(30)),
+        "short base64": " ".join(base64.b64encode(pick.randbytes(4)).decode()[:5] for _ in range(20)),
+        "symbols": words("*#$%&|<>=~"), "runs": " ".join(pick.choice("*#=-~_") * pick.randint(3, 20) for _ in range(200)),
+        "private": words([chr(c) for c in range(0xE000, 0xE200)]), "emoji": words([chr(c) for c in range(0x1F600, 0x1F640)]),
+        "Latin": words(span(0x180, 0x250)), "Greek": words(span(0x370, 0x400)), "Cyrillic": words(span(0x430, 0x450)),
+        "Arabic": words(span(0x620, 0x700)), "Devanagari": words(span(0x904, 0x93A)), "Thai": words(span(0xE01, 0xE46)),
+        "kana": words(span(0x3041, 0x30FF)), "Han": words(span(0x4E00, 0x9FFF)), "Hangul": words(span(0xAC00, 0xD7A3))}
+    clean = {
+        "en": "All human beings are born free and equal in dignity and rights. They are endowed with reason and conscience and should act towards one another in a spirit of brotherhood.",
+        "vi": "Tất cả mọi người sinh ra đều được tự do và bình đẳng về nhân phẩm và quyền. Mọi con người đều được tạo hoá ban cho lý trí và lương tâm và cần phải đối xử với nhau trong tình bằng hữu.",
+        "el": "Όλοι οι άνθρωποι γεννιούνται ελεύθεροι και ίσοι στην αξιοπρέπεια και τα δικαιώματα. Είναι προικισμένοι με λογική και συνείδηση, και οφείλουν να συμπεριφέρονται μεταξύ τους με πνεύμα αδελφοσύνης.",
+        "kk": "Барлық адамдар тумысынан азат және қадір-қасиеті мен құқықтары тең болып дүниеге келеді. Адамдарға ақыл-парасат, ар-ождан берілген.",
+        "gu": "પ્રતિષ્ઠા અને અધિકારોની દૃષ્ટિએ સર્વ માનવો જન્મથી સ્વતંત્ર અને સમાન હોય છે. તેમનામાં વિચારશક્તિ અને અંતઃકરણ હોય છે અને તેમણે પરસ્પર બંધુત્વની ભાવનાથી વર્તવું જોઇએ.",
+        "am": "የሰው ልጅ ሁሉ ሲወለድ ነጻና በክብርና በመብትም እኩልነት ያለው ነው። የተፈጥሮ ማስተዋልና ሕሊና ስላለው አንዱ ሌላውን በወንድማማችነት መንፈስ መመልከት ይገባዋል።",
+        "table": " ".join(f"{pick.random() * 1000:.2f}" for _ in range(200))}
+    df = spark.createDataFrame([*noise.items(), *clean.items()], "doc_id string, text string")
+    got = {r.doc_id: r for r in quality.measure(df, MODEL).collect()}
+    assert not any(got[n].base_failed for n in got)
+    assert {n for n in got if got[n].kept} == set(clean)
+
+
 # Line dedup
 
 def test_templates_with_fields_are_dropped(spark):
