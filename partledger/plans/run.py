@@ -55,13 +55,13 @@ class Run:
     Arriving rows are judged first; the clean ones are merged into bronze by key, newer rows winning.
     Every table above bronze is a function of the tables below it, so it is published whole, which
     also removes rows that are no longer true, and only when one of those tables, or the day that
-    its ages and dates are counted to, has changed.
+    its ages and dates are counted to, has changed. Its pointer names the state of each of those tables
+    that it was built from, so a run that follows one that died, or another's layers, builds what is stale.
     """
 
     def __init__(self, spark: SparkSession, lake: Lake, ctx: RunContext):
         self.spark, self.lake, self.ctx = spark, lake, ctx
         self.entries: list[dict] = []
-        self.changed: set[str] = set()
         self.arrived: dict[str, tuple[int, int]] = {}  # rows that arrived, rows rejected
         self.hot = EVEN
 
@@ -86,12 +86,12 @@ class Run:
         """Publish a derived table, unless nothing that it is made from has changed."""
         state = self.lake.state(table)
         same_day = state and state["day"] == self.ctx.run_date.isoformat()
-        if state and not self.changed.intersection(inputs) and (same_day or not dated):
+        present = {name: self.lake.state(name)["path"] for name in inputs}
+        if state and state.get("inputs") == present and (same_day or not dated):
             return self.lake.read(table)
         spec = TABLES[table]
         with self.step(table) as entry:
-            entry |= self.lake.publish(build(), table, self.ctx, spec.partition_by, spec.cluster_by)
-        self.changed.add(table)
+            entry |= self.lake.publish(build(), table, self.ctx, spec.partition_by, spec.cluster_by, inputs=present)
         return self.lake.read(table)
 
     # Arrivals -----------------------------------------------------------------------------------------
@@ -112,10 +112,7 @@ class Run:
             newest = source.newest(verdict.clean)
             if name == "cad_metadata":
                 newest = newest.withColumn("_file_date", file_date(F.col("_source_file")))
-            before = self.lake.state(table)
             entry |= self.lake.upsert(bronze.stamp(newest, name, source.domain, self.ctx), TABLES[table], self.ctx, source.changed)
-            if self.lake.state(table) != before:
-                self.changed.add(table)
 
     def bronze(self, src: Sources) -> None:
         for name, raw in {"cad_metadata": src.cad, "plm_revisions": src.revisions, "plm_bom": src.bom, "erp_cost": src.cost}.items():

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import json
 import uuid
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from contextlib import contextmanager
 from functools import reduce
 
@@ -67,7 +67,7 @@ class Lake:
         return f"{self.root}/pointers/{table}.json"
 
     def state(self, table: str) -> dict | None:
-        """What the pointer says: path, schema, run, and the day the rows were computed for."""
+        """What the pointer says: path, schema, run, the day the rows were computed for, and the inputs' paths."""
         text = read_text(self.spark, self.pointer(table))
         return None if text is None else json.loads(text)
 
@@ -109,8 +109,10 @@ class Lake:
             self._name(row.path.rsplit("/", 1)[-1].removesuffix(".json"))
 
     def publish(self, df: DataFrame, table: str, ctx: RunContext, partition_by: Sequence[str] = (),
-                cluster_by: Sequence[str] = ()) -> dict:
-        """Write the table anew and then switch to it. Returns the row count seen on the way."""
+                cluster_by: Sequence[str] = (), inputs: Mapping[str, str] | None = None) -> dict:
+        """Write the table anew and then switch to it. Returns the row count seen on the way.
+
+        ``inputs``, the folders of the tables that it is made from, are kept in its pointer."""
         path = f"{self.folder(table)}/{ctx.run_id}-{uuid.uuid4().hex[:12]}"
         seen = Observation()
         counted = df.observe(seen, F.count(F.lit(1)).alias("rows_written"))
@@ -119,7 +121,7 @@ class Lake:
         write_partitioned(counted, path, partition_by)
         order = [*(f for f in df.schema.fields if f.name not in partition_by),
                  *(df.schema[c] for c in partition_by)]
-        self._point(table, path, StructType(order), ctx)
+        self._point(table, path, StructType(order), ctx, **({} if inputs is None else {"inputs": dict(inputs)}))
         return seen.get
 
     def upsert(self, df: DataFrame, spec: TableSpec, ctx: RunContext, newer_by: str | None = None) -> dict:

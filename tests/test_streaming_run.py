@@ -121,6 +121,36 @@ def test_load_that_dies_between_data_and_commit(spark, rows, tmp_path, monkeypat
     assert rows(lake.read("silver.erp_cost_quarantine"), "part_id", "run") == [("P2", "r1")]
 
 
+@pytest.mark.parametrize("dies_at", ["silver", "gold", "serving"])
+def test_layers_after_a_run_that_dies(spark, rows, tmp_path, monkeypatch, dies_at):
+    """A retry, which reads no rows any more, builds what the dead run left stale."""
+    raw = {n: fixtures.raw(spark, SMALLEST, f"raw_{n}") for n in ("cad", "revisions", "bom", "cost")}
+    lake, control, upto = Lake(spark, str(tmp_path / "lake")), str(tmp_path / "watermarks.json"), datetime(1996, 1, 1)
+    old = raw["cost"].where("last_updated <= timestamp '1996-01-01'")
+    first = Run(spark, lake, RunContext("d1", datetime(2002, 1, 1, 6)))
+    first.bronze(Sources(raw["cad"], raw["revisions"], raw["bom"], old))
+    first.silver(), first.gold(), first.serving()
+    before = {t: lake.state(t)["path"] for t in TABLES}
+    late = {"erp_cost": (raw["cost"], "last_updated")}
+    last = datetime(2002, 1, 1, 6)
+    with monkeypatch.context() as m:
+        m.setattr(Run, dies_at, lambda self: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            Run(spark, lake, RunContext("d2", last)).incremental(late, control, last)
+    retry = Run(spark, lake, RunContext("d2", last))
+    retry.load(late, control, last)
+    retry.silver(), retry.gold(), retry.serving()
+    whole = Lake(spark, str(tmp_path / "whole"))
+    at_once = Run(spark, whole, RunContext("d2", last))
+    at_once.bronze(Sources(*raw.values()))
+    at_once.silver(), at_once.gold(), at_once.serving()
+    for t in ("silver.erp_cost", "gold.dim_supplier", "gold.agg_supplier_cost", "star.fact_cost", "serving.vw_supplier_scorecard"):
+        assert lake.state(t)["path"] != before[t], t
+        columns = [c for c in lake.read(t).columns if not c.startswith("_")]
+        assert rows(lake.read(t), *columns) == rows(whole.read(t), *columns), t
+    assert lake.state("gold.agg_cad_activity")["path"] == before["gold.agg_cad_activity"]
+
+
 def test_a_failing_step_is_logged(spark, tmp_path):
     lake = Lake(spark, str(tmp_path / "lake"))
     bad = spark.createDataFrame([("P1",)], "part_id string")
