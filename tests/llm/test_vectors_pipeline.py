@@ -105,6 +105,26 @@ def test_ten_queries():
     assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
 
 
+@pytest.mark.parametrize("unknown", ["de", "en", "es", "fr"])
+def test_documents_of_a_language_not_learned_go(spark, unknown):
+    from pyspark.sql import functions as F
+
+    from partledger.llm.common import prepare
+
+    pipeline, folder = importlib.import_module("corpus_pipeline"), "/root/testdata/sf0.01"
+    clean = spark.read.parquet(f"{folder}/labels.parquet").where("quality = 1").select("doc_id")
+    docs = prepare(spark).read.parquet(f"{folder}/documents.parquet")
+    # A language without a label is not learned.
+    own = F.coalesce(F.col("lang") != unknown, F.lit(True))
+    judged = docs.withColumn("source", F.when(own, F.lit("learned"))).withColumn("lang", F.when(own, F.col("lang")))
+    kept = pipeline.identify_language(spark, judged, "")
+    foreign = docs.where(~own & (F.length("text") >= 50)).count()
+    # Some hold lines of a learned language.
+    assert kept.where("source is null and length(text) >= 50").count() <= 0.03 * foreign
+    want = judged.join(clean, "doc_id").where("source is not null")
+    assert kept.join(clean, "doc_id").where("source is not null").count() == want.count()
+
+
 def test_pipeline_stages(spark, corpus, odd):
     pipeline = importlib.import_module("corpus_pipeline")
     for docs in (corpus, odd.select(corpus.columns)):
