@@ -45,7 +45,7 @@ def quarantine(df: DataFrame, rules: list[Rule]) -> Verdict:
 def reject_ledger(rejected: DataFrame, ctx: RunContext) -> DataFrame:
     """Rejected rows as they are stored: with time, run and a hash of the row.
 
-    Rows of one run may be equal, hash included; a run's rows are one folder, which a repeat replaces.
+    Rows of one run may be equal, hash included; a run's rows from one watermark are one folder, which a repeat replaces.
     """
     content = content_hash(rejected)
     return rejected.select("*", ctx.ts.alias("_quarantine_ts"), F.lit(ctx.run_id).alias("_run_id"),

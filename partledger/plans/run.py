@@ -20,7 +20,7 @@ from partledger.operators.skew import EVEN, Hot
 from partledger.plans import bronze, gold, governance, serving, silver, star
 from partledger.schemas import TABLES
 from partledger.session import shared_dir
-from partledger.sinks import Lake
+from partledger.sinks import Lake, attempt
 from partledger.sources import incremental
 
 
@@ -96,16 +96,20 @@ class Run:
 
     # Arrivals -----------------------------------------------------------------------------------------
 
-    def arrive(self, name: str, raw: DataFrame) -> None:
-        """Take in arriving rows of a source: reject, keep the newest per key, merge into bronze."""
+    def arrive(self, name: str, raw: DataFrame, after: str | None = None) -> None:
+        """Take in arriving rows of a source: reject, keep the newest per key, merge into bronze.
+
+        ``after`` is the watermark that the rows were read from; rejects of a run are kept by it.
+        """
         table, source = f"bronze.{name}", SOURCES[name]
         with self.step(table) as entry:
             path = shared_dir(self.spark, "arrivals")
             raw.write.parquet(path)
             rows = self.spark.read.schema(raw.schema).parquet(path)
             verdict = silver.judge_arrivals(name, rows)
-            self.lake.append(reject_ledger(verdict.rejected, self.ctx), f"silver.{name}_quarantine", self.ctx)
-            rejected = self.lake.read_appended(f"silver.{name}_quarantine").where(F.col("run") == self.ctx.run_id).count()
+            rejects = reject_ledger(verdict.rejected, self.ctx)
+            stored = self.lake.append(rejects, f"silver.{name}_quarantine", self.ctx, after)
+            rejected = self.spark.read.schema(rejects.schema).parquet(stored).count()
             total = rows.count()
             self.arrived[name] = (total, rejected)
             entry |= {"rows_read": total, "rows_quarantined": rejected}
@@ -123,14 +127,16 @@ class Run:
 
         The upper bound is taken once, by the caller. Rows are landed as they were read, then taken in;
         watermarks move after the data of all sources is stored. A run that dies in between reads the
-        same rows again, which changes nothing: landing replaces, merging keeps the newer row.
+        same rows again, which changes nothing: landing replaces, merging keeps the newer row. Landed rows
+        and rejects lie in folders named by the run and the watermark it read from, so a repeat that follows
+        the commit, and reads from the new watermark, leaves those of the first attempt.
         """
         marks = incremental.read_watermarks(self.spark, control)
         for name, (table, column) in sources.items():
             after = incremental.watermark_of(marks, name)
             rows = incremental.changed_between(table, column, after, upto)
-            landed = incremental.land(rows, f"{self.lake.root}/landing/{name}", self.ctx.run_id)
-            self.arrive(name, self.spark.read.schema(rows.schema).parquet(landed).drop("_ingestion_ts"))
+            landed = incremental.land(rows, f"{self.lake.root}/landing/{name}", attempt(self.ctx.run_id, after))
+            self.arrive(name, self.spark.read.schema(rows.schema).parquet(landed).drop("_ingestion_ts"), after)
         incremental.commit_watermarks(marks, list(sources), upto, control)
 
     # Layers -------------------------------------------------------------------------------------------

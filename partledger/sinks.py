@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import re
 import uuid
 from collections.abc import Mapping, Sequence
 from contextlib import contextmanager
@@ -43,6 +44,14 @@ def read_text(spark: SparkSession, path: str) -> str | None:
     return spark.read.text(path, wholetext=True).first()[0]
 
 
+def attempt(run_id: str, after: str | None) -> str:
+    """Folder name of what a run read from a watermark. Attempts that die before the watermark is committed
+    start from the same one, whatever their upper bound, so each replaces the one before."""
+    return run_id if after is None else f"{run_id}~{re.sub('[^0-9A-Za-z]+', '-', after)}"
+
+
+# The part of a folder's name that ``attempt`` added.
+ATTEMPT = "~[0-9A-Za-z-]*$"
 # A file of a compacted table.
 FILE_BYTES = 256 * 1024 * 1024
 
@@ -96,7 +105,8 @@ class Lake:
         self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {table.split('.')[0]}")
         state = self.state(table)
         if state.get("appended"):
-            self.spark.sql(f"CREATE OR REPLACE VIEW {table} AS SELECT * FROM parquet.`{state['path']}`")
+            run = f"regexp_replace(run, '{ATTEMPT}', '') AS run"
+            self.spark.sql(f"CREATE OR REPLACE VIEW {table} AS SELECT * EXCEPT (run), {run} FROM parquet.`{state['path']}`")
         else:
             columns = ", ".join(f"`{f['name']}`" for f in state["schema"]["fields"])
             self.spark.sql(f"CREATE OR REPLACE VIEW {table} AS SELECT {columns} FROM parquet.`{state['path']}`")
@@ -146,20 +156,23 @@ class Lake:
         if not self.exists(table):
             self._append(self.spark.createDataFrame([], schema), table, "created")
 
-    def append(self, df: DataFrame, table: str, ctx: RunContext) -> None:
-        """Add a run's rows as a folder of their own. Repeating the run replaces that folder, so a
-        repeat adds nothing, and no earlier row is rewritten."""
-        self._append(df, table, ctx.run_id)
+    def append(self, df: DataFrame, table: str, ctx: RunContext, after: str | None = None) -> str:
+        """Add a run's rows as a folder of their own, which is returned. Repeating the run replaces that
+        folder, so a repeat adds nothing, and no earlier row is rewritten. Rows of a run that were read
+        from another watermark (``after``) are another folder."""
+        return self._append(df, table, attempt(ctx.run_id, after))
 
-    def _append(self, df: DataFrame, table: str, run: str) -> None:
+    def _append(self, df: DataFrame, table: str, run: str) -> str:
         path = self.folder(table)
         df.write.mode("overwrite").parquet(f"{path}/run={run}")
         if not self.exists(table):
             self._point(table, path, df.schema, None, appended=True)
+        return f"{path}/run={run}"
 
     def read_appended(self, table: str) -> DataFrame:
         """All runs of an append table, with columns that only some runs have."""
-        return self.spark.read.option("mergeSchema", "true").parquet(self.folder(table))
+        found = self.spark.read.option("mergeSchema", "true").parquet(self.folder(table))
+        return found.withColumn("run", F.regexp_replace(F.col("run").cast("string"), ATTEMPT, ""))
 
 
 @contextmanager

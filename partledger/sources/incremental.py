@@ -40,7 +40,7 @@ def changed_between(df: DataFrame, column: str, after: str, upto: datetime | str
 
 
 def land(changes: DataFrame, path: str, run_id: str) -> str:
-    """Write a run's changed rows as Parquet in a folder of their own; a repeat replaces it."""
+    """Write a run's changed rows as Parquet in a folder of their own; a repeat by the same name replaces it."""
     folder = f"{path}/run={run_id}"
     changes.write.mode("overwrite").parquet(folder)
     return folder

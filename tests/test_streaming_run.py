@@ -121,6 +121,31 @@ def test_load_that_dies_between_data_and_commit(spark, rows, tmp_path, monkeypat
     assert rows(lake.read("silver.erp_cost_quarantine"), "part_id", "run") == [("P2", "r1")]
 
 
+def test_repeat_after_the_commit_keeps_rejects(spark, rows, tmp_path, monkeypatch):
+    lake, control = Lake(spark, str(tmp_path / "lake")), str(tmp_path / "watermarks.json")
+    schema = "part_id string, supplier_name string, cost string, currency string, last_updated date"
+    day = lambda d: datetime(2026, 1, d).date()
+    prices = spark.createDataFrame([("P1", "a", "1", "USD", day(1)), ("P2", "a", "x", "USD", day(5)), ("P3", "a", "y", "USD", day(8))], schema)
+
+    def load(run_id, d):
+        run = Run(spark, lake, RunContext(run_id, datetime(2026, 1, d)))
+        run.load({"erp_cost": (prices, "last_updated")}, control, datetime(2026, 1, d))
+        return run.arrived["erp_cost"]
+
+    with monkeypatch.context() as m:
+        m.setattr("partledger.plans.run.incremental.commit_watermarks", lambda *a: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            load("r1", 5)
+    assert load("r1", 6) == (2, 1)
+    assert load("r1", 6) == (0, 0)
+    found = lambda: rows(lake.read("silver.erp_cost_quarantine"), "part_id", "run")
+    assert found() == [("P2", "r1")] == rows(spark.table("silver.erp_cost_quarantine"), "part_id", "run")
+    assert load("r1", 9) == (1, 1)
+    assert found() == [("P2", "r1"), ("P3", "r1")]
+    landed = spark.read.schema(schema).option("recursiveFileLookup", True).parquet(f"{lake.root}/landing/erp_cost")
+    assert rows(landed, "part_id") == [("P1",), ("P2",), ("P3",)]
+
+
 @pytest.mark.parametrize("dies_at", ["silver", "gold", "serving"])
 def test_layers_after_a_run_that_dies(spark, rows, tmp_path, monkeypatch, dies_at):
     """A retry, which reads no rows any more, builds what the dead run left stale."""
