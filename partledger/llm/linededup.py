@@ -3,7 +3,8 @@
 A line's leaf is its number of tokens and its first tokens, with tokens that hold a digit replaced by
 ``<*>``. In each leaf the most frequent line is the seed of the leaf's template. A line that agrees
 with the seed in enough constant tokens belongs to that template, its other tokens being variable
-fields; any other line is its own template. A template seen in several documents stays in the first
+fields; any other line belongs to the template of its masked text, or, without any constant, is one by
+itself: a line of numbers alone is data. A template seen in several documents stays in the first
 of them (smallest id) and is dropped from the others.
 """
 
@@ -125,9 +126,9 @@ def dropped_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -
         F.max(F.struct("n", "m"))["m"].alias("seed"))
     fits = constants_shared(own, F.col("seed")) >= F.lit(AGREEMENT) * F.size(F.split(own, " "))
     named = distinct.join(seeds, "_leaf").select("_leaf", "_norm", "first", "last", fits.alias("fits"))
-    # A template is named by its leaf, a line of its own by its text.
-    judged = stored(named.mapInArrow(_name_lines, "_leaf long, _id long, first long, last long, fits boolean").withColumn(
-        "template", F.when(F.col("fits"), F.lit(0)).otherwise(F.col("_id"))), "line-templates")
+    # The seed's template is named by its leaf, any other by its masked text.
+    judged = stored(named.mapInArrow(_name_lines, "_leaf long, _id long, first long, last long, fits boolean, _own long").withColumn(
+        "template", F.when(F.col("fits"), F.lit(0)).otherwise(F.col("_own"))).drop("_own"), "line-templates")
     spread = judged.groupBy("_leaf", "fits", "template").agg(
         F.min("first").alias("first"), F.max("last").alias("last")).where("first < last")
     repeated = judged.select("_leaf", "_id", "fits", "template").join(
@@ -137,10 +138,17 @@ def dropped_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -
 
 
 def _name_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The id of each line instead of its text."""
+    """The id of each line instead of its text, and that of the template it is when it fits no seed."""
     for batch in batches:
-        ids = pa.array([line_id(n) for n in batch.column(1).to_pylist()], pa.int64())
-        yield pa.RecordBatch.from_arrays([batch.column(0), ids, *batch.columns[2:]], ["_leaf", "_id", "first", "last", "fits"])
+        lines = batch.column(1).to_pylist()
+        ids, own = (pa.array([line_id(f(n)) for n in lines], pa.int64()) for f in (str, _template))
+        yield pa.RecordBatch.from_arrays([batch.column(0), ids, *batch.columns[2:], own], ["_leaf", "_id", "first", "last", "fits", "_own"])
+
+
+def _template(line: str) -> str:
+    """A line with its fields masked; the line itself if it has no constant."""
+    own = masked(line)
+    return line if set(own.split(" ")) <= {FIELD, ""} else own
 
 
 def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

@@ -144,6 +144,17 @@ def test_templates_with_fields_are_dropped(spark):
         assert got[i].kept_text == "\n".join(x for k, x in enumerate(docs[i][1].split("\n")) if k not in got[i].dropped)
 
 
+def test_templates_beside_the_seed_are_dropped(spark):
+    lines = ["Page {} of {}",                                                  # half of it fields
+             "The press was stopped after part {} left its track today",       # the seed of its leaf
+             "The press was stopped because of alarm {} near gate {}",         # a second template of that leaf
+             "{} {}"]                                                          # no constant: data
+    docs = [(i, "\n".join([lines[0].format(i, i + 10), lines[1].format(i), *([lines[2].format(i, 9 - i)] if i % 2 else []),
+                           lines[3].format(i, i + 1)])) for i in range(8)]
+    got = {r.doc_id: r.dropped for r in linededup.dedup_lines(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert got == {0: [], 1: [0, 1], **{i: [0, 1, 2] if i % 2 else [0, 1] for i in range(2, 8)}}
+
+
 def test_lines_of_other_wording_stay(spark):
     docs = [(1, "The cat sat on a mat near doors"), (2, "The cat sat on red chairs behind us"), (3, "The cat sat on a mat near doors"),
             (3, "tail\nThe cat sat on a mat near doors"), (None, "tail"), (4, "x 1"), (5, "y 1")]
