@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from partledger.llm import ann, bpe, chat, langid, linededup, mixing, near, quality, tokenfile, urls
+from partledger.llm import ann, bpe, chat, langid, linededup, minhash, mixing, near, quality, repair, tokenfile, urls, whiten
 from partledger.llm.common import table
 from partledger.session import shared_dir
 
@@ -117,8 +117,32 @@ def op10_nearest_vectors(spark: SparkSession, folder: str) -> DataFrame:
     return ann.nearest(rows, rows.where(F.col("vec_id") % 20 == 0), k=20)
 
 
+def op11_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    turns = table(spark, folder, "conversations")
+    edits, conversations = repair.repair(repair.damage(turns))
+    read = repair.digests(edits).withColumnRenamed("conv_id", "of")
+    found = conversations.join(read, F.col("conv_id").eqNullSafe(F.col("of"))).drop("of").withColumnRenamed("conv_id", "of")
+    every = turns.select("conv_id").distinct()
+    numbers = ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")
+    return every.join(found, F.col("conv_id").eqNullSafe(F.col("of")), "left").select(
+        "conv_id", *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in numbers],
+        F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"))
+
+
+def op12_whitened_vectors(spark: SparkSession, folder: str) -> DataFrame:
+    rows = whiten.whiten(table(spark, folder, "embeddings"))
+    each = rows.select("vec_id", "n", "deviation", "identity_error", F.posexplode(F.arrays_zip("whitened", "explained")).alias("i", "c"))
+    return each.select("vec_id", (F.col("i") + 1).cast("int").alias("component"), "n", "deviation", "c.whitened", "c.explained", "identity_error")
+
+
+def op13_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    return minhash.similar(table(spark, folder, "documents")).select(
+        "doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
+
+
 QUERIES = {f.__name__: f for f in (op1_bpe_round_trip, op2_url_filters, op3_mix_sources, op4_similar_texts, op5_token_files, op6_language_id, op7_line_dedup,
-                                    op8_chat_format, op9_quality_rules, op10_nearest_vectors)}
+                                    op8_chat_format, op9_quality_rules, op10_nearest_vectors, op11_conversation_repair, op12_whitened_vectors,
+                                    op13_near_duplicates)}
 
 ORACLE_SQL = {
     "op2_url_filters": r"""
