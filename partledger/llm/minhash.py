@@ -2,9 +2,9 @@
 
 Two permutations of the 32-bit numbers give every signature coordinate: the first places a shingle, the
 second, shifted circularly by the coordinate's number, orders the places, and the least is kept. Runs of
-coordinates are bands. Equal shingle sets are one set. A set is compared with the least set of each of its
-bands, on the full shingle sets; what this leaves in several classes within one band is compared in blocks
-by signature, and pairs that may be similar are compared on the full sets as well.
+coordinates are bands. Equal shingle sets are one set. Each set is compared with the least set of each of its
+bands, on the full shingle sets; what this leaves in several classes within one band is compared block against
+block, again on the full sets, and only links that join classes leave a task.
 """
 
 from __future__ import annotations
@@ -22,9 +22,8 @@ from partledger.llm.near import LAST, bands_for, text_key
 
 SHINGLE, THRESHOLD = 4, 80    # words; percent of the union that a link shares at least
 ROWS, RECALL = 7, 0.9995      # coordinates of a band; share of pairs at the threshold that meet in a band
-MARGIN = 0.16                 # pairs whose signatures agree this much less than the threshold asks are not compared:
-                              # six standard errors of 231 coordinates, which one link in 10^9 exceeds
-BLOCK = 1024                  # sets of a band that are compared by signature with as many others at once
+BLOCK = 2048                  # sets of a band that are compared with as many others at once,
+BLOCK_SHINGLES = 1 << 20      # or fewer, so that they have about so many shingles
 GROUP = 400                   # sets compared with one other set in one piece of work
 WORDS = 1 << 16               # words of texts that are hashed together
 
@@ -92,7 +91,7 @@ def _signer(n: int, rows: int, bands: int):
                 some = texts[part]
                 hashes, text = shingles(some, n)
                 having, first, size = np.unique(text, return_index=True, return_counts=True)
-                sizes, keys, marks = np.zeros(len(some), np.int64), [None] * len(some), [None] * len(some)
+                sizes, keys = np.zeros(len(some), np.int64), [None] * len(some)
                 lists = np.zeros((0, bands), np.uint64)
                 if len(having):
                     sizes[having] = size
@@ -100,13 +99,13 @@ def _signer(n: int, rows: int, bands: int):
                     lists = np.zeros((len(having), bands), np.uint64)
                     for p in range(rows * bands):
                         lists[:, p // rows] = mix(lists[:, p // rows] + signed[:, p] + np.uint64(p + 1))
-                    for i, key, mark in zip(having, _keys(hashes, first), signed.astype(np.uint16)):
-                        keys[i], marks[i] = key, mark.tobytes()
+                    for i, key in zip(having, _keys(hashes, first)):
+                        keys[i] = key
                 offsets = np.concatenate([[0], np.cumsum((sizes > 0) * bands)]).astype(np.int32)
                 yield pa.RecordBatch.from_arrays([
-                    *(batch.column(c).slice(part.start, len(some)) for c in (0, 1)), pa.array(keys, pa.binary()), pa.array(sizes), pa.array(marks, pa.binary()),
+                    *(batch.column(c).slice(part.start, len(some)) for c in (0, 1)), pa.array(keys, pa.binary()), pa.array(sizes),
                     pa.ListArray.from_arrays(pa.array(offsets), pa.array(lists.ravel().view(np.int64)))],
-                    ["doc_id", "digest", "key", "n_shingles", "marks", "bands"])
+                    ["doc_id", "digest", "key", "n_shingles", "bands"])
     return run
 
 
@@ -146,52 +145,85 @@ def _confirm(pairs: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFr
     return stored(work.groupBy("work").applyInPandas(_linked(n, percent), "a binary, b binary"), "links")
 
 
-def _alike(least: float):
-    """Pairs of one block of a band, of different classes, whose signatures agree enough."""
+def _spanning(n: int, percent: int):
+    """Links between classes in one block of a band, or between two blocks: as few as join the classes that any
+    link joins.
+
+    Sets of which neither has a shingle of the other among its rarest, as many as a link may leave unshared and
+    one more, are no link; the others are compared unless they are of one class by then.
+    """
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         out = [_NONE]
-        for (_, i, j), part in rows.groupby(["band", "i", "j"], sort=False):
-            block, keys = part["block"].to_numpy(), part["key"].to_numpy()
-            marks = np.stack([np.frombuffer(m, np.uint16) for m in part["marks"]])
-            size, root = part["n_shingles"].to_numpy(), pd.factorize(part["root"])[0]
-            right = np.flatnonzero(block == j)
-            for one in np.flatnonzero(block == i):
-                fit = right[(root[right] != root[one]) & (size[right] <= size[one] / least) & (size[right] >= size[one] * least)]
-                if i == j:
-                    fit = fit[fit > one]
-                near = fit[(marks[fit] == marks[one]).mean(axis=1) >= least - MARGIN]
-                if len(near):
-                    out.append(pd.DataFrame({"a": keys[near], "b": [keys[one]] * len(near)}))
+        for _, part in rows.groupby(["band", "i", "j"], sort=False):
+            keys, number = part["key"].to_numpy(), pd.factorize(part["root"])[0]
+            hashes, text = shingles(list(part["text"]), n)
+            size = np.bincount(text, minlength=len(part))
+            start = np.concatenate([[0], np.cumsum(size)])
+            _, column, count = np.unique(hashes, return_inverse=True, return_counts=True)
+            rarest = np.lexsort((column, count[column], text))
+            place = np.arange(len(text)) - start[text]
+            early = place < (size - (percent * size + 99) // 100 + 1)[text]
+            column, text = column[rarest][early], text[early]
+            by = np.argsort(column, kind="stable")
+            column, text = column[by], text[by]
+            # Only shingles that members of several classes have.
+            bounds = np.flatnonzero(np.diff(column, prepend=-1, append=-1)) if len(column) else np.zeros(0, int)
+            several = np.maximum.reduceat(number[text], bounds[:-1]) > np.minimum.reduceat(number[text], bounds[:-1]) if len(column) else []
+            compared = np.zeros((len(part), len(part)), bool)
+            a, b = [], []
+            for k in np.flatnonzero(several):
+                members = text[bounds[k]:bounds[k + 1]]
+                for p, one in enumerate(members):
+                    rest = members[p + 1:]
+                    rest = rest[(number[rest] != number[one]) & ~compared[one, rest]]
+                    rest = rest[(100 * size[rest] >= percent * size[one]) & (100 * size[one] >= percent * size[rest])]
+                    if not len(rest):
+                        continue
+                    compared[one, rest] = compared[rest, one] = True
+                    own = hashes[start[one]:start[one + 1]]
+                    theirs = np.concatenate([hashes[start[r]:start[r + 1]] for r in rest])
+                    same = own[np.minimum(np.searchsorted(own, theirs), len(own) - 1)] == theirs
+                    common = np.add.reduceat(same, np.cumsum(size[rest]) - size[rest], dtype=np.int64)
+                    for r in rest[100 * common >= percent * (size[rest] + len(own) - common)]:
+                        if number[r] != number[one]:
+                            number[number == number[r]] = number[one]
+                            a.append(keys[r])
+                            b.append(keys[one])
+            out.append(pd.DataFrame({"a": a, "b": b}, dtype=object))
         return pd.concat(out[1:] or out)
     return run
 
 
-def _unsettled(banded: DataFrame, sets: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """Pairs of sets that share a band but not a class so far, and may be similar.
+def _across(banded: DataFrame, sets: DataFrame, texts: DataFrame, classes: DataFrame, n: int, percent: int) -> DataFrame:
+    """Links between sets that share a band but not a class so far.
 
-    The members of a band outside its largest class are compared with all its members, block against block.
+    The members of a band outside its largest class meet all its members, block against block.
     """
-    members = banded.join(classes, "key", "left").withColumn("root", F.coalesce("root", "key"))
-    per_class = members.groupBy("band", "root").agg(F.count(F.lit(1)).alias("n"))
-    open_bands = per_class.groupBy("band").agg(F.count(F.lit(1)).alias("classes"), F.max(F.struct("n", "root")).alias("most"),
-                                               F.sum("n").alias("n")).where("classes > 1").select(
-        "band", F.col("most.root").alias("largest"), F.ceil(F.col("n") / BLOCK).cast("int").alias("ways"),
-        F.ceil((F.col("n") - F.col("most.n")) / BLOCK).cast("int").alias("left_ways"))
+    members = banded.join(classes, "key", "left").withColumn("root", F.coalesce("root", "key")).join(
+        sets.select("key", "n_shingles"), "key")
+    rows, size = F.count(F.lit(1)), F.sum("n_shingles")
+    per_class = members.groupBy("band", "root").agg(rows.alias("n"), size.alias("size"))
+    ways = F.greatest(F.ceil(F.col("n") / BLOCK), F.ceil(F.col("size") / BLOCK_SHINGLES)).cast("int")
+    open_bands = per_class.groupBy("band").agg(
+        F.count(F.lit(1)).alias("classes"), F.max(F.struct("n", "size", "root")).alias("most"), F.sum("n").alias("n"),
+        F.sum("size").alias("size")).where("classes > 1").select(
+        "band", F.col("most.root").alias("largest"), (F.col("n") - F.col("most.n")).alias("left"),
+        (F.col("size") - F.col("most.size")).alias("left_size"), F.col("most.n").alias("n"), F.col("most.size").alias("size")).select(
+        "band", "largest", ways.alias("ways"),
+        F.greatest(F.ceil(F.col("left") / BLOCK), F.ceil(F.col("left_size") / BLOCK_SHINGLES)).cast("int").alias("left_ways"))
     here = stored(members.join(open_bands, "band"), "unsettled")
-    # Blocks of left-over members come first, then those of the largest class: i is always a block of left-overs.
+    count, total = here.agg(rows, F.coalesce(size, F.lit(0))).first()
+    # Blocks of left-over members come before those of the largest class: i is always a block of left-overs.
     left = F.col("root") != F.col("largest")
     block = F.when(left, F.pmod(F.xxhash64("key"), F.col("left_ways"))).otherwise(
         F.col("left_ways") + F.pmod(F.xxhash64("key"), F.col("ways"))).cast("int")
-    placed = here.withColumn("block", block)
-    with_left = F.sequence(F.lit(0), F.col("left_ways") - 1)
-    others = F.when(left, F.sequence(F.lit(0), F.col("left_ways") + F.col("ways") - 1)).otherwise(with_left)
-    dealt = placed.withColumn("other", F.explode(others)).select(
-        "band", "key", "root", "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
-    together = max(1, here.count() // BLOCK)
-    work = dealt.join(sets.select("key", "marks", "n_shingles"), "key").withColumn(
-        "work", F.pmod(F.xxhash64("band", "i", "j"), F.lit(together)))
-    return work.groupBy("work").applyInPandas(_alike(percent / 100), "a binary, b binary").select(
-        F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+    others = F.when(left, F.sequence(F.lit(0), F.col("left_ways") + F.col("ways") - 1)).otherwise(
+        F.sequence(F.lit(0), F.col("left_ways") - 1))
+    dealt = here.withColumn("block", block).withColumn("other", F.explode(others)).select(
+        "band", "key", "root", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
+    together = max(1, count // BLOCK, total // BLOCK_SHINGLES)
+    work = dealt.join(texts, "key").withColumn("work", F.pmod(F.xxhash64("band", "i", "j"), F.lit(together)))
+    return stored(work.groupBy("work").applyInPandas(_spanning(n, percent), "a binary, b binary"), "links")
 
 
 def similar(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", n: int = SHINGLE, percent: int = THRESHOLD,
@@ -213,11 +245,11 @@ def similar(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", n: int
     base = docs.select(F.col(doc_id).cast("long").alias("doc_id"), text_key(F.coalesce(F.col(text), F.lit(""))).alias("digest"),
                        F.col(text).alias("text"))
     signed = stored(base.mapInArrow(_signer(n, rows, bands), "doc_id long, digest binary, key binary, n_shingles long, "
-                                    "marks binary, bands array<long>"), "signatures")
-    # Rows of equal sets have equal sizes, marks and bands; the first of them lends its text.
+                                    "bands array<long>"), "signatures")
+    # Rows of equal sets have equal sizes and bands; the first of them lends its text.
     sets = stored(signed.where("n_shingles > 0").groupBy("key").agg(
         F.min(F.struct(order.alias("first"), "digest")).alias("row"), F.min("n_shingles").alias("n_shingles"),
-        F.min("marks").alias("marks"), F.first("bands").alias("bands")).select("key", "row.*", "n_shingles", "marks", "bands"), "sets")
+        F.first("bands").alias("bands")).select("key", "row.*", "n_shingles", "bands"), "sets")
     banded = sets.select("key", F.explode("bands").alias("band"))
     heads = banded.groupBy("band").agg(F.min("key").alias("head"), F.max("key").alias("other")).where("head < other")
     shared = stored(banded.join(heads.select("band", "head"), "band"), "bands")
@@ -226,7 +258,7 @@ def similar(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", n: int
     ties = shared.where("key <> head").select(F.col("key").alias("a"), F.col("head").alias("b")).distinct()
     links = _confirm(ties, texts, n, percent)
     classes = components(links).select(F.col("node").alias("key"), "root")
-    more = _confirm(_unsettled(shared.select("band", "key"), sets, classes, percent), texts, n, percent)
+    more = _across(shared.select("band", "key"), sets, texts, classes, n, percent)
     roots = components(links.union(more)).select(F.col("node").alias("key"), "root")
 
     placed = sets.select("key", "first").join(roots, "key", "left").withColumn("root", F.coalesce("root", "key"))
