@@ -9,17 +9,25 @@ from partledger.llm.queries import ORACLE_SQL, QUERIES
 VECTORS = "vec_id long, embedding array<float>"
 
 
-def exact(rows, k, query):
-    """Brute force: per query id, the (rank, id, score) list."""
-    out, size = {}, len(query[1])
-    q = np.array(query[1], np.float64)
-    scored = {(float(q @ np.array(v, np.float64)), i) for i, v in rows if v and len(v) == size and i is not None and i != query[0]
-              and all(x is not None and np.isfinite(x) for x in v) and any(v)}
-    best = {}
-    for s, i in scored:
-        best[i] = max(best.get(i, -np.inf), s)
-    out = sorted(((-s, i) for i, s in best.items()))[:k]
-    return [(i, -s) for s, i in out]
+def sound(rows):
+    """Per vector length: ids and vectors that take part."""
+    by_size = {}
+    for i, v in rows:
+        if v and i is not None and all(x is not None and np.isfinite(x) for x in v) and any(v):
+            by_size.setdefault(len(v), ([], []))
+            by_size[len(v)][0].append(i)
+            by_size[len(v)][1].append(v)
+    return {d: (np.array(i), np.array(v, np.float64)) for d, (i, v) in by_size.items()}
+
+
+def exact(table, k, query):
+    """Brute force: the k best (id, score) of a query."""
+    ids, vectors = table.get(len(query[1]), (np.zeros(0, int), np.zeros((0, len(query[1])))))
+    scores, best = vectors @ np.array(query[1], np.float64), {}
+    for i, s in zip(ids.tolist(), scores.tolist()):
+        if i != query[0]:
+            best[i] = max(best.get(i, -np.inf), s)
+    return sorted(best.items(), key=lambda x: (-x[1], x[0]))[:k]
 
 
 def compare(spark, rows, k, **settings):
@@ -30,15 +38,16 @@ def compare(spark, rows, k, **settings):
         got.setdefault(r.query_id, []).append((r.vec_id, r.score))
         assert r.rank == len(got[r.query_id])
     hits = total = 0
+    table = sound(rows)
     for query in asked:
         if not query[1] or any(x is None or not np.isfinite(x) for x in query[1]) or not any(query[1]):
             assert query[0] not in got
             continue
-        want = exact(rows, k, query)
+        want = exact(table, k, query)
         have = got.get(query[0], [])
         hits += len({i for i, _ in want} & {i for i, _ in have})
         total += len(want)
-        scores = dict(exact(rows, len(rows), query))
+        scores = dict(exact(table, len(rows), query))
         assert all(abs(scores[i] - s) < 1e-9 for i, s in have)
         assert have == sorted(have, key=lambda x: (-x[1], x[0]))
     return hits / max(1, total)
@@ -53,9 +62,30 @@ def test_recall_on_random_vectors(spark):
     assert compare(spark, unit(1500, 1), 20) >= 0.9
 
 
-def test_recall_with_two_hashes_a_cell(spark):
+def test_recall_with_split_cells(spark):
     # As many vectors as a test can hold; with fewer, the nearest ones are hardly nearer than the rest.
-    assert compare(spark, unit(3000, 2), 10, hashes=2) >= 0.9
+    assert compare(spark, unit(3000, 2), 10, crowded=4, enough=64) >= 0.9
+
+
+@pytest.mark.parametrize("n", [3, 10, 21, 40, 200])
+def test_small_tables_are_searched_whole(spark, n):
+    rows = [(i * 20, v) for i, v in unit(n, 12)]
+    df = spark.createDataFrame(rows, VECTORS)
+    found = ann.nearest(df, df, 20).groupBy("query_id").count().collect()
+    assert {r["count"] for r in found} == {min(20, n - 1)} and len(found) == n
+    assert compare(spark, rows, 20) == 1
+
+
+@pytest.mark.parametrize("crowded", [ann.CELL_VECTORS, 200])
+def test_outliers_beside_a_cluster(spark, crowded):
+    """A dense cluster splits cells; vectors far from it, and those of another length, keep their neighbours."""
+    random = np.random.default_rng(13)
+    centre = random.normal(size=64)
+    cluster = centre + random.normal(size=(3000, 64)) * 0.1
+    rows = [(i * 7 + 1, v) for i, v in enumerate((cluster / np.linalg.norm(cluster, axis=1, keepdims=True)).astype(np.float32).tolist())]
+    rows = [(i, v) for i, v in rows if i % 20]
+    rows += [(100_000 + 20 * i, v) for i, v in unit(300, 14)] + [(200_000 + 20 * i, v) for i, v in unit(25, 15, d=8)]
+    assert compare(spark, rows, 20, crowded=crowded) >= 0.9
 
 
 def test_hot_cells_are_cut(spark, monkeypatch):
