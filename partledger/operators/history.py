@@ -89,3 +89,44 @@ def as_of(facts: DataFrame, versions: DataFrame, key: str, at: str, start: str,
         valid = F.col("_at").isNotNull() & (found["_until"].isNull() | (F.col("_at") < found["_until"]))
         found = F.when(valid, found)
     return solved.select("_fact.*", *[found[c].alias(c) for c in take])
+
+
+def _line(versions: DataFrame, keys: Sequence[str], start: str, end: str, take: Sequence[str], tie: Sequence[str],
+          side: str, hot: HotKeys | None) -> DataFrame:
+    """Change points (keys, _at, side) of a history; a version ends where the next begins, at the latest."""
+    body = F.struct(*take)
+    begun = versions.where(F.col(start).isNotNull()).groupBy(*keys, F.col(start).alias("_at")).agg(
+        F.max_by(F.struct(F.col(end).alias("end"), body.alias("body")), F.struct(*(tie or take))).alias("_v"))
+    closed = skew.ordered(begun, keys, ["_at"], lead={"_next": "_at"}, hot=hot)
+    stop = F.least(F.col("_v.end"), F.col("_next"))  # nulls, which are open ends, are passed over
+    real = closed.withColumn("_stop", stop).where(F.col("_stop").isNull() | (F.col("_at") < F.col("_stop")))
+    event = F.struct(F.lit(1).alias("on"), F.col("_v.body").alias("body")).alias(side)
+    gone = F.struct(F.lit(0).alias("on"), F.lit(None).cast(versions.select(body).schema.fields[0].dataType).alias("body")).alias(side)
+    ends = real.where(F.col("_stop").isNotNull()).select(*keys, F.col("_stop").alias("_at"), gone)
+    return real.select(*keys, "_at", event).unionByName(ends)
+
+
+def overlaps(left: DataFrame, right: DataFrame, keys: Sequence[str], left_span: tuple[str, str], right_span: tuple[str, str],
+             left_take: Sequence[str], right_take: Sequence[str], left_tie: Sequence[str] = (), right_tie: Sequence[str] = (),
+             hot: HotKeys | None = None) -> DataFrame:
+    """Which version of one history held together with which of another: keys, valid_from, valid_to and both sides' columns.
+
+    Each side's intervals [start, end) are its versions of a key (an open end is null). The change points of both
+    are laid on one time line per key, the versions in force are carried along it, and neighbouring spans
+    with the same values on both sides are one: as many rows as there are changes, never pairs of
+    versions. Where versions of one side overlap, the one that began last holds until its end or the next start; of
+    several that begin together the highest ``tie``. Versions without start, or that end before they begin, never hold.
+    ``hot`` keys are cut into ranges of time.
+    """
+    keys = list(keys)
+    l = _line(left, keys, *left_span, left_take, left_tie, "_l", hot)  # noqa: E741
+    r = _line(right, keys, *right_span, right_take, right_tie, "_r", hot)
+    # A version that begins where another ends is the one in force.
+    points = l.unionByName(r, allowMissingColumns=True).groupBy(*keys, "_at").agg(F.max("_l").alias("_l"), F.max("_r").alias("_r"))
+    held = skew.ordered(points, keys, ["_at"], carry={"_hl": "_l", "_hr": "_r"}, hot=hot)
+    both = held.withColumn("_state", F.struct(F.col("_hl.body").alias("l"), F.col("_hr.body").alias("r"),
+                                              ((F.col("_hl.on") == 1) & (F.col("_hr.on") == 1)).alias("both")))
+    seen = skew.ordered(both.select(*keys, "_at", "_state"), keys, ["_at"], lag={"_before": "_state"}, hot=hot)
+    changed = seen.where(~F.col("_state").eqNullSafe(F.col("_before")))
+    spans = skew.ordered(changed, keys, ["_at"], lead={"valid_to": "_at"}, hot=hot)
+    return spans.where("_state.both").select(*keys, F.col("_at").alias("valid_from"), "valid_to", "_state.l.*", "_state.r.*")

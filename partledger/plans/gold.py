@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from partledger.context import CURRENCIES, RunContext
 from partledger.functions.columns import banded, mean, money, percent
 from partledger.operators import skew
+from partledger.operators.maintain import Totals
 from partledger.operators.skew import EVEN, Hot
 from partledger.plans.silver import VIEW_COLUMNS, current_revision, part_cost_view
 
@@ -23,48 +24,64 @@ def stamp(df: DataFrame, ctx: RunContext) -> DataFrame:
 
 # Dimensions -----------------------------------------------------------------------------------------
 
+# Aggregates in the form that is kept between runs; figures and dimensions are read off them.
+REVISION_TOTALS = Totals(["part_id"], sums={"revisions": "int(revision IS NOT NULL)"}, lows={"first": "effective_from"},
+                         highs={"last": "last_modified"})
+OFFER_TOTALS = Totals(["part_id", "currency"], sums={"n": "int(supplier_name IS NOT NULL)"}, lows={"low": "cost"}, highs={"high": "cost"})
+SUPPLIER_TOTALS = Totals(["supplier_name", "currency"], lows={"low": "cost"}, highs={"high": "cost", "last": "last_updated"},
+                         sums={"parts": "int(part_id IS NOT NULL)", "prices": "int(cost IS NOT NULL)", "total": "coalesce(cost, 0)"})
+
+
+def revision_figures(totals: DataFrame) -> DataFrame:
+    return totals.select("part_id", F.col("revisions").alias("total_revision_count"), F.col("first").alias("first_released_at"),
+                         F.col("last").alias("last_revision_change_at"))
+
+
 def revision_stats(revisions: DataFrame) -> DataFrame:
-    return revisions.groupBy("part_id").agg(
-        F.count("revision").alias("total_revision_count"),
-        F.min("effective_from").alias("first_released_at"),
-        F.max("last_modified").alias("last_revision_change_at"))
+    return revision_figures(REVISION_TOTALS.compute(revisions))
 
 
-def supplier_stats(cost: DataFrame) -> DataFrame:
+def supplier_figures(totals: DataFrame) -> DataFrame:
     """Per part: number of suppliers, and lowest and highest price in its main currency.
 
     The main currency is the one most suppliers quote in; ties go to the first by name.
     """
-    per_currency = cost.groupBy("part_id", "currency").agg(
-        F.count("supplier_name").alias("n"), F.min("cost").alias("low"), F.max("cost").alias("high"))
     main = F.min_by(F.struct("low", "high", "currency"), F.struct(-F.col("n"), F.col("currency")))
-    return per_currency.groupBy("part_id").agg(F.sum("n").alias("supplier_count"), main.alias("m")).select(
+    return totals.groupBy("part_id").agg(F.sum("n").alias("supplier_count"), main.alias("m")).select(
         "part_id", "supplier_count", F.col("m.low").alias("min_cost"), F.col("m.high").alias("max_cost"),
         F.col("m.currency").alias("currency"))
 
 
-def dim_part(revisions: DataFrame, cost: DataFrame) -> DataFrame:
+def supplier_stats(cost: DataFrame) -> DataFrame:
+    return supplier_figures(OFFER_TOTALS.compute(cost))
+
+
+def dim_part(revisions: DataFrame, cost: DataFrame, history: DataFrame | None = None, offers: DataFrame | None = None) -> DataFrame:
+    """Parts with an open revision. ``history`` and ``offers`` are the figures per part where they are known already."""
     now = current_revision(revisions).select(
         "part_id", F.col("revision").alias("current_revision"), F.col("status").alias("current_status"),
         F.col("effective_from").alias("current_effective_from"),
         F.col("revision_duration_days").alias("current_revision_age_days"))
-    joined = now.join(revision_stats(revisions), "part_id", "left").join(supplier_stats(cost), "part_id", "left")
+    history = revision_stats(revisions) if history is None else history
+    offers = supplier_stats(cost) if offers is None else offers
+    joined = now.join(history, "part_id", "left").join(offers, "part_id", "left")
     return joined.select(
         "*", (F.col("supplier_count") > 1).alias("has_multi_supplier"),
         F.round(F.col("max_cost") - F.col("min_cost"), 4).cast("decimal(18,4)").alias("cost_spread"))
 
 
-def dim_supplier(cost: DataFrame) -> DataFrame:
-    return cost.groupBy("supplier_name", "currency").agg(
-        F.count("part_id").alias("parts_supplied"),
-        money(F.sum("cost")).alias("total_listed_cost"),
-        mean(F.sum("cost"), F.count("cost")).alias("avg_cost_per_part"),
-        F.min("cost").alias("min_part_cost"),
-        F.max("cost").alias("max_part_cost"),
-        F.max("last_updated").alias("last_price_update_at"),
+def supplier_dimension(totals: DataFrame) -> DataFrame:
+    return totals.select(
+        "supplier_name", "currency", F.col("parts").alias("parts_supplied"), money(F.when(F.col("prices") > 0, F.col("total"))).alias("total_listed_cost"),
+        mean(F.when(F.col("prices") > 0, F.col("total")), F.col("prices")).alias("avg_cost_per_part"), F.col("low").alias("min_part_cost"),
+        F.col("high").alias("max_part_cost"), F.col("last").alias("last_price_update_at"),
     ).withColumn("is_multi_part_supplier", F.col("parts_supplied") > 1)
 
 
+def dim_supplier(cost: DataFrame) -> DataFrame:
+    return supplier_dimension(SUPPLIER_TOTALS.compute(cost))
+
+
 # Fact -----------------------------------------------------------------------------------------------
 
 def price_position(cost: DataFrame, hot: Hot = EVEN) -> DataFrame:

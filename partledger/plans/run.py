@@ -5,8 +5,9 @@ from __future__ import annotations
 import time
 from collections.abc import Callable, Mapping, Sequence
 from contextlib import contextmanager
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from datetime import datetime
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,12 +16,13 @@ from partledger import schemas
 from partledger.context import RunContext
 from partledger.functions.columns import file_date, percent
 from partledger.operators import rules
+from partledger.operators.maintain import Totals
 from partledger.operators.rules import reject_ledger
 from partledger.operators.skew import EVEN, Hot
 from partledger.plans import bronze, gold, governance, serving, silver, star
 from partledger.schemas import TABLES
 from partledger.session import shared_dir
-from partledger.sinks import Lake, attempt
+from partledger.sinks import Lake, attempt, by_bucket, moved
 from partledger.sources import incremental
 
 
@@ -63,7 +65,14 @@ class Run:
         self.spark, self.lake, self.ctx = spark, lake, ctx
         self.entries: list[dict] = []
         self.arrived: dict[str, tuple[int, int]] = {}  # rows that arrived, rows rejected
-        self.hot = EVEN
+
+    @cached_property
+    def hot(self) -> Hot:
+        """Hot keys of the bronze tables, each looked for when a layer first needs it, whichever layer is run."""
+        if not all(self.lake.exists(f"bronze.{n}") for n in SOURCES):
+            return EVEN
+        raw = {n: self.lake.read(f"bronze.{n}") for n in SOURCES}
+        return Hot.measure(raw["plm_bom"], raw["erp_cost"], raw["plm_revisions"], cad=raw["cad_metadata"])
 
     @contextmanager
     def step(self, table: str):
@@ -94,6 +103,38 @@ class Run:
             entry |= self.lake.publish(build(), table, self.ctx, spec.partition_by, spec.cluster_by, inputs=present)
         return self.lake.read(table)
 
+    def refresh(self, table: str, source: str, build: Callable[[DataFrame], DataFrame], dated: bool = False) -> DataFrame:
+        """Publish a table that has the buckets of its source and needs, for each of them, that bucket only:
+        those of the source that were written since are built anew."""
+        state, spec, now = self.lake.state(table), TABLES[table], self.lake.state(source)
+        places = by_bucket(now["folders"])
+        if state is None or state["buckets"] != now["buckets"] or (dated and state["day"] != self.ctx.run_date.isoformat()):
+            touched, spec = None, replace(spec, buckets=now["buckets"])
+        else:
+            touched = moved(places, by_bucket(state["source"]))
+        if touched is None or touched:
+            some = places if touched is None else {b: p for b, p in places.items() if b in touched}
+            with self.step(table) as entry:
+                entry |= self.lake.write_buckets(build(self.lake.read_buckets(now, some)), spec, self.ctx, touched, source=now["folders"])
+        return self.lake.read(table)
+
+    def totals(self, name: str, source: str, totals: Totals) -> DataFrame:
+        """Aggregates of a table by key, kept as ``state.name`` and brought up to date from what changed in it."""
+        lake, table, now = self.lake, f"state.{name}", self.lake.state(source)
+        rows, state = lake.read(source), self.lake.state(table)
+        columns = [c for c in rows.columns if not c.startswith("_")]
+        if state is None:
+            with self.step(table) as entry:
+                entry |= lake.publish(totals.compute(rows.select(*columns)), table, self.ctx, source=now["folders"])
+        elif state["source"] != now["folders"]:
+            changes = lake.changes(source, by_bucket(state["source"]), columns)
+            path = shared_dir(self.spark, "changes")
+            changes.write.parquet(path)
+            known = self.spark.read.schema(changes.schema).parquet(path)
+            with self.step(table) as entry:
+                entry |= lake.publish(totals.refresh(lake.read(table), known, rows.select(*columns)), table, self.ctx, source=now["folders"])
+        return lake.read(table)
+
     # Arrivals -----------------------------------------------------------------------------------------
 
     def arrive(self, name: str, raw: DataFrame, after: str | None = None) -> None:
@@ -141,18 +182,24 @@ class Run:
 
     # Layers -------------------------------------------------------------------------------------------
 
+    def cleaned(self, name: str) -> DataFrame:
+        """The silver form of a source that needs nothing but its bronze rows."""
+        build, dated = {
+            "cad_metadata": (silver.cad_metadata, False), "erp_cost": (silver.erp_cost, False),
+            "plm_revisions": (lambda rows: silver.plm_revisions(rows, self.ctx), True)}[name]
+        return self.refresh(f"silver.{name}", f"bronze.{name}", lambda rows: silver.stamp(build(rows), f"bronze.{name}", self.ctx), dated)
+
     def silver(self) -> None:
         lake, ctx = self.lake, self.ctx
         raw = {n: lake.read(f"bronze.{n}") for n in SOURCES}
-        self.hot = Hot.measure(raw["plm_bom"], raw["erp_cost"], raw["plm_revisions"], cad=raw["cad_metadata"])
 
         def save(name: str, build: Callable[[], DataFrame], inputs: Sequence[str], dated: bool = False) -> DataFrame:
             return self.save(f"silver.{name}", lambda: silver.stamp(build(), f"bronze.{name}", ctx), inputs, dated)
 
-        save("cad_metadata", lambda: silver.cad_metadata(raw["cad_metadata"]), ["bronze.cad_metadata"])
-        revisions = save("plm_revisions", lambda: silver.plm_revisions(raw["plm_revisions"], ctx), ["bronze.plm_revisions"], True)
+        self.cleaned("cad_metadata")
+        revisions = self.cleaned("plm_revisions")
         bom = save("plm_bom", lambda: silver.plm_bom(raw["plm_bom"], revisions, self.hot), ["bronze.plm_bom", "bronze.plm_revisions"])
-        cost = save("erp_cost", lambda: silver.erp_cost(raw["erp_cost"]), ["bronze.erp_cost"])
+        cost = self.cleaned("erp_cost")
         save("part_cost_view", lambda: silver.part_cost_view(bom, revisions, _prices(cost), self.hot),
              ["silver.plm_bom", "silver.plm_revisions", "silver.erp_cost"])
 
@@ -162,8 +209,9 @@ class Run:
         cost = _prices(self.lake.read("silver.erp_cost"))
         rev, lines, price, design = "silver.plm_revisions", "silver.plm_bom", "silver.erp_cost", "silver.cad_metadata"
         tables = {
-            "dim_part": (lambda: gold.dim_part(revisions, cost), [rev, price]),
-            "dim_supplier": (lambda: gold.dim_supplier(cost), [price]),
+            "dim_part": (lambda: gold.dim_part(revisions, cost, gold.revision_figures(self.totals("revisions", rev, gold.REVISION_TOTALS)),
+                                               gold.supplier_figures(self.totals("offers", price, gold.OFFER_TOTALS))), [rev, price]),
+            "dim_supplier": (lambda: gold.supplier_dimension(self.totals("suppliers", price, gold.SUPPLIER_TOTALS)), [price]),
             "fact_bom_cost": (lambda: gold.fact_bom_cost(bom, revisions, cost, self.hot), [lines, rev, price]),
             "agg_assembly_cost": (lambda: gold.agg_assembly_cost(bom, cost, self.hot), [lines, price]),
             "agg_supplier_cost": (lambda: gold.agg_supplier_cost(bom, cost, self.hot), [lines, price]),
@@ -251,11 +299,11 @@ class Run:
             unique=[("plm_bom", stored["silver.plm_bom"], ["assembly_id", "part_id"])],
             references=[("plm_bom", stored["silver.plm_bom"], "erp_cost", stored["silver.erp_cost"], ["part_id"])],
             business=rules.rule_report([("erp_cost", stored["silver.erp_cost"], silver.COST_RULES())])), "govern.quality_log", ctx)
-        own = lake.read("govern.dq_metrics").where(F.col("run_id") == ctx.run_id)
+        own = lake.read_run("govern.dq_metrics", ctx.run_id)
         lake.append(governance.alerts(own), "govern.alert_log", ctx)
         lake.append(governance.table_health([(t.layer, t.name, stored[t.id]) for t in TABLES.values()], ctx),
                     "govern.table_health", ctx)
-        health = lake.read("govern.table_health").where(F.col("run") == ctx.run_id)
+        health = lake.read_run("govern.table_health", ctx.run_id)
         lake.publish(governance.daily_summary(own, health), "govern.daily_summary", ctx)
         self.log()
 

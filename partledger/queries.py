@@ -13,7 +13,7 @@ from partledger import fixtures, schemas
 from partledger.context import RunContext
 from partledger.fixtures import DESIGN, PLANT
 from partledger.functions.columns import file_date
-from partledger.operators import history, merge, policy, rules
+from partledger.operators import history, merge, policy, rules, sketches, skew
 from partledger.operators.dedup import duplicate_keys, latest_per_key
 from partledger.operators.skew import Hot
 from partledger.plans import bronze, gold, governance, serving, silver, star
@@ -545,6 +545,20 @@ def bom_revision_as_of(p):
                          ["revision", "status"], end="effective_to", tie=["revision"], hot=p.hot.bom_parts)
 
 
+@query
+def revision_price_spans(p):
+    """Which price each supplier asked for which revision of a part, from when to when: notices hold until the next."""
+    notices = silver.judge_cost(p.raw("raw_cost")).clean
+    by_offer = ["part_id", "supplier_name"]
+    offers = notices.select(*by_offer).distinct()
+    # Every supplier of a part sees all its revisions.
+    revisions = skew.join(offers, p.revisions.select("part_id", "revision", "status", "effective_from", "effective_to"), ["part_id"], "inner",
+                          p.hot.cost_parts)
+    prices = notices.select(*by_offer, "cost", "currency", "last_updated", F.lit(None).cast("timestamp").alias("until"))
+    return history.overlaps(revisions, prices, by_offer, ("effective_from", "effective_to"), ("last_updated", "until"),
+                            ["revision", "status"], ["cost", "currency"], ["revision"], ["cost", "currency"])
+
+
 # The table store, and the layers as a run chains them ------------------------------------------------------------
 
 def _lake(p, purpose: str = "lake") -> Lake:
@@ -576,6 +590,59 @@ def lake_upsert_repeat(p):
     return lake.read(spec.id)
 
 
+def _bucketed(p, lake: Lake) -> schemas.TableSpec:
+    """A table of offers by key buckets, in two loads; returns its description."""
+    spec = schemas.TableSpec("bucketed", "prices", ("part_id", "supplier_name"), buckets=32)
+    for rows in _price_waves(p):
+        lake.upsert(rows, spec, PLANT, "last_updated")
+    return spec
+
+
+@query
+def bucketed_upsert(p):
+    lake = _lake(p)
+    return lake.read(_bucketed(p, lake).id)
+
+
+@query
+def bucketed_changes(p):
+    """What the second load changed, seen from where the buckets lay after the first."""
+    lake, (old, new) = _lake(p), _price_waves(p)
+    spec = schemas.TableSpec("bucketed", "offers", ("part_id", "supplier_name"), buckets=32)
+    lake.upsert(old, spec, PLANT, "last_updated")
+    then = lake.places(spec.id)
+    lake.upsert(new, spec, PLANT, "last_updated")
+    return lake.changes(spec.id, then, old.columns).withColumnRenamed("_n", "more")
+
+
+def _three_loads(p, names: list[str], last: Callable[[Run], DataFrame]) -> DataFrame:
+    """What is kept up to date from the changes of three loads, the second of them out of order."""
+    lake, day = _lake(p), {"erp_cost": "last_updated", "plm_revisions": "last_modified"}
+    raw = {"erp_cost": p.raw("raw_cost"), "plm_revisions": p.raw("raw_revisions")}
+    for run_id, (low, high) in {"m1": (1992, 1996), "m2": (1999, 2030), "m3": (1997, 1998)}.items():
+        run = Run(p.spark, lake, RunContext(run_id, PLANT.run_ts))
+        for name in names:
+            run.arrive(name, raw[name].where(F.coalesce(F.year(day[name]), F.lit(low)).between(low, high)))
+            run.cleaned(name)
+        found = last(run)
+    return found
+
+
+@query
+def dim_supplier_from_changes(p):
+    return _three_loads(p, ["erp_cost"], lambda run: gold.supplier_dimension(run.totals("suppliers", "silver.erp_cost", gold.SUPPLIER_TOTALS)))
+
+
+@query
+def dim_part_from_changes(p):
+    def part(run: Run) -> DataFrame:
+        history = gold.revision_figures(run.totals("revisions", "silver.plm_revisions", gold.REVISION_TOTALS))
+        offers = gold.supplier_figures(run.totals("offers", "silver.erp_cost", gold.OFFER_TOTALS))
+        return gold.dim_part(run.lake.read("silver.plm_revisions"), run.lake.read("silver.erp_cost"), history, offers)
+
+    return _three_loads(p, ["erp_cost", "plm_revisions"], part)
+
+
 def _sources(p) -> Sources:
     return Sources(p.raw("raw_cad"), p.raw("raw_revisions"), p.raw("raw_bom"), p.raw("raw_cost"))
 
@@ -785,6 +852,35 @@ def column_drift(p):
                             governance.column_profile({"erp_cost": base}, distinct=False))
 
 
+def _yearly_states(p, rows: DataFrame, day: str, columns: list[str]) -> DataFrame:
+    """Summaries of the rows of each span of years, as runs store them."""
+    lake = _lake(p)
+    for run_id, (low, high) in {"s1": (1992, 1996), "s2": (1997, 1998), "s3": (1999, 2030)}.items():
+        some = rows.where(F.coalesce(F.year(day), F.lit(low)).between(low, high))
+        lake.append(sketches.summarise("erp_cost", some, run_id, columns), "govern.column_states", RunContext(run_id, PLANT.run_ts))
+    return lake.read("govern.column_states").drop("run").withColumn("run", F.lit("all"))
+
+
+SKETCHED = ["part_id", "supplier_name", "cost", "currency", "last_updated"]
+
+
+@query
+def merged_column_states(p):
+    """Exact figures of each column, and whether the merged sketches give them within their stated errors."""
+    merged = sketches.merge(_yearly_states(p, p.cost, "last_updated", SKETCHED))
+    one = sketches.summarise("erp_cost", p.cost, "whole", SKETCHED)
+    exact = p.cost.agg(*[F.count_distinct(c).alias(c) for c in SKETCHED], F.count_if(F.col("cost") <= 500).alias("_below"), F.count("cost").alias("_n"))
+    counts = exact.select(F.explode(F.create_map(*[x for c in SKETCHED for x in (F.lit(c), F.col(c))])).alias("column_name", "distinct_count"),
+                          (F.col("_below") / F.col("_n")).alias("below"))
+    estimate, whole = sketches.distinct_values(F.col("distinct_state")), sketches.distinct_values(F.col("whole_state"))
+    rank = F.when(F.col("column_name") == "cost", F.kll_sketch_get_rank_double("rank_state", F.lit(500.0)))
+    return merged.join(one.select("column_name", F.col("distinct_state").alias("whole_state")), "column_name").join(counts, "column_name").select(
+        "table_name", "column_name", "row_count", "nulls", "distinct_count",
+        (F.abs(estimate - F.col("distinct_count")) <= F.col("distinct_count") * sketches.HLL_ERROR).alias("distinct_within_error"),
+        (F.abs(estimate - whole) <= whole * sketches.HLL_ERROR).alias("merged_as_one_pass"),
+        F.coalesce(F.abs(rank - F.col("below")) <= sketches.KLL_ERROR, F.lit(True)).alias("rank_within_error"))
+
+
 @query
 def duplicate_bom_keys(p):
     return duplicate_keys(p.raw("raw_bom"), ["assembly_id", "part_id"])

@@ -54,6 +54,11 @@ GOVERNANCE_TABLES = {
 }
 
 
+# Key buckets of a new table that is merged into. An arrival rewrites the buckets it hits, so a large table
+# should have many times more than an arrival has keys; the number is kept with the table.
+BUCKETS = 8
+
+
 @dataclass(frozen=True)
 class TableSpec:
     layer: str
@@ -61,6 +66,7 @@ class TableSpec:
     keys: tuple[str, ...]
     partition_by: tuple[str, ...] = ()
     cluster_by: tuple[str, ...] = ()
+    buckets: int = 0  # key buckets of a new table; 0 for none
 
     @property
     def id(self) -> str:
@@ -70,14 +76,14 @@ class TableSpec:
 TABLES = {
     spec.id: spec
     for spec in [
-        TableSpec("bronze", "cad_metadata", ("part_id",)),
-        TableSpec("bronze", "plm_revisions", ("part_id", "revision"), ("status",)),
-        TableSpec("bronze", "plm_bom", ("assembly_id", "part_id")),
-        TableSpec("bronze", "erp_cost", ("part_id", "supplier_name"), ("currency",)),
-        TableSpec("silver", "cad_metadata", ("part_id",)),
-        TableSpec("silver", "plm_revisions", ("part_id", "revision"), ("status",)),
+        TableSpec("bronze", "cad_metadata", ("part_id",), buckets=BUCKETS),
+        TableSpec("bronze", "plm_revisions", ("part_id", "revision"), buckets=BUCKETS),
+        TableSpec("bronze", "plm_bom", ("assembly_id", "part_id"), buckets=BUCKETS),
+        TableSpec("bronze", "erp_cost", ("part_id", "supplier_name"), buckets=BUCKETS),
+        TableSpec("silver", "cad_metadata", ("part_id",), buckets=BUCKETS),
+        TableSpec("silver", "plm_revisions", ("part_id", "revision"), buckets=BUCKETS),
         TableSpec("silver", "plm_bom", ("assembly_id", "part_id")),
-        TableSpec("silver", "erp_cost", ("part_id", "supplier_name"), ("currency",)),
+        TableSpec("silver", "erp_cost", ("part_id", "supplier_name"), buckets=BUCKETS),
         TableSpec("silver", "part_cost_view", ("part_id", "supplier_name", "assembly_id"), ("currency",)),
         TableSpec("gold", "dim_part", ("part_id",), (), ("part_id",)),
         TableSpec("gold", "dim_supplier", ("supplier_name", "currency"), (), ("supplier_name",)),

@@ -11,7 +11,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from partledger.context import RunContext
 from partledger.functions.columns import null_safe
@@ -52,10 +52,35 @@ def attempt(run_id: str, after: str | None) -> str:
 
 # The part of a folder's name that ``attempt`` added.
 ATTEMPT = "~[0-9A-Za-z-]*$"
+BUCKET = "_bucket"
 # A file of a compacted table.
 FILE_BYTES = 256 * 1024 * 1024
 
 
+def bucket_of(keys: Sequence[str], n: int) -> Column:
+    """Bucket of a row, by its keys. Case and outer blanks make no difference, so rows whose keys a layer above
+    takes for one lie together, there as here."""
+    plain = [F.upper(F.trim(F.col(k).cast("string"))) for k in keys]
+    return F.pmod(F.xxhash64(*plain), F.lit(n)).cast("int")
+
+
+def by_folder(places: Mapping[int, str]) -> dict[str, list[int]]:
+    """Bucket → folder, turned round: the shorter form, in which pointers keep it."""
+    found: dict[str, list[int]] = {}
+    for bucket, path in sorted(places.items()):
+        found.setdefault(path, []).append(bucket)
+    return found
+
+
+def by_bucket(folders: Mapping[str, Sequence[int]]) -> dict[int, str]:
+    return {bucket: path for path, buckets in folders.items() for bucket in buckets}
+
+
+def moved(now: Mapping[int, str], then: Mapping[int, str]) -> set[int]:
+    """Buckets that were written in between."""
+    return {b for b in {*now, *then} if now.get(b) != then.get(b)}
+
+
 class Lake:
     """Tables as Parquet folders. A small file ``pointers/layer.table.json`` names the folder that
     holds a table's rows now and their schema.
@@ -89,6 +114,8 @@ class Lake:
             raise ValueError(f"there is no table {table} below {self.root}")
         if state.get("appended"):
             return self.read_appended(table)
+        if "folders" in state:
+            return self.read_buckets(state, by_bucket(state["folders"]))
         return self.spark.read.schema(StructType.fromJson(state["schema"])).parquet(state["path"])
 
     # A scan that knows each row's file is an ordinary read.
@@ -105,8 +132,15 @@ class Lake:
         self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {table.split('.')[0]}")
         state = self.state(table)
         if state.get("appended"):
-            run = f"regexp_replace(run, '{ATTEMPT}', '') AS run"
+            run = f"regexp_replace(cast(run AS string), '{ATTEMPT}', '') AS run"
             self.spark.sql(f"CREATE OR REPLACE VIEW {table} AS SELECT * EXCEPT (run), {run} FROM parquet.`{state['path']}`")
+        elif "folders" in state:
+            columns = ", ".join(f"`{f['name']}`" for f in state["schema"]["fields"])
+            rows = " UNION ALL ".join(f"SELECT {columns} FROM parquet.`{path}/{BUCKET}={{{','.join(map(str, buckets))}}}`"
+                                      for path, buckets in state["folders"].items())
+            nothing = ", ".join(f"CAST(NULL AS {f.dataType.simpleString()}) AS `{f.name}`"
+                                for f in StructType.fromJson(state["schema"]).fields)
+            self.spark.sql(f"CREATE OR REPLACE VIEW {table} AS {rows or f'SELECT {nothing} WHERE false'}")
         else:
             columns = ", ".join(f"`{f['name']}`" for f in state["schema"]["fields"])
             self.spark.sql(f"CREATE OR REPLACE VIEW {table} AS SELECT {columns} FROM parquet.`{state['path']}`")
@@ -119,10 +153,10 @@ class Lake:
             self._name(row.path.rsplit("/", 1)[-1].removesuffix(".json"))
 
     def publish(self, df: DataFrame, table: str, ctx: RunContext, partition_by: Sequence[str] = (),
-                cluster_by: Sequence[str] = (), inputs: Mapping[str, str] | None = None) -> dict:
+                cluster_by: Sequence[str] = (), inputs: Mapping[str, str] | None = None, **more) -> dict:
         """Write the table anew and then switch to it. Returns the row count seen on the way.
 
-        ``inputs``, the folders of the tables that it is made from, are kept in its pointer."""
+        ``inputs``, the folders of the tables that it is made from, are kept in its pointer, as is ``more``."""
         path = f"{self.folder(table)}/{ctx.run_id}-{uuid.uuid4().hex[:12]}"
         seen = Observation()
         counted = df.observe(seen, F.count(F.lit(1)).alias("rows_written"))
@@ -131,7 +165,7 @@ class Lake:
         write_partitioned(counted, path, partition_by)
         order = [*(f for f in df.schema.fields if f.name not in partition_by),
                  *(df.schema[c] for c in partition_by)]
-        self._point(table, path, StructType(order), ctx, **({} if inputs is None else {"inputs": dict(inputs)}))
+        self._point(table, path, StructType(order), ctx, **({} if inputs is None else {"inputs": dict(inputs)}), **more)
         return seen.get
 
     def upsert(self, df: DataFrame, spec: TableSpec, ctx: RunContext, newer_by: str | None = None) -> dict:
@@ -145,12 +179,71 @@ class Lake:
         df.write.parquet(path)
         arriving = self.spark.read.schema(df.schema).parquet(path)
         reject_duplicates(arriving, spec)
+        if spec.buckets:
+            return self._upsert_buckets(arriving, spec, ctx, newer_by)
         if self.exists(spec.id):
             if arriving.isEmpty():
                 return {"rows_written": 0}
             arriving = upsert(self.read(spec.id), arriving, spec.keys, newer_by)
         return self.publish(arriving, spec.id, ctx, spec.partition_by, spec.cluster_by)
 
+    # Tables laid out by key: each bucket's rows lie in a folder of their own, and a write replaces some of them ------
+
+    def places(self, table: str) -> dict[int, str]:
+        """Where each bucket of a table lies that has rows."""
+        return by_bucket(self.state(table)["folders"])
+
+    def read_buckets(self, state: Mapping, places: Mapping[int, str]) -> DataFrame:
+        """The rows of some buckets, with the table's columns."""
+        schema = StructType.fromJson(state["schema"])
+        if not places:
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(*[f"{path}/{BUCKET}={b}" for b, path in sorted(places.items())])
+
+    def write_buckets(self, rows: DataFrame, spec: TableSpec, ctx: RunContext, touched: set[int] | None = None, **more) -> dict:
+        """Replace the touched buckets (None: all) by the rows, which must all be of them.
+
+        The rows go to a fresh folder, and then the pointer names it for these buckets; the others are neither read nor written.
+        """
+        state = self.state(spec.id)
+        n = state["buckets"] if state else spec.buckets
+        path = f"{self.folder(spec.id)}/{ctx.run_id}-{uuid.uuid4().hex[:12]}"
+        write_partitioned(rows.withColumn(BUCKET, bucket_of(spec.keys, n)), path, [BUCKET])
+        written = self.spark.read.schema(StructType([*rows.schema.fields, StructField(BUCKET, IntegerType())])).parquet(path)
+        filled = {r[0]: r[1] for r in written.groupBy(BUCKET).count().collect()}  # n at most, from the files' footers
+        kept = {} if touched is None or state is None else {
+            b: p for b, p in by_bucket(state["folders"]).items() if b not in touched}
+        self._point(spec.id, path, rows.schema, ctx, buckets=n, folders=by_folder({**kept, **dict.fromkeys(filled, path)}), **more)
+        return {"rows_written": sum(filled.values())}
+
+    def _upsert_buckets(self, arriving: DataFrame, spec: TableSpec, ctx: RunContext, newer_by: str | None) -> dict:
+        """Merge arriving rows into the buckets that they hit. A new column is a change of every bucket."""
+        state = self.state(spec.id)
+        if state is None:
+            return self.write_buckets(arriving, spec, ctx)
+        places = by_bucket(state["folders"])
+        hit = {r[0] for r in arriving.select(bucket_of(spec.keys, state["buckets"])).distinct().collect()}
+        if not hit:
+            return {"rows_written": 0}
+        if set(arriving.columns) - {f["name"] for f in state["schema"]["fields"]}:
+            hit |= set(places)
+        there = self.read_buckets(state, {b: p for b, p in places.items() if b in hit})
+        return self.write_buckets(upsert(there, arriving, spec.keys, newer_by), spec, ctx, hit)
+
+    def changes(self, table: str, then: Mapping[int, str], columns: Sequence[str]) -> DataFrame:
+        """What became of a table's rows, in these columns, since its buckets lay at ``then``: every row that there
+        are more or fewer of, with the difference ``_n``. Only buckets written since are read; their former folders must still be there."""
+        state = self.state(table)
+        now = by_bucket(state["folders"])
+        which = moved(now, then)
+
+        def side(places: Mapping[int, str], sign: int) -> DataFrame:
+            rows = self.read_buckets(state, {b: p for b, p in places.items() if b in which})
+            return rows.select(*columns, F.lit(sign).alias("_n"))
+
+        both = side(then, -1).unionByName(side(now, 1))
+        return both.groupBy(*columns).agg(F.sum("_n").alias("_n")).where("_n <> 0")
+
     def ensure(self, table: str, schema: str | StructType) -> None:
         """Create an empty append table with a fixed schema unless it exists."""
         if not self.exists(table):
@@ -171,8 +264,29 @@ class Lake:
 
     def read_appended(self, table: str) -> DataFrame:
         """All runs of an append table, with columns that only some runs have."""
-        found = self.spark.read.option("mergeSchema", "true").parquet(self.folder(table))
-        return found.withColumn("run", F.regexp_replace(F.col("run").cast("string"), ATTEMPT, ""))
+        return self._runs([self.folder(table)])
+
+    def read_run(self, table: str, run_id: str) -> DataFrame:
+        """The rows of one run of an append table; folders of other runs are not looked into."""
+        plain = re.sub(r"([\\*?\[\]{}])", r"\\\1", run_id)
+        found = [f for tail in ("", "~*") for f in _existing(self.spark, f"{self.folder(table)}/run={plain}{tail}")]
+        if not found:
+            return self.read_appended(table).limit(0)
+        return self._runs(found)
+
+    def _runs(self, folders: Sequence[str]) -> DataFrame:
+        # A run id is text even where it looks like a number, so it is taken from the path.
+        found = self.spark.read.option("mergeSchema", "true").option("recursiveFileLookup", "true").parquet(*folders)
+        run = F.regexp_extract(F.col("_metadata.file_path"), "/run=([^/]*)/", 1)
+        run = F.url_decode(F.replace(run, F.lit("+"), F.lit("%2B")))
+        return found.select("*", F.regexp_replace(run, ATTEMPT, "").alias("run"))
+
+
+def _existing(spark: SparkSession, pattern: str) -> list[str]:
+    """Folders whose path fits a pattern."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(pattern)
+    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path) or []
+    return [f.getPath().toString() for f in found]
 
 
 @contextmanager
