@@ -10,7 +10,7 @@ operator that joins or orders by that key.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from functools import cached_property, reduce
 
@@ -53,23 +53,43 @@ def find(df: DataFrame, keys: Sequence[str], group_rows: int = GROUP_ROWS) -> Ho
     return None if found.isEmpty() else HotKeys(found, tuple(keys), group_rows)
 
 
+def find_each(df: DataFrame, columns: Sequence[str], group_rows: int = GROUP_ROWS) -> dict[str, HotKeys | None]:
+    """Hot values of each of some text columns, from one pass and one small table."""
+    one = F.explode(F.array(*[F.struct(F.lit(c).alias("name"), F.col(c).alias("key")) for c in columns])).alias("c")
+    counts = df.select(one).groupBy("c.name", "c.key").agg(F.count(F.lit(1)).alias("_rows")).where(F.col("_rows") > group_rows)
+    path = shared_dir(df.sparkSession, "hot-keys")
+    counts.write.parquet(path)
+    found = df.sparkSession.read.schema(counts.schema).parquet(path)
+    there = {r[0] for r in found.select("name").distinct().collect()}  # one row a column, at most
+    return {c: HotKeys(found.where(F.col("name") == c).select(F.col("key").alias(c), "_rows"), (c,), group_rows) if c in there else None
+            for c in columns}
+
+
 class Hot:
-    """Hot keys of the source tables. Each is looked for when an operator first asks for it."""
+    """Hot keys of the source tables. A table is read when an operator first asks for one of its keys, once for
+    all of them."""
+
+    KEYS = {"bom": ("part_id", "assembly_id"), "cost": ("part_id", "supplier_name"), "revisions": ("part_id",), "cad": ("part_id",)}
 
-    def __init__(self, bom: DataFrame | None = None, cost: DataFrame | None = None,
-                 revisions: DataFrame | None = None, cad: DataFrame | None = None, group_rows: int = GROUP_ROWS):
-        self.tables = {"bom": bom, "cost": cost, "revisions": revisions, "cad": cad}
-        self.group_rows = group_rows
+    def __init__(self, tables: Mapping[str, Callable[[], DataFrame]] | None = None, group_rows: int = GROUP_ROWS):
+        self.tables, self.group_rows = tables or {}, group_rows
+        self._found: dict[str, dict[str, HotKeys | None]] = {}
 
     @staticmethod
     def measure(bom: DataFrame, cost: DataFrame, revisions: DataFrame, group_rows: int = GROUP_ROWS,
                 cad: DataFrame | None = None) -> Hot:
-        return Hot(bom, cost, revisions, cad, group_rows)
+        tables = {"bom": bom, "cost": cost, "revisions": revisions} | ({} if cad is None else {"cad": cad})
+        return Hot({name: lambda df=df: df for name, df in tables.items()}, group_rows)
 
     def _of(self, table: str, column: str) -> HotKeys | None:
-        df = self.tables[table]
-        # Keys as they are after trimming.
-        return None if df is None else find(df.select(F.trim(column).alias(column)), [column], self.group_rows)
+        if table not in self.tables:
+            return None
+        if table not in self._found:
+            # Keys as they are after cleaning.
+            df, plain = self.tables[table](), {"supplier_name": code}
+            self._found[table] = find_each(
+                df.select(*[plain.get(c, F.trim)(F.col(c)).alias(c) for c in self.KEYS[table]]), self.KEYS[table], self.group_rows)
+        return self._found[table][column]
 
     @cached_property
     def bom_parts(self) -> HotKeys | None:
@@ -85,10 +105,7 @@ class Hot:
 
     @cached_property
     def suppliers(self) -> HotKeys | None:
-        """Suppliers of the price list, coded as silver codes them."""
-        df = self.tables["cost"]
-        name = code(F.col("supplier_name")).alias("supplier_name")
-        return None if df is None else find(df.select(name), ["supplier_name"], self.group_rows)
+        return self._of("cost", "supplier_name")
 
     @cached_property
     def revision_parts(self) -> HotKeys | None:

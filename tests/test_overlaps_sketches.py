@@ -88,4 +88,4 @@ def test_shift_between_runs(spark):
     b = a.select("same", (F.col("moved") + 2500).alias("moved"), "none")
     states = sketches.summarise("x", a, "r1").unionByName(sketches.summarise("x", b, "r2"))
     got = {r.column_name: r.distance for r in sketches.shift(states, "r1", "r2").collect()}
-    assert set(got) == {"same", "moved"} and got["same"] <= 2 * sketches.KLL_ERROR and abs(got["moved"] - 0.25) <= 0.07
+    assert set(got) == {"same", "moved"} and got["same"] <= 2 * sketches.KLL_ERROR + 0.01 and abs(got["moved"] - 0.25) <= 0.07
