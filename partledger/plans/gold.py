@@ -92,7 +92,7 @@ def price_position(cost: DataFrame, hot: Hot = EVEN) -> DataFrame:
         (F.col("cost") - F.col("_floor")).cast("decimal(18,4)").alias("cost_vs_cheapest"))
 
 
-def fact_bom_cost(bom: DataFrame, revisions: DataFrame, cost: DataFrame, hot: Hot = EVEN) -> DataFrame:
+def fact_bom_cost(bom: DataFrame, revisions: DataFrame | None, cost: DataFrame, hot: Hot = EVEN) -> DataFrame:
     """One row per (assembly, part, supplier); one row without supplier where a part has no price.
 
     Further columns of ``bom`` are passed through.

@@ -71,7 +71,12 @@ class Plant:
 
     @cached_property
     def bom(self):
-        return self.stored("bom", silver.with_current_revision(self.bom_lines, self.revisions, self.hot))
+        return silver.with_current_revision(self.bom_lines, self.revisions, self.hot)
+
+    @cached_property
+    def lines(self):
+        """Lines with every column of their current revision, joined once."""
+        return silver.with_open_revision(self.bom_lines, self.revisions, self.hot)
 
     @cached_property
     def cost(self):
@@ -79,7 +84,7 @@ class Plant:
 
     @cached_property
     def fact(self):
-        return gold.fact_bom_cost(self.bom, self.revisions, self.cost, self.hot)
+        return gold.fact_bom_cost(self.lines, None, self.cost, self.hot)
 
     @cached_property
     def rollup(self):
@@ -87,13 +92,13 @@ class Plant:
 
     @cached_property
     def priced_assemblies(self):
-        lines = serving.with_assembly(self.bom, self.rollup, self.hot)
-        return gold.fact_bom_cost(lines, self.revisions, self.cost, self.hot)
+        lines = serving.with_assembly(self.lines, self.rollup, self.hot)
+        return gold.fact_bom_cost(lines, None, self.cost, self.hot)
 
     @cached_property
     def mart(self):
-        lines = serving.with_assembly(serving.with_part(self.bom, self.dim_part, self.hot), self.rollup, self.hot)
-        return serving.mart_assembly_cost(gold.fact_bom_cost(lines, self.revisions, self.cost, self.hot), PLANT)
+        lines = serving.with_assembly(serving.with_part(self.lines, self.dim_part, self.hot), self.rollup, self.hot)
+        return serving.mart_assembly_cost(gold.fact_bom_cost(lines, None, self.cost, self.hot), PLANT)
 
     @cached_property
     def dim_part(self):
@@ -101,7 +106,8 @@ class Plant:
 
     @cached_property
     def dim_supplier(self):
-        return gold.dim_supplier(self.cost)
+        # Read once here, so it is not stored for this alone.
+        return gold.dim_supplier(self.cost if "cost" in self.__dict__ else silver.erp_cost(self.raw("raw_cost")))
 
     @cached_property
     def agg_supplier(self):
@@ -332,7 +338,7 @@ def bom_enriched(p):
 
 @query
 def part_cost_view(p):
-    return silver.part_cost_view(p.bom, p.revisions, p.cost, p.hot)
+    return silver.part_cost_view(p.lines, None, p.cost, p.hot)
 
 
 # Gold -----------------------------------------------------------------------------------------------------
