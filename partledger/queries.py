@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime
 from functools import cached_property
 
@@ -57,6 +58,13 @@ class Plant:
         df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def ahead(self, *names: str) -> None:
+        """Build several silver tables at the same time: each alone leaves most of the cores idle."""
+        missing = [n for n in names if n not in self.__dict__]
+        if len(missing) > 1:
+            with ThreadPoolExecutor(len(missing)) as pool:
+                list(pool.map(lambda n: getattr(self, n), missing))
+
     @cached_property
     def cad(self):
         return self.stored("cad", silver.cad_metadata(self.raw("raw_cad")))
@@ -71,11 +79,13 @@ class Plant:
 
     @cached_property
     def bom(self):
+        self.ahead("bom_lines", "revisions")
         return silver.with_current_revision(self.bom_lines, self.revisions, self.hot)
 
     @cached_property
     def lines(self):
         """Lines with every column of their current revision, joined once."""
+        self.ahead("bom_lines", "revisions", "cost")
         return silver.with_open_revision(self.bom_lines, self.revisions, self.hot)
 
     @cached_property
@@ -88,6 +98,7 @@ class Plant:
 
     @cached_property
     def rollup(self):
+        self.ahead("bom_lines", "revisions", "cost")
         return gold.assembly_rollup(self.bom, self.cost, hot=self.hot)
 
     @cached_property
@@ -102,6 +113,7 @@ class Plant:
 
     @cached_property
     def dim_part(self):
+        self.ahead("revisions", "cost")
         return gold.dim_part(self.revisions, self.cost)
 
     @cached_property
@@ -111,6 +123,7 @@ class Plant:
 
     @cached_property
     def agg_supplier(self):
+        self.ahead("bom_lines", "cost")
         return gold.agg_supplier_cost(self.bom_lines, self.cost, self.hot)
 
     @cached_property
@@ -127,7 +140,9 @@ class Plant:
 
     @cached_property
     def star_parts(self):
-        return star.dim_part(self.cad, self.bom_lines, self.revisions, self.cost)
+        # A part is mentioned in the newest rows if it is in any clean one.
+        mentions = (silver.judge_bom(self.raw("raw_bom")), silver.judge_revisions(self.raw("raw_revisions")), silver.judge_cost(self.raw("raw_cost")))
+        return star.dim_part(silver.cad_metadata(self.raw("raw_cad")), *[m.clean for m in mentions])
 
 
 def query(f: Query) -> Query:
@@ -392,6 +407,7 @@ def agg_cad_activity(p):
 
 @query
 def revision_impact(p):
+    p.ahead("bom_lines", "revisions", "cost")
     return gold.revision_impact(p.revisions, p.bom_lines, p.cost, "2001-06-01", p.hot)
 
 
@@ -548,6 +564,7 @@ def revision_as_of(p):
 
 @query
 def bom_revision_as_of(p):
+    p.ahead("bom_lines", "revisions")
     return history.as_of(p.bom_lines, p.dim_revision, "part_id", "last_modified", "effective_from",
                          ["revision", "status"], end="effective_to", tie=["revision"], hot=p.hot.bom_parts)
 
