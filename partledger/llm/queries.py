@@ -223,7 +223,8 @@ fit AS (
                          lambda t: t[1] = t[2] AND t[1] <> '<*>')) >= 0.7 * n AS fits
   FROM leaves JOIN seeds USING (n, lead) GROUP BY n, lead, norm),
 named AS (
-  SELECT doc_id, doc, text, line, n, lead, fits, CASE WHEN fits THEN '' ELSE norm END AS template
+  SELECT doc_id, doc, text, line, n, lead, fits,
+         CASE WHEN fits THEN '' WHEN len(list_filter(tokens, lambda t: t <> '<*>' AND t <> '')) = 0 THEN norm ELSE masked END AS template
   FROM leaves JOIN fit USING (n, lead, norm)),
 firsts AS (SELECT n, lead, fits, template, MIN(doc) AS first FROM named GROUP BY ALL),
 gone AS (
