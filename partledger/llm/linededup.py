@@ -27,13 +27,16 @@ FIELD = "<*>"
 FILTER_BITS = 1 << 23  # bits of the filter that spares lines of unshared leaves the shuffle: 1 MB, always
 LAST = (1 << 63) - 1
 
+_OTHERS = "\t\x0b\x0c\r"
 _SPACES = str.maketrans("\t\x0b\x0c\r", "    ")
 _DIGIT, _HAS_DIGIT = re.compile("[0-9]"), re.compile("[^ ]*[0-9][^ ]*")
 
 
-def normal(line: str) -> str:
-    """A line whose tokens are what single spaces separate: other white space becomes spaces."""
-    return line.translate(_SPACES).strip(" ")
+def normal_lines(text: str) -> list[str]:
+    """Lines whose tokens are what single spaces separate: other white space becomes spaces."""
+    if any(c in text for c in _OTHERS):
+        text = text.translate(_SPACES)
+    return [line.strip(" ") for line in text.split("\n")]
 
 
 def masked(line: str) -> str:
@@ -41,9 +44,9 @@ def masked(line: str) -> str:
 
 
 def leaf(line: str) -> int:
-    """64-bit id of a masked line's leaf in the tree."""
-    head = line.split(" ", DEPTH)[:DEPTH]
-    return xxhash.xxh64_intdigest(f"{line.count(' ') + 1} {' '.join(head)}") - (1 << 63)
+    """64-bit id of a line's leaf in the tree. Masking leaves tokens where they are, so only the first ones need it."""
+    head = masked(" ".join(line.split(" ", DEPTH)[:DEPTH]))
+    return xxhash.xxh64_intdigest(f"{line.count(' ') + 1} {head}") - (1 << 63)
 
 
 def line_id(line: str) -> int:
@@ -54,7 +57,7 @@ def _lines(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, int, list[t
     """Per document: its order, the hash of its text, and its lines that are not blank."""
     for batch in batches:
         for doc, key, text in zip(*(batch.column(i).to_pylist() for i in range(3))):
-            yield doc, key, [(i, n) for i, n in enumerate(map(normal, text.split("\n"))) if n]
+            yield doc, key, [(i, n) for i, n in enumerate(normal_lines(text)) if n]
 
 
 def _batches(rows: Iterator[tuple], schema: pa.Schema, size: int = 50_000) -> Iterator[pa.RecordBatch]:
@@ -70,7 +73,7 @@ def _batches(rows: Iterator[tuple], schema: pa.Schema, size: int = 50_000) -> It
 
 def _index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     schema = pa.schema([("_doc", pa.int64()), ("_hash", pa.int64()), ("_line", pa.int32()), ("_leaf", pa.int64()), ("_id", pa.int64())])
-    yield from _batches(((doc, key, i, leaf(masked(n)), line_id(n)) for doc, key, lines in _lines(batches) for i, n in lines), schema)
+    yield from _batches(((doc, key, i, leaf(n), line_id(n)) for doc, key, lines in _lines(batches) for i, n in lines), schema)
 
 
 def _shared_lines(bits):
@@ -83,7 +86,7 @@ def _shared_lines(bits):
             seen: dict[tuple[int, str], list[int]] = {}
             for doc, _, lines in _lines(iter([batch])):
                 for _, n in lines:
-                    place = leaf(masked(n))
+                    place = leaf(n)
                     slot = place & (FILTER_BITS - 1)
                     if passing[slot >> 6] >> (slot & 63) & 1:
                         found = seen.setdefault((place, n), [0, doc, doc])
