@@ -131,8 +131,8 @@ def test_query_equals_its_sql(spark, name):
     assert same, message
 
 
-def test_ten_queries():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+def test_thirteen_queries():
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
 
 
 @pytest.mark.parametrize("unknown", ["de", "en", "es", "fr"])
