@@ -520,6 +520,7 @@ SELECT *, {pct('failed', 'total')} AS failed_pct, failed = 0 AS passed FROM (
        {file_day('_source_file')} AS file_date FROM raw_cad)
        {newest('part_id', 'file_date, snapshot, created_date, designer, material, part_name, weight_kg')}""",
     "stream_cdc_apply": f"SELECT lsn, part_no, reading FROM (SELECT * FROM raw_cdc {newest('part_no', 'lsn')}) WHERE op <> 'delete'",
+    "stream_cdc_state": f"SELECT lsn, part_no, reading FROM (SELECT * FROM raw_cdc {newest('part_no', 'lsn')}) WHERE op <> 'delete'",
     "stream_without_repeats": "SELECT event_id, user_id, event_type FROM events",
     "stream_daily_activity": "SELECT CAST(ts AS DATE) AS day, event_type, count(*) AS n FROM events GROUP BY 1, 2",
 }

@@ -22,7 +22,7 @@ from partledger.plans.run import SOURCES, Run, Sources
 from partledger.session import apply_settings, shared_dir
 from partledger.sinks import Lake, compact, upsert_partitions, write_partitioned
 from partledger.sources import files, incremental
-from partledger.streaming import jobs
+from partledger.streaming import jobs, state
 
 Query = Callable[["Plant"], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -1003,17 +1003,34 @@ def _event_stream(p):
     return stream.withColumn("ts", F.col("ts").cast("timestamp"))
 
 
-@query
-def stream_cdc_apply(p):
+def _as_feed(events: DataFrame) -> DataFrame:
     op = F.when(F.col("event_type") == "error", "delete").when(F.col("event_type") == "signup", "insert")
-    feed = _event_stream(p).select(
+    return events.select(
         F.col("event_id").alias("lsn"), F.col("user_id").alias("part_no"),
         F.col("value").cast("decimal(18,2)").cast("string").alias("reading"), op.otherwise("update").alias("op"))
+
+
+@query
+def stream_cdc_apply(p):
+    feed = _as_feed(_event_stream(p))
     out = shared_dir(p.spark, "cdc-batches")
     jobs.ingest(feed, out, shared_dir(p.spark, "cdc-checkpoint"), ["part_no"], ["lsn"])
     return jobs.current_of_feed(p.spark, out, ["part_no"], "lsn", "op")
 
 
+@query
+def stream_cdc_state(p):
+    """The feed in three loads, the newest first and the second sent twice, merged through the state store."""
+    feed, arrivals, checkpoint, lake = _as_feed(p.given("events")), shared_dir(p.spark, "feed"), shared_dir(p.spark, "state"), _lake(p)
+    spec = schemas.TableSpec("streamed", "readings", ("part_no",), buckets=16)
+    newest = feed.agg(F.max("lsn")).first()[0] or 0
+    third = F.coalesce(F.floor(F.col("lsn") * 3 / F.lit(newest + 1)), F.lit(0))
+    for load in (2, 1, 1, 0):
+        feed.where(third == load).write.mode("append").parquet(arrivals)
+        state.apply_changes(jobs.parquet_arrivals(p.spark, arrivals, feed.schema), lake, spec, PLANT, checkpoint, "lsn", "op")
+    return lake.read(spec.id)
+
+
 @query
 def stream_without_repeats(p):
     out = shared_dir(p.spark, "unique")

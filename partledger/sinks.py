@@ -230,6 +230,26 @@ class Lake:
         there = self.read_buckets(state, {b: p for b, p in places.items() if b in hit})
         return self.write_buckets(upsert(there, arriving, spec.keys, newer_by), spec, ctx, hit)
 
+    def apply(self, df: DataFrame, spec: TableSpec, ctx: RunContext, deleted: Column, drop: Sequence[str] = ()) -> dict:
+        """Apply changes, one of a key, to the buckets they hit: rows marked ``deleted`` take their key out, the
+        others replace its row. Columns in ``drop`` are not stored."""
+        path = shared_dir(self.spark, "changes")
+        marked = df.select("*", deleted.alias("_deleted"))
+        marked.write.parquet(path)
+        arriving = self.spark.read.schema(marked.schema).parquet(path)
+        live = arriving.where(~F.col("_deleted")).drop("_deleted", *drop)
+        state = self.state(spec.id)
+        if state is None:
+            return self.write_buckets(live, spec, ctx)
+        places = by_bucket(state["folders"])
+        hit = {r[0] for r in arriving.select(bucket_of(spec.keys, state["buckets"])).distinct().collect()}
+        if not hit:
+            return {"rows_written": 0}
+        there = self.read_buckets(state, {b: p for b, p in places.items() if b in hit})
+        changed = arriving.select(*spec.keys)
+        untouched = there.join(changed, null_safe(there, changed, spec.keys), "left_anti")
+        return self.write_buckets(untouched.unionByName(live, allowMissingColumns=True), spec, ctx, hit)
+
     def changes(self, table: str, then: Mapping[int, str], columns: Sequence[str]) -> DataFrame:
         """What became of a table's rows, in these columns, since its buckets lay at ``then``: every row that there
         are more or fewer of, with the difference ``_n``. Only buckets written since are read; their former folders must still be there."""
