@@ -596,5 +596,27 @@ BODIES["merged_column_states"] = " UNION ALL ".join(
     for c in ("part_id", "supplier_name", "cost", "currency", "last_updated"))
 
 
+BODIES["part_cost_answers"] = """
+SELECT l.assembly_id, l.part_id, current_revision, cheapest_supplier, cheapest_unit_cost, 1 AS supplier_pages
+FROM bom_lines l JOIN (SELECT * FROM dim_part LEFT JOIN best_offer USING (part_id)) USING (part_id)"""
+BODIES["guarded_mart"] = """
+WITH rows_of AS (SELECT CASE WHEN assembly_data_completeness <> 'Incomplete' THEN assembly_id END AS assembly_id, part_id, line_cost, unit_cost FROM mart)
+SELECT 'otto' AS reader, * FROM rows_of UNION ALL
+SELECT 'ines', * FROM rows_of WHERE assembly_id IS NOT NULL UNION ALL
+SELECT 'tom', * REPLACE (CAST(NULL AS DECIMAL(18,4)) AS unit_cost) FROM rows_of WHERE assembly_id IS NOT NULL"""
+CTES["grown_cost"] = """
+SELECT part_id, supplier_name, cost AS came, TRY_CAST(cost AS DECIMAL(18,4)) AS cost, CAST(NULL AS VARCHAR) AS currency, last_updated,
+       CASE WHEN month(last_updated) <= 6 THEN 'FOB' END AS incoterm, CAST(day(last_updated) AS INT) AS min_order FROM raw_cost"""
+BODIES["promoted_columns"] = "SELECT * EXCLUDE came FROM grown_cost"
+BODIES["drifted_landing"] = """
+SELECT 'cost' AS column_name, count(*) AS row_count, 0 AS null_count, 'STRING' AS column_type
+FROM grown_cost WHERE came IS NOT NULL AND cost IS NULL HAVING count(*) > 0 UNION ALL
+SELECT 'incoterm', count(*), count(*) - count(incoterm), 'STRING' FROM grown_cost UNION ALL
+SELECT 'min_order', count(*), count(*) - count(min_order), 'BIGINT' FROM grown_cost"""
+BODIES["profile_distinct_counts"] = " UNION ALL ".join(
+    f"SELECT '{name}' AS table_name, '{c}' AS column_name, count(DISTINCT {c}) AS distinct_count, true AS within_error FROM {table}"
+    for name, table, columns in (("erp_cost", "silver_cost", COST_TYPES), ("plm_bom", "bom_lines", BOM_TYPES)) for c, _ in columns)
+
+
 def all_sql() -> dict[str, str]:
     return {name: sql(name) for name in BODIES}

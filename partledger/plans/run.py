@@ -269,6 +269,7 @@ class Run:
             "vw_revision_tracker": (lambda: serving.revision_tracker(g["agg_part_revision_history"]), ["gold.agg_part_revision_history"]),
             "vw_cad_pipeline_health": (lambda: serving.cad_pipeline_health(g["agg_cad_activity"]), ["gold.agg_cad_activity"]),
         }
+        serving.register_lookup(self.spark, "serving.api_part_cost_lookup")
         for name, (build, inputs) in views.items():
             serving.register_view(self.save(f"serving.{name}", build, inputs), name)
 

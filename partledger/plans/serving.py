@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from partledger.context import RunContext
@@ -220,5 +220,19 @@ def api_part_cost_lookup(dim_part: DataFrame, cost: DataFrame, ctx: RunContext,
     return rows.select("*", F.to_json(answer).alias("api_response_json"), ctx.ts.alias("cache_refreshed_at"))
 
 
+def register_lookup(spark: SparkSession, table: str, name: str = "part_cost_lookup") -> None:
+    """Make the lookup table callable from SQL: ``part_cost_lookup(part [, page])`` gives a part's row, or none.
+
+    The body is plain SQL, so Spark plans a call with a constant as a filter on the table, and a lateral call for
+    every row of another table as a join with it.
+    """
+    columns = [f for f in spark.table(table).schema.fields if f.name not in ("part_id", "supplier_page")]
+    returned = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in columns)
+    spark.sql(f"""
+CREATE OR REPLACE TEMPORARY FUNCTION {name}(part STRING, page INT DEFAULT 0)
+RETURNS TABLE ({returned})
+RETURN SELECT {", ".join(f.name for f in columns)} FROM {table} WHERE part_id = {name}.part AND supplier_page = {name}.page""")
+
+
 def stamp(df: DataFrame, ctx: RunContext) -> DataFrame:
     return df.select("*", ctx.ts.alias("_refreshed_at"))

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime
-from functools import cached_property
+from functools import cached_property, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,14 +15,14 @@ from partledger import fixtures, schemas
 from partledger.context import RunContext
 from partledger.fixtures import DESIGN, PLANT
 from partledger.functions.columns import file_date
-from partledger.operators import history, merge, policy, rules, sketches, skew
+from partledger.operators import history, merge, policy, rights, rules, sketches, skew
 from partledger.operators.dedup import duplicate_keys, latest_per_key
 from partledger.operators.skew import Hot
 from partledger.plans import bronze, gold, governance, serving, silver, star
 from partledger.plans.run import SOURCES, Run, Sources
 from partledger.session import apply_settings, shared_dir
 from partledger.sinks import Lake, compact, upsert_partitions, write_partitioned
-from partledger.sources import files, incremental
+from partledger.sources import drift, files, incremental
 from partledger.streaming import jobs, state
 
 Query = Callable[["Plant"], DataFrame]
@@ -232,6 +233,26 @@ def land_increment(p):
     return p.spark.read.parquet(path).drop("run")
 
 
+def _landed_with_new_columns(p) -> DataFrame:
+    """Price notices whose source has two columns more and one less than the schema, landed."""
+    grown = p.raw("raw_cost").drop("currency").withColumns({
+        "incoterm": F.when(F.month("last_updated") <= 6, F.lit("FOB")), "min_order": F.dayofmonth("last_updated")})
+    known = "part_id string, supplier_name string, cost decimal(18,4), currency string, last_updated date"
+    path = incremental.land(drift.fit(grown, known), shared_dir(p.spark, "landing"), "d1")
+    return p.spark.read.parquet(path)
+
+
+@query
+def drifted_landing(p):
+    return drift.unknown_columns(_landed_with_new_columns(p))
+
+
+@query
+def promoted_columns(p):
+    rows = drift.promote(drift.promote(_landed_with_new_columns(p), "incoterm", "string"), "min_order", "int")
+    return rows.select("part_id", "supplier_name", "cost", "currency", "last_updated", "incoterm", "min_order")
+
+
 @query
 def bulk_load_csv(p):
     path = shared_dir(p.spark, "loaded")
@@ -469,6 +490,38 @@ def api_part_cost_lookup(p):
     return rows.withColumn("all_suppliers", F.to_json("all_suppliers"))
 
 
+@query
+def part_cost_answers(p):
+    """The lookup called from SQL for every line."""
+    lookup = p.stored("lookup", serving.api_part_cost_lookup(p.dim_part, p.cost, PLANT, hot=p.hot))
+    table, lines = f"lookup_{uuid.uuid4().hex}", f"lines_{uuid.uuid4().hex}"
+    lookup.createOrReplaceTempView(table)
+    p.bom_lines.createOrReplaceTempView(lines)
+    serving.register_lookup(p.spark, table)
+    return p.spark.sql(f"""
+SELECT l.assembly_id, l.part_id, a.current_revision, a.cheapest_supplier, a.cheapest_unit_cost, a.supplier_pages
+FROM {lines} l, LATERAL part_cost_lookup(l.part_id) a""")
+
+
+MEMBERS = [("ines", "buyers"), ("buyers", "procurement_team"), ("procurement_team", "buyers"), ("otto", "data_analysts"),
+           ("tom", "designers"), ("designers", "plm_engineers"), ("eve", "visitors")]
+
+
+@query
+def guarded_mart(p):
+    """What four readers see through one view; groups are nested, two of them in a circle."""
+    assembly = F.when(F.col("assembly_data_completeness") != "Incomplete", F.col("assembly_id"))
+    mart, members, granted = (f"{n}_{uuid.uuid4().hex}" for n in ("mart", "members", "granted"))
+    p.stored("mart", p.mart.select(assembly.alias("assembly_id"), "part_id", "line_cost", "unit_cost")).createOrReplaceTempView(mart)
+    p.spark.createDataFrame(MEMBERS, rights.MEMBERSHIPS).createOrReplaceTempView(members)
+    rights.standard_rights(p.spark, mart, {"unit_cost": policy.COST_READERS}).createOrReplaceTempView(granted)
+    seen = []
+    for reader in ("ines", "otto", "tom", "eve"):
+        rights.guarded_view(p.spark, f"{mart}_{reader}", mart, "assembly_id", ("unit_cost",), members, granted, f"'{reader}'")
+        seen.append(p.spark.table(f"{mart}_{reader}").select(F.lit(reader).alias("reader"), "*"))
+    return reduce(DataFrame.unionAll, seen)
+
+
 @query
 def masked_mart(p):
     return policy.mask_columns(p.mart, {"unit_cost": policy.COST_READERS}, ["plm_engineers"]).select(
@@ -905,6 +958,22 @@ def merged_column_states(p):
         F.coalesce(F.abs(rank - F.col("below")) <= sketches.KLL_ERROR, F.lit(True)).alias("rank_within_error"))
 
 
+@query
+def profile_distinct_counts(p):
+    """Exact distinct counts of every column, and whether the profile's are within three times their standard error."""
+    tables = {"erp_cost": p.cost, "plm_bom": p.bom_lines}
+    profile = governance.column_profile(tables).select("table_name", "column_name", "approx_distinct")
+    exact = []
+    for name, df in tables.items():
+        columns = [c for c in df.columns if not c.startswith("_")]
+        pairs = F.create_map(*[x for c in columns for x in (F.lit(c), F.col(c))])
+        exact.append(df.agg(*[F.count_distinct(c).alias(c) for c in columns]).select(
+            F.lit(name).alias("table_name"), F.explode(pairs).alias("column_name", "distinct_count")))
+    gap = F.abs(F.col("approx_distinct") - F.col("distinct_count"))
+    return reduce(DataFrame.unionAll, exact).join(profile, ["table_name", "column_name"]).select(
+        "table_name", "column_name", "distinct_count", (gap <= 0.15 * F.col("distinct_count")).alias("within_error"))
+
+
 @query
 def duplicate_bom_keys(p):
     return duplicate_keys(p.raw("raw_bom"), ["assembly_id", "part_id"])
