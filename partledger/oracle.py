@@ -618,5 +618,11 @@ BODIES["profile_distinct_counts"] = " UNION ALL ".join(
     for name, table, columns in (("erp_cost", "silver_cost", COST_TYPES), ("plm_bom", "bom_lines", BOM_TYPES)) for c, _ in columns)
 
 
+LACKING = "count(*) FILTER (part_id IS NULL OR supplier_name IS NULL)"
+BODIES["profile_of_writes"] = f"""
+SELECT layer, 'erp_cost' AS table_name, count(*) AS row_count, {LACKING} AS null_key_rows, {pct(LACKING, "count(*)")} AS null_key_pct
+FROM silver_cost, (VALUES ('bronze'), ('silver')) AS l(layer) GROUP BY layer"""
+
+
 def all_sql() -> dict[str, str]:
     return {name: sql(name) for name in BODIES}

@@ -34,6 +34,13 @@ def key_profile(tables: Sequence[Profiled]) -> DataFrame:
         for layer, table, df, keys in tables])
 
 
+def counted_profile(spark: SparkSession, counted: Sequence[tuple[str, str, int, int]]) -> DataFrame:
+    """``key_profile`` from counts taken while the tables were written, (layer, table, rows, rows with a null key): nothing is read."""
+    counts = spark.createDataFrame(list(counted), "layer string, table_name string, row_count long, null_key_rows long")
+    return counts.select("layer", "table_name", "row_count", "null_key_rows",
+                         percent(F.col("null_key_rows"), F.col("row_count")).alias("null_key_pct"))
+
+
 def freshness(tables: Sequence[tuple[str, DataFrame, str]]) -> DataFrame:
     """Rows and newest load time per table."""
     return _union([

@@ -20,7 +20,7 @@ from partledger.operators.maintain import Totals
 from partledger.operators.rules import reject_ledger
 from partledger.operators.skew import EVEN, Hot
 from partledger.plans import bronze, gold, governance, serving, silver, star
-from partledger.schemas import TABLES
+from partledger.schemas import TABLES, TableSpec
 from partledger.session import shared_dir
 from partledger.sinks import Lake, attempt, by_bucket, moved
 from partledger.sources import incremental
@@ -100,7 +100,7 @@ class Run:
             return self.lake.read(table)
         spec = TABLES[table]
         with self.step(table) as entry:
-            entry |= self.lake.publish(build(), table, self.ctx, spec.partition_by, spec.cluster_by, inputs=present)
+            entry |= self.lake.publish(build(), table, self.ctx, spec.partition_by, spec.cluster_by, present, spec.required)
         return self.lake.read(table)
 
     def refresh(self, table: str, source: str, build: Callable[[DataFrame], DataFrame], dated: bool = False) -> DataFrame:
@@ -275,15 +275,22 @@ class Run:
 
     # Governance ---------------------------------------------------------------------------------------
 
+    def profile(self, tables: Sequence[TableSpec]) -> DataFrame:
+        """Rows and rows with a null key of each table, as counted when they were written; only tables written before
+        counts were kept are read."""
+        known = {t.id: self.lake.counts(t.id) for t in tables}
+        counted = governance.counted_profile(self.spark, [
+            (t.layer, t.name, known[t.id]["row_count"], known[t.id]["null_key_rows"]) for t in tables if known[t.id]])
+        unknown = [(t.layer, t.name, self.lake.read(t.id), t.required) for t in tables if not known[t.id]]
+        return counted.unionByName(governance.key_profile(unknown)) if unknown else counted
+
     def govern(self, control: str | None = None) -> None:
         """Profiles, rejects of this run, watermark ages, schema drift, quality rules, alerts, health, log."""
         lake, ctx, spark = self.lake, self.ctx, self.spark
         for name, schema in schemas.GOVERNANCE_TABLES.items():
             lake.ensure(f"govern.{name}", schema)
         stored = {t.id: lake.read(t.id) for t in TABLES.values()}
-        profile = governance.key_profile([
-            (t.layer, t.name, stored[t.id], [k for k in t.keys if k not in ("currency", "supplier_page")])
-            for t in TABLES.values() if t.keys])
+        profile = self.profile([t for t in TABLES.values() if t.keys])
         rates = spark.createDataFrame([(n, bad, total) for n, (total, bad) in self.arrived.items()],
                                       "table_name string, rejected_rows long, total_rows long").select(
             "*", percent(F.col("rejected_rows"), F.col("total_rows")).alias("quarantine_pct"))

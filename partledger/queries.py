@@ -720,6 +720,13 @@ def dim_part_from_changes(p):
     return _three_loads(p, ["erp_cost", "plm_revisions"], part)
 
 
+@query
+def profile_of_writes(p):
+    """The profile of tables that three loads wrote, from the counts taken on the way."""
+    written = [schemas.TABLES[f"{layer}.erp_cost"] for layer in ("bronze", "silver")]
+    return _three_loads(p, ["erp_cost"], lambda run: run.profile(written))
+
+
 def _sources(p) -> Sources:
     return Sources(p.raw("raw_cad"), p.raw("raw_revisions"), p.raw("raw_bom"), p.raw("raw_cost"))
 

@@ -72,6 +72,11 @@ class TableSpec:
     def id(self) -> str:
         return f"{self.layer}.{self.name}"
 
+    @property
+    def required(self) -> tuple[str, ...]:
+        """Keys that ought to have a value in every row."""
+        return tuple(k for k in self.keys if k not in ("currency", "supplier_page"))
+
 
 TABLES = {
     spec.id: spec

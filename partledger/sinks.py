@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
 from partledger.context import RunContext
-from partledger.functions.columns import null_safe
+from partledger.functions.columns import any_null, null_safe
 from partledger.operators.dedup import duplicate_keys
 from partledger.operators.merge import upsert
 from partledger.schemas import TableSpec
@@ -153,20 +153,35 @@ class Lake:
             self._name(row.path.rsplit("/", 1)[-1].removesuffix(".json"))
 
     def publish(self, df: DataFrame, table: str, ctx: RunContext, partition_by: Sequence[str] = (),
-                cluster_by: Sequence[str] = (), inputs: Mapping[str, str] | None = None, **more) -> dict:
-        """Write the table anew and then switch to it. Returns the row count seen on the way.
+                cluster_by: Sequence[str] = (), inputs: Mapping[str, str] | None = None, required: Sequence[str] = (), **more) -> dict:
+        """Write the table anew and then switch to it. Returns the row count.
 
-        ``inputs``, the folders of the tables that it is made from, are kept in its pointer, as is ``more``."""
+        Rows, and rows without one of the ``required`` columns, are counted on the way and kept in the pointer, as are
+        ``inputs``, the folders of the tables that it is made from, and ``more``. Counts on the way take in tasks that
+        were run again, so they hold only if the files' footers name as many rows; else the written columns are read."""
         path = f"{self.folder(table)}/{ctx.run_id}-{uuid.uuid4().hex[:12]}"
         seen = Observation()
-        counted = df.observe(seen, F.count(F.lit(1)).alias("rows_written"))
-        if cluster_by and not partition_by:
-            counted = clustered(counted, cluster_by)
-        write_partitioned(counted, path, partition_by)
+        counts = [F.count(F.lit(1)).alias("row_count"), _lacking(required).alias("null_key_rows")]
+        laid_out = clustered(df, cluster_by) if cluster_by and not partition_by else df
+        write_partitioned(laid_out.observe(seen, *counts), path, partition_by)
         order = [*(f for f in df.schema.fields if f.name not in partition_by),
                  *(df.schema[c] for c in partition_by)]
-        self._point(table, path, StructType(order), ctx, **({} if inputs is None else {"inputs": dict(inputs)}), **more)
-        return seen.get
+        written = self.spark.read.schema(StructType(order)).parquet(path)
+        counted = seen.get
+        if counted["row_count"] != written.count():
+            counted = written.agg(*counts).first().asDict()
+        self._point(table, path, StructType(order), ctx, **({} if inputs is None else {"inputs": dict(inputs)}), counts=counted, **more)
+        return {"rows_written": counted["row_count"]}
+
+    def counts(self, table: str) -> dict | None:
+        """Rows, and rows without one of the required keys, as counted when they were written; None for append tables."""
+        state = self.state(table)
+        if state is None or "counts" not in state:
+            return None
+        if "folders" not in state:
+            return state["counts"]
+        rows, lacking = (sum(c[i] for c in state["counts"].values()) for i in (0, 1))
+        return {"row_count": rows, "null_key_rows": lacking}
 
     def upsert(self, df: DataFrame, spec: TableSpec, ctx: RunContext, newer_by: str | None = None) -> dict:
         """Create the table, or merge the rows into it by the table's keys.
@@ -185,7 +200,7 @@ class Lake:
             if arriving.isEmpty():
                 return {"rows_written": 0}
             arriving = upsert(self.read(spec.id), arriving, spec.keys, newer_by)
-        return self.publish(arriving, spec.id, ctx, spec.partition_by, spec.cluster_by)
+        return self.publish(arriving, spec.id, ctx, spec.partition_by, spec.cluster_by, required=spec.required)
 
     # Tables laid out by key: each bucket's rows lie in a folder of their own, and a write replaces some of them ------
 
@@ -210,11 +225,17 @@ class Lake:
         path = f"{self.folder(spec.id)}/{ctx.run_id}-{uuid.uuid4().hex[:12]}"
         write_partitioned(rows.withColumn(BUCKET, bucket_of(spec.keys, n)), path, [BUCKET])
         written = self.spark.read.schema(StructType([*rows.schema.fields, StructField(BUCKET, IntegerType())])).parquet(path)
-        filled = {r[0]: r[1] for r in written.groupBy(BUCKET).count().collect()}  # n at most, from the files' footers
+        # n rows at most: counts of the buckets just written, from their key columns.
+        filled = {r[0]: [r[1], r[2]] for r in written.groupBy(BUCKET).agg(
+            F.count(F.lit(1)), _lacking(spec.required)).collect()}
         kept = {} if touched is None or state is None else {
             b: p for b, p in by_bucket(state["folders"]).items() if b not in touched}
+        known = {} if state is None else state.get("counts", {})
+        counts = {str(b): known[str(b)] for b in kept if str(b) in known} | {str(b): c for b, c in filled.items()}
+        if len(counts) == len(kept) + len(filled):  # else the table was begun before counts were kept
+            more["counts"] = counts
         self._point(spec.id, path, rows.schema, ctx, buckets=n, folders=by_folder({**kept, **dict.fromkeys(filled, path)}), **more)
-        return {"rows_written": sum(filled.values())}
+        return {"rows_written": sum(c[0] for c in filled.values())}
 
     def _upsert_buckets(self, arriving: DataFrame, spec: TableSpec, ctx: RunContext, newer_by: str | None) -> dict:
         """Merge arriving rows into the buckets that they hit. A new column is a change of every bucket."""
@@ -302,6 +323,11 @@ class Lake:
         return found.select("*", F.regexp_replace(run, ATTEMPT, "").alias("run"))
 
 
+def _lacking(required: Sequence[str]) -> Column:
+    """How many rows lack a value in one of the columns."""
+    return F.count_if(any_null(required)) if required else F.count_if(F.lit(False))
+
+
 def _existing(spark: SparkSession, pattern: str) -> list[str]:
     """Folders whose path fits a pattern."""
     path = spark._jvm.org.apache.hadoop.fs.Path(pattern)
