@@ -256,7 +256,8 @@ def decode(encoded: DataFrame, definition: str, ids: str = "ids") -> DataFrame:
     """``encoded`` with ``text`` instead of ``ids``: an id-to-piece join, special tokens included.
 
     The piece table is bounded by the vocabulary, so the join is a broadcast one: each task holds the
-    table and looks up whole batches of ids. Null ids give null, no ids the empty text.
+    table and looks up whole batches of ids. Null ids give null, no ids the empty text; an empty table
+    gives an empty one. A column ``text`` that ``encoded`` has is replaced.
     """
     spec = json.loads(definition)
     if spec.get("decoder") is not None:
@@ -266,6 +267,7 @@ def decode(encoded: DataFrame, definition: str, ids: str = "ids") -> DataFrame:
     for row in pieces:
         table[row["id"]] = row["piece"]
     shared = encoded.sparkSession.sparkContext.broadcast(table)
+    encoded = encoded.drop(*[c for c in encoded.columns if c.lower() == "text" != ids])
     others = [f for f in encoded.schema.fields if f.name != ids]
 
     def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

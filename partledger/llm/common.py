@@ -69,6 +69,18 @@ def running_start(rows: DataFrame, group: str, bucket: str, order: Sequence[str]
         "_g", "_b", "_before", "_inside")
 
 
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """The names, lengthened where a column of the frame has one of them already."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """Connected components of an undirected edge table: ``node, root``, root the smallest node.
 

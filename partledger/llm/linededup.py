@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from partledger.llm.common import stored
+from partledger.llm.common import fresh, stored
 
 DEPTH = 4             # leading tokens that a leaf fixes
 AGREEMENT = 0.7       # share of a line's tokens that must be constants of the template
@@ -163,9 +163,10 @@ def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     results. Columns of ``docs`` named ``kept_text``, ``n_lines`` or ``dropped`` are replaced.
     """
     found = dropped_lines(docs, doc_id, text)
+    doc, key = fresh(docs, "_doc", "_hash")
     rows = docs.drop("kept_text", "n_lines", "dropped").withColumn(
-        "_doc", F.coalesce(F.col(doc_id).cast("long"), F.lit(LAST))).withColumn("_hash", F.xxhash64(text))
-    out = rows.join(found, ["_doc", "_hash"], "left").drop("_doc", "_hash")
+        doc, F.coalesce(F.col(doc_id).cast("long"), F.lit(LAST))).withColumn(key, F.xxhash64(text))
+    out = rows.join(found.withColumnsRenamed({"_doc": doc, "_hash": key}), [doc, key], "left").drop(doc, key)
     lines = F.split(text, "\n")
     kept = F.array_join(F.filter(lines, lambda line, i: ~F.array_contains(F.col("dropped"), i)), "\n")
     return out.withColumn("kept_text", F.when(F.col("dropped").isNull(), F.col(text)).otherwise(kept)).withColumn(

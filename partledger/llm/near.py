@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from partledger.llm.common import Words, components, mix, stored
+from partledger.llm.common import Words, components, fresh, mix, stored
 
 NGRAM, THRESHOLD = 5, 0.8
 ROWS, RECALL = 7, 0.9995   # rows of a band; share of pairs at the threshold that meet in a band
@@ -199,12 +199,12 @@ def similar(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", n: int
 
 def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **settings) -> DataFrame:
     """The rows of ``docs`` that stay when one row of each class does, with all their columns."""
+    id_, key, n = fresh(docs, "_id", "_key", "_n")
     kept = similar(docs, doc_id, text, **settings).where("keeper").select(
-        F.coalesce("doc_id", F.lit(LAST)).alias("_id"), F.col("key").alias("_key")).distinct()
-    rows = docs.withColumn("_id", F.coalesce(F.col(doc_id).cast("long"), F.lit(LAST))).withColumn(
-        "_key", text_key(F.coalesce(F.col(text), F.lit(""))))
-    same = rows.join(kept, ["_id", "_key"])
-    first = F.row_number().over(Window.partitionBy("_id", "_key").orderBy("_id"))
+        F.coalesce("doc_id", F.lit(LAST)).alias(id_), F.col("key").alias(key)).distinct()
+    rows = docs.withColumn(id_, F.coalesce(F.col(doc_id).cast("long"), F.lit(LAST))).withColumn(
+        key, text_key(F.coalesce(F.col(text), F.lit(""))))
+    same = rows.join(kept, [id_, key])
+    first = F.row_number().over(Window.partitionBy(id_, key).orderBy(id_))
     bare = ~F.coalesce(F.col(text), F.lit("")).rlike(r"[^\x20\x09-\x0D]")
-    return same.withColumn("_n", first).where((F.col("_n") == 1) | bare).drop("_id", "_key", "_n")
-
+    return same.withColumn(n, first).where((F.col(n) == 1) | bare).select(*[F.col("`" + c.replace("`", "``") + "`") for c in docs.columns])
