@@ -55,6 +55,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The mix in whole documents: a document is there as often as the mix takes its first word, so
     not at all, once or twice. Rows without words are not in the mix."""
     prepare(spark)
+    docs = docs.select(*COLUMNS)
     name = F.concat_ws("-", "doc_id", F.md5(F.coalesce("text", F.lit(""))))
     named = docs.withColumn("_name", name)
     taken = mixing.copies(*mixing.mix(named, mixing.word_count(F.col("text")), doc_id="_name")).groupBy(
