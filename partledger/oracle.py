@@ -310,6 +310,9 @@ BODIES: dict[str, str] = {
        'run-001' AS _gold_pipeline_run FROM dim_supplier""",
     "csv_tree_scan": f"""SELECT part_id, part_name, material, weight_kg, designer, created_date,
        {file_day('_source_file')} AS file_date, {SNAPSHOT} AS snapshot FROM raw_cad""",
+    **dict.fromkeys(["files_by_ledger", "stream_files_by_ledger"], f"""SELECT part_id, part_name, material, weight_kg,
+       designer, created_date, {file_day('_source_file')} AS file_date, {SNAPSHOT} AS snapshot,
+       CASE WHEN coalesce({file_day('_source_file')} <= DATE '2024-01-15', true) THEN 2 ELSE 1 END AS wave FROM raw_cad"""),
     "csv_folder_listing": f"SELECT {SNAPSHOT} AS snapshot, true AS has_bytes FROM raw_cad GROUP BY 1",
     "monthly_split": """SELECT 'plm_bom_' || strftime(last_modified, '%Y_%m') || '_01' AS snapshot, count(*) AS n,
        CAST(sum(quantity) AS BIGINT) AS pieces FROM raw_bom GROUP BY 1""",

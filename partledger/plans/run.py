@@ -24,6 +24,7 @@ from partledger.schemas import TABLES, TableSpec
 from partledger.session import shared_dir
 from partledger.sinks import Lake, attempt, by_bucket, moved
 from partledger.sources import incremental
+from partledger.sources.arrivals import Ledger, csv_batches, found
 
 
 @dataclass(frozen=True)
@@ -180,6 +181,18 @@ class Run:
             self.arrive(name, self.spark.read.schema(rows.schema).parquet(landed).drop("_ingestion_ts"), after)
         incremental.commit_watermarks(marks, list(sources), upto, control)
 
+    def load_files(self, path: str, ledger: str) -> None:
+        """Take in the design files below a folder that no run before has taken in.
+
+        Files are claimed before they are read and marked after their rows are stored, so a run that dies in between
+        reads the same files again; their rejects replace those of the attempt before.
+        """
+        book = Ledger(ledger)
+        before, upto = book.committed(), book.claim(found(path))
+        if upto > before:
+            self.arrive("cad_metadata", csv_batches(self.spark, path, schemas.CAD_CSV, book, before, upto), f"files {before}")
+            book.commit(upto)
+
     # Layers -------------------------------------------------------------------------------------------
 
     def cleaned(self, name: str) -> DataFrame:

@@ -22,7 +22,7 @@ from partledger.plans import bronze, gold, governance, serving, silver, star
 from partledger.plans.run import SOURCES, Run, Sources
 from partledger.session import apply_settings, shared_dir
 from partledger.sinks import Lake, compact, upsert_partitions, write_partitioned
-from partledger.sources import drift, files, incremental
+from partledger.sources import arrivals, drift, files, incremental
 from partledger.streaming import jobs, state
 
 Query = Callable[["Plant"], DataFrame]
@@ -233,6 +233,53 @@ def land_increment(p):
     return p.spark.read.parquet(path).drop("run")
 
 
+def _dropped_in_two_waves(p, drop: Callable[[str, int], None]) -> None:
+    """CAD files arrive in a folder in two waves, the later dates first; after each, ``drop`` is called with folder and wave."""
+    rows, folder = p.raw("raw_cad"), shared_dir(p.spark, "drops")
+    late = F.coalesce(file_date(F.col("_source_file")) <= "2024-01-15", F.lit(True))
+    name = F.regexp_extract("_source_file", r"([^/]+)\.csv$", 1)
+    for wave, some in enumerate((rows.where(~late), rows.where(late)), 1):
+        files.write_snapshots(some, f"{folder}/wave={wave}", name, quote_all=False, drop=("_source_file",))
+        drop(folder, wave)
+
+
+def _of_wave(rows: DataFrame) -> DataFrame:
+    wave = F.regexp_extract("_source_file", "wave=([0-9]+)", 1).cast("int")
+    return rows.select("*", file_date(F.col("_source_file")).alias("file_date"), wave.alias("wave"),
+                       _snapshot_name().alias("snapshot")).drop("_source_file")
+
+
+@query
+def files_by_ledger(p):
+    """Two loads from the ledger; the first attempt at the second dies before its files are marked."""
+    book, out = arrivals.Ledger(shared_dir(p.spark, "ledger")), shared_dir(p.spark, "loads")
+
+    def load(folder: str, wave: int) -> None:
+        for marked in (wave == 1, True):
+            before, upto = book.committed(), book.claim(arrivals.found(folder))
+            if upto > before:
+                rows = arrivals.csv_batches(p.spark, folder, schemas.CAD_CSV, book, before, upto)
+                rows.write.mode("overwrite").parquet(f"{out}/load={before}")
+            if marked:
+                book.commit(upto)
+
+    _dropped_in_two_waves(p, load)
+    return _of_wave(p.spark.read.parquet(out).drop("load"))
+
+
+@query
+def stream_files_by_ledger(p):
+    """The same files as a stream, which stops after each wave and goes on from its checkpoint."""
+    book, out, checkpoint = (arrivals.Ledger(shared_dir(p.spark, "ledger")), shared_dir(p.spark, "streamed"),
+                             shared_dir(p.spark, "ledger-checkpoint"))
+
+    def load(folder: str, wave: int) -> None:
+        jobs.to_files(arrivals.csv_stream(p.spark, folder, schemas.CAD_CSV, book), out, checkpoint)
+
+    _dropped_in_two_waves(p, load)
+    return _of_wave(p.spark.read.parquet(out))
+
+
 def _landed_with_new_columns(p) -> DataFrame:
     """Price notices whose source has two columns more and one less than the schema, landed."""
     grown = p.raw("raw_cost").drop("currency").withColumns({
