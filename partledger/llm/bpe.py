@@ -1,4 +1,4 @@
-"""BPE encoding by distinct words, and decoding by id.
+"""BPE encoding by distinct words, and decoding by an id-to-piece join.
 
 Texts are split into words at ASCII white space. Blocks of documents keep each text as positions in
 the block's own word list; word lists meet in buckets by word hash, where every distinct word is
@@ -25,6 +25,7 @@ from partledger.session import shared_dir
 
 BLOCK_CHARS = 8 << 20      # text of one block; a longer document is a block by itself
 BUCKET_WORDS = 300_000     # (block, word) pairs of one bucket, about
+BLOCK_IDS = 1 << 20        # ids of one block in decoding; a longer document is a block with those before it
 
 _WORD = re.compile("[^\x20\x09-\x0d]+")
 # Printable ASCII and the Latin-1 letters: one code point each after NFC and lower-casing, and of
@@ -255,30 +256,81 @@ def piece_table(spark: SparkSession, definition: str) -> DataFrame:
 def decode(encoded: DataFrame, definition: str, ids: str = "ids") -> DataFrame:
     """``encoded`` with ``text`` instead of ``ids``: an id-to-piece join, special tokens included.
 
-    The piece table is bounded by the vocabulary, so the join is a broadcast one: each task holds the
-    table and looks up whole batches of ids. Null ids give null, no ids the empty text; an empty table
-    gives an empty one. A column ``text`` that ``encoded`` has is replaced.
+    Documents are gathered in blocks. A block becomes one row for each distinct id that it has, after one row with
+    the block itself; the join with the piece table, which the vocabulary bounds and is broadcast, leaves these rows
+    where and in the order they are, and the pieces go back to the positions of their ids. Nothing is shuffled.
+    Ids that the table lacks are left out, as the tokenizers library does. Null ids give null, no ids the empty text;
+    an empty table gives an empty one. A text of any length is in one block. A column ``text`` that ``encoded`` has is
+    replaced; other columns stay, whatever their names.
     """
     spec = json.loads(definition)
     if spec.get("decoder") is not None:
         raise ValueError("only tokenizers whose pieces are joined by spaces are decoded here")
-    pieces = piece_table(encoded.sparkSession, definition).collect()
-    table = [""] * (pieces[-1]["id"] + 1)
-    for row in pieces:
-        table[row["id"]] = row["piece"]
-    shared = encoded.sparkSession.sparkContext.broadcast(table)
     encoded = encoded.drop(*[c for c in encoded.columns if c.lower() == "text" != ids])
     others = [f for f in encoded.schema.fields if f.name != ids]
-
-    def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        piece = shared.value
-        for batch in batches:
-            texts = [None if x is None else " ".join([piece[i] for i in x.tolist()]) for x in _arrays(batch, ids)]
-            yield pa.RecordBatch.from_arrays([*(batch.column(f.name) for f in others), pa.array(texts, pa.string())],
-                                             [*(f.name for f in others), "text"])
-
+    wanted = encoded.mapInArrow(_wanted(ids), "id int, n_wanted int, block binary")
+    found = wanted.join(F.broadcast(piece_table(encoded.sparkSession, definition)), "id", "left")
     names = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in others)
-    return encoded.mapInArrow(look_up, f"{names}, text string")
+    return found.select("id", "piece", "n_wanted", "block").mapInArrow(
+        _with_pieces(ids, [f.name for f in others]), f"{names}, text string" if others else "text string")
+
+
+def _wanted(ids: str, block_ids: int = BLOCK_IDS):
+    """Rows ``id, n_wanted, block``: for each block first a row with the block, then one for each id in it."""
+    def rows(block: pa.Table) -> pa.RecordBatch:
+        block = block.combine_chunks()
+        has = np.zeros(0, np.int32)
+        if block.num_rows:
+            flat = np.concatenate([x for b in block.to_batches() for x in _arrays(b, ids) if x is not None] or [has])
+            has = np.unique(flat).astype(np.int32)
+        sink = pa.BufferOutputStream()
+        with pa.ipc.new_stream(sink, block.schema) as out:
+            out.write_table(block)
+        n = len(has)
+        return pa.RecordBatch.from_arrays([
+            pa.array([None, *has.tolist()], pa.int32()), pa.array([n] + [None] * n, pa.int32()),
+            pa.array([sink.getvalue().to_pybytes()] + [None] * n, pa.binary())], ["id", "n_wanted", "block"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+        for batch in batches:
+            held.append(batch)
+            size += sum(len(x) for x in _arrays(batch, ids) if x is not None)
+            if size >= block_ids:
+                yield rows(pa.Table.from_batches(held))
+                held, size = [], 0
+        if held:
+            yield rows(pa.Table.from_batches(held))
+    return run
+
+
+def _with_pieces(ids: str, others: list[str]):
+    """Puts the pieces that follow a block where their ids are in it."""
+    def texts(block: bytes, n: int, pieces: dict[int, str | None]) -> Iterator[pa.RecordBatch]:
+        if len(pieces) != n:
+            raise ValueError("the ids of a block have not come behind it")
+        known = None not in pieces.values()
+        for batch in pa.ipc.open_stream(block).read_all().to_batches():
+            found = ([pieces[i] for i in x.tolist()] if x is not None else None for x in _arrays(batch, ids))
+            text = [None if f is None else " ".join(f if known else [p for p in f if p is not None]) for f in found]
+            yield pa.RecordBatch.from_arrays([*(batch.column(batch.schema.names.index(c)) for c in others), pa.array(text, pa.string())],
+                                             [*others, "text"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block, n, pieces = None, 0, {}
+        for batch in batches:
+            found_ids, found, counts = batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist()
+            at = 0
+            for start in [i for i, c in enumerate(counts) if c is not None] + [len(counts)]:
+                pieces.update(zip(found_ids[at:start], found[at:start]))
+                if start < len(counts):
+                    if block is not None:
+                        yield from texts(block, n, pieces)
+                    block, n, pieces = batch.column(3)[start].as_py(), counts[start], {}
+                at = start + 1
+        if block is not None:
+            yield from texts(block, n, pieces)
+    return run
 
 
 def _arrays(batch: pa.RecordBatch, name: str) -> list[np.ndarray | None]:

@@ -1,11 +1,13 @@
 """The registered queries without SQL, on the smallest tables, against what their contracts say in plain Python."""
 
 import hashlib
+import random
 import re
 import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -129,3 +131,33 @@ def test_decoded_text_replaces_a_text(odd):
     got = bpe.decode(clashing, words)
     assert got.columns == ["doc_id", "other", "text"]
     assert sorted(map(str, got.select("doc_id", "text").collect())) == sorted(map(str, bpe.decode(encoded, words).collect()))
+
+
+def test_pieces_go_to_the_positions_of_their_ids():
+    """Blocks and the rows behind them, in batches of any size; ids without a piece are left out."""
+    pick, pieces = random.Random(5), {i: f"w{i}" for i in range(50) if i != 13}
+    lists = [None if k % 7 == 3 else [pick.randrange(50) for _ in range(pick.choice([0, 1, 5, 40]))] for k in range(60)]
+    table = pa.table({"name": pa.array(range(60)), "ids": pa.array(lists, pa.list_(pa.int32()))})
+    want = [(k, None if x is None else " ".join(pieces[i] for i in x if i != 13)) for k, x in enumerate(lists)]
+    for block_ids, rows, joined_rows in ((1, 1, 1), (30, 7, 3), (10**6, 60, 1000), (100, 4, 256)):
+        asked = pa.Table.from_batches(list(bpe._wanted("ids", block_ids)(iter(table.to_batches(rows)))))
+        found = pa.table([asked["id"], pa.array([pieces.get(i) for i in asked["id"].to_pylist()]), asked["n_wanted"], asked["block"]],
+                         ["id", "piece", "n_wanted", "block"]).combine_chunks()
+        out = pa.Table.from_batches(list(bpe._with_pieces("ids", ["name"])(iter(found.to_batches(joined_rows)))))
+        assert list(zip(out["name"].to_pylist(), out["text"].to_pylist())) == want
+        lost = max(k for k, i in enumerate(found["id"].to_pylist()) if i is not None)
+        left = found.take([k for k in range(found.num_rows) if k != lost]).combine_chunks()
+        with pytest.raises(ValueError):
+            list(bpe._with_pieces("ids", ["name"])(iter(left.to_batches(joined_rows))))
+
+
+def test_decoding_is_a_join_without_a_shuffle(spark):
+    words = vocabulary("word_bpe_49k.json")
+    encoded = spark.createDataFrame([(1, [5, 5, 10**6]), (2, None), (3, [])], "doc_id long, ids array<int>")
+    text = bpe.decode(encoded, words)
+    plan = text._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan
+    got = {r.doc_id: r.text for r in text.collect()}
+    piece = Tokenizer.from_str(words).id_to_token(5)
+    assert got == {1: f"{piece} {piece}", 2: None, 3: ""}
+    assert bpe.decode(encoded.where("false"), words).count() == 0
