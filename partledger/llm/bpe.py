@@ -25,7 +25,9 @@ from partledger.session import shared_dir
 
 BLOCK_CHARS = 8 << 20      # text of one block; a longer document is a block by itself
 BUCKET_WORDS = 300_000     # (block, word) pairs of one bucket, about
-BLOCK_IDS = 1 << 20        # ids of one block in decoding; a longer document is a block with those before it
+BLOCK_IDS = 1 << 18        # ids of one block in decoding; a longer document is a block with those before it
+
+ENCODED, WANTED = "doc_id long, ids array<int>", "id int, n_wanted int, block binary"
 
 _WORD = re.compile("[^\x20\x09-\x0d]+")
 # Printable ASCII and the Latin-1 letters: one code point each after NFC and lower-casing, and of
@@ -221,6 +223,23 @@ def encode(docs: DataFrame, definition: str, doc_id: str = "doc_id", text: str =
     other columns are not read. The tokenizer must encode words independently of the white space
     between them; one that does not is refused.
     """
+    blocks, place = _coded(docs, definition, doc_id, text)
+    return blocks.mapInArrow(place, ENCODED)
+
+
+def round_trip(docs: DataFrame, definition: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """``doc_id, ids, text``: ``encode``, then ``decode``, for every row of ``docs``, with the ids kept.
+
+    Rows and edge cases are those of the two; a null text comes back empty. Ids are put in their places and gathered
+    for decoding by one Python worker, which takes less memory than one after the other.
+    """
+    blocks, place = _coded(docs, definition, doc_id, text)
+    gather = _wanted("ids")
+    return _joined(blocks.mapInArrow(lambda batches: gather(place(batches)), WANTED), definition, "ids", ["doc_id", "ids"], ENCODED)
+
+
+def _coded(docs: DataFrame, definition: str, doc_id: str, text: str):
+    """Blocks of documents with the ids of their words, and the function that makes encoded rows of them."""
     check_words_stand_alone(definition)
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(definition)
@@ -233,8 +252,8 @@ def encode(docs: DataFrame, definition: str, doc_id: str = "doc_id", text: str =
         _encode_bucket(shared), "bucket long, block string, lengths binary, ids binary")
     parts = coded.groupBy("block").agg(F.collect_list(F.struct("bucket", "lengths", "ids")).alias("parts"))
     place = _place(bits)
-    return blocks.select("block", "docs", "sizes", "codes", "words").join(parts.hint("merge"), "block", "left").mapInArrow(
-        lambda b: _merged(place(b)), "doc_id long, ids array<int>")
+    coded_blocks = blocks.select("block", "docs", "sizes", "codes", "words").join(parts.hint("merge"), "block", "left")
+    return coded_blocks, lambda batches: _merged(place(batches))
 
 
 def _bucketed(df: DataFrame, key: str) -> DataFrame:
@@ -249,6 +268,8 @@ def _bucketed(df: DataFrame, key: str) -> DataFrame:
 
 def piece_table(spark: SparkSession, definition: str) -> DataFrame:
     """``id, piece``: as many rows as the vocabulary has."""
+    if json.loads(definition).get("decoder") is not None:
+        raise ValueError("only tokenizers whose pieces are joined by spaces are decoded here")
     tok = _tokenizer(definition)
     return spark.createDataFrame(sorted((i, p) for p, i in tok.get_vocab(True).items()), "id int, piece string")
 
@@ -263,16 +284,17 @@ def decode(encoded: DataFrame, definition: str, ids: str = "ids") -> DataFrame:
     an empty table gives an empty one. A text of any length is in one block. A column ``text`` that ``encoded`` has is
     replaced; other columns stay, whatever their names.
     """
-    spec = json.loads(definition)
-    if spec.get("decoder") is not None:
-        raise ValueError("only tokenizers whose pieces are joined by spaces are decoded here")
     encoded = encoded.drop(*[c for c in encoded.columns if c.lower() == "text" != ids])
     others = [f for f in encoded.schema.fields if f.name != ids]
-    wanted = encoded.mapInArrow(_wanted(ids), "id int, n_wanted int, block binary")
-    found = wanted.join(F.broadcast(piece_table(encoded.sparkSession, definition)), "id", "left")
     names = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in others)
+    return _joined(encoded.mapInArrow(_wanted(ids), WANTED), definition, ids, [f.name for f in others], names)
+
+
+def _joined(wanted: DataFrame, definition: str, ids: str, others: list[str], names: str) -> DataFrame:
+    """The columns ``others`` of the blocks, then ``text``."""
+    found = wanted.join(F.broadcast(piece_table(wanted.sparkSession, definition)), "id", "left")
     return found.select("id", "piece", "n_wanted", "block").mapInArrow(
-        _with_pieces(ids, [f.name for f in others]), f"{names}, text string" if others else "text string")
+        _with_pieces(ids, others), f"{names}, text string" if others else "text string")
 
 
 def _wanted(ids: str, block_ids: int = BLOCK_IDS):

@@ -20,11 +20,9 @@ def vocabulary(name: str) -> str:
 
 def op1_bpe_round_trip(spark: SparkSession, folder: str) -> DataFrame:
     docs, words = table(spark, folder, "documents"), vocabulary("word_bpe_49k.json")
-    encoded = bpe.encode(docs, words).select(
-        "doc_id", "ids", F.size("ids").cast("long").alias("n_tokens"),
-        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"))
-    return bpe.decode(encoded, words).select(
-        "doc_id", "n_tokens", "ids_sha256",
+    return bpe.round_trip(docs, words).select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
         F.sha2("text", 256).alias("decoded_sha256"))
 
 

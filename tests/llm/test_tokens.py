@@ -46,6 +46,8 @@ def test_bpe_round_trip(table, request, monkeypatch):
     got = sorted((str(r.doc_id), r.ids) for r in encoded.collect())
     assert got == sorted((str(r.doc_id), wanted("word_bpe_49k.json", r.text)) for r in docs.collect())
     texts = sorted((str(r.doc_id), r.text) for r in bpe.decode(encoded, WORDS).collect())
+    both = sorted((str(r.doc_id), r.ids, r.text) for r in bpe.round_trip(docs, WORDS).collect())
+    assert sorted((d, t) for d, _, t in both) == texts and sorted((d, ids) for d, ids, _ in both) == got
     assert texts == sorted((d, LIBRARY["word_bpe_49k.json"].decode(ids, skip_special_tokens=False)) for d, ids in got)
 
 
