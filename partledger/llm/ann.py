@@ -21,7 +21,7 @@ from partledger.llm.common import stored
 TABLES = 8
 PROBES = 16           # cells a query looks into, in each table, at first
 SEED = 11
-CELL_VECTORS = 4096   # a cell with more is split by the nearest axis of a second rotation
+CELL_VECTORS = None   # a cell with more is split by the nearest axis of a second rotation; None: no cell is
 SPLIT_SHARE = 4       # a query looks into one in so many parts of a split cell, the nearest ones
 ENOUGH = 256          # vectors a query must meet in one table; those that meet fewer look into more cells
 PART_ROWS = 4096      # vectors, or queries, of a cell that one group holds at most, about
@@ -112,7 +112,7 @@ def _rank(k: int):
 
 
 def nearest(rows: DataFrame, queries: DataFrame, k: int = 20, vec_id: str = "vec_id", vector: str = "embedding",
-            tables: int = TABLES, probes: int = PROBES, crowded: int = CELL_VECTORS, enough: int = ENOUGH) -> DataFrame:
+            tables: int = TABLES, probes: int = PROBES, crowded: int | None = CELL_VECTORS, enough: int = ENOUGH) -> DataFrame:
     """``query_id, rank, vec_id, score``: the k rows found nearest to each query, by inner product.
 
     Every row is indexed and every row is a candidate but those with the query's own id. Equal scores go
@@ -122,8 +122,8 @@ def nearest(rows: DataFrame, queries: DataFrame, k: int = 20, vec_id: str = "vec
     Equal vectors are indexed once, with the k + 1 smallest of their ids: their scores are the same, so
     no other of them can be among a query's k.
 
-    What a query looks into follows from the density round it. Cells of more than ``crowded`` vectors are split by
-    a second rotation, and a query looks into the nearest quarter of the parts. A query that meets fewer than
+    What a query looks into follows from the density round it, not from the size of the table. With ``crowded``, cells
+    of more vectors are split by a second rotation, and a query looks into the nearest quarter of the parts. A query that meets fewer than
     ``enough`` vectors in every table looks into four times as many cells, and so on up to all of one table,
     which hold every vector of its length: few candidates are all found.
     """
@@ -146,7 +146,9 @@ def nearest(rows: DataFrame, queries: DataFrame, k: int = 20, vec_id: str = "vec
     # Split cells have a number of their own for each part.
     whole = distinct.mapInArrow(_hasher(tables, 1, 0), kind.format("array<long>"))
     cells = stored(whole.groupBy(*place).agg(F.count(F.lit(1)).alias("vectors")), "cells")  # as many as axes, at most
-    part_of = F.when(F.col("vectors") > crowded, F.col("parts")).otherwise(F.array(F.lit(-1).cast("long")))
+    part_of = F.array(F.lit(-1).cast("long"))
+    if crowded is not None:
+        part_of = F.when(F.col("vectors") > crowded, F.col("parts")).otherwise(part_of)
 
     def parted(df: DataFrame) -> DataFrame:
         each = df.join(cells, place).withColumn("part", F.explode(part_of))
