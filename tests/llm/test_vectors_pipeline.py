@@ -91,6 +91,7 @@ def test_outliers_beside_a_cluster(spark, crowded):
 def test_large_cells_are_searched_whole(spark):
     """What is found in a cell does not change when the table has grown past some number of vectors."""
     random = np.random.default_rng(17)
+    assert ann.CELL_VECTORS is None  # no cell is split by its number of vectors
     centre = random.normal(size=16)
     cluster = centre + random.normal(size=(4800, 16)) * 0.25
     vectors = (cluster / np.linalg.norm(cluster, axis=1, keepdims=True)).astype(np.float32).tolist()
