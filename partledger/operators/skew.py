@@ -23,6 +23,8 @@ from partledger.session import shared_dir
 
 # A group of up to this many rows is ordinary work for one task.
 GROUP_ROWS = 2_000_000
+# Hash bands that rows are counted in before any key is: a key above the limit makes its band larger than the limit.
+BANDS = 4096
 
 
 @dataclass(frozen=True)
@@ -40,13 +42,31 @@ class HotKeys:
         return self.rows.agg(F.sum("_rows")).first()[0]
 
 
+def _bands(df: DataFrame, keys: Sequence[Sequence[str]], group_rows: int) -> list[list[int]]:
+    """For each set of key columns, the hash bands with more rows than the limit. One pass that moves a number per band."""
+    numbers = F.array(*[F.pmod(F.xxhash64(*ks), F.lit(BANDS)).cast("int") + i * BANDS for i, ks in enumerate(keys)])
+    counts = df.select(F.explode(numbers).alias("_band")).groupBy("_band").agg(F.count(F.lit(1)).alias("_rows"))
+    full = sorted(r[0] for r in counts.where(F.col("_rows") > group_rows).collect())  # at most the number of bands
+    return [[b % BANDS for b in full if b // BANDS == i] for i in range(len(keys))]
+
+
+def _in_bands(keys: Sequence[str], bands: Sequence[int]) -> Column:
+    return F.pmod(F.xxhash64(*keys), F.lit(BANDS)).cast("int").isin(list(bands))
+
+
 def find(df: DataFrame, keys: Sequence[str], group_rows: int = GROUP_ROWS) -> HotKeys | None:
     """Keys (null included) with more rows than the limit; None when there are none.
 
-    One pass over the key columns, whose counts are combined before their exchange. Tables of every
-    size are counted, against the same limit.
+    Rows are counted by hash band first; only keys of bands above the limit are counted one by one. Tables
+    of every size are counted, against the same limit.
     """
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")).where(F.col("_rows") > group_rows)
+    return _find_in(df, keys, _bands(df, [keys], group_rows)[0], group_rows)
+
+
+def _find_in(df: DataFrame, keys: Sequence[str], bands: Sequence[int], group_rows: int) -> HotKeys | None:
+    if not bands:
+        return None
+    counts = df.where(_in_bands(keys, bands)).groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")).where(F.col("_rows") > group_rows)
     path = shared_dir(df.sparkSession, "hot-keys")
     counts.write.parquet(path)
     found = df.sparkSession.read.schema(counts.schema).parquet(path)
@@ -54,15 +74,9 @@ def find(df: DataFrame, keys: Sequence[str], group_rows: int = GROUP_ROWS) -> Ho
 
 
 def find_each(df: DataFrame, columns: Sequence[str], group_rows: int = GROUP_ROWS) -> dict[str, HotKeys | None]:
-    """Hot values of each of some text columns, from one pass and one small table."""
-    one = F.explode(F.array(*[F.struct(F.lit(c).alias("name"), F.col(c).alias("key")) for c in columns])).alias("c")
-    counts = df.select(one).groupBy("c.name", "c.key").agg(F.count(F.lit(1)).alias("_rows")).where(F.col("_rows") > group_rows)
-    path = shared_dir(df.sparkSession, "hot-keys")
-    counts.write.parquet(path)
-    found = df.sparkSession.read.schema(counts.schema).parquet(path)
-    there = {r[0] for r in found.select("name").distinct().collect()}  # one row a column, at most
-    return {c: HotKeys(found.where(F.col("name") == c).select(F.col("key").alias(c), "_rows"), (c,), group_rows) if c in there else None
-            for c in columns}
+    """Hot values of each of some text columns, from one pass over the bands of all of them."""
+    bands = dict(zip(columns, _bands(df, [[c] for c in columns], group_rows)))
+    return {c: _find_in(df, [c], bands[c], group_rows) for c in columns}
 
 
 class Hot:
