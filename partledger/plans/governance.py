@@ -15,6 +15,7 @@ from partledger import schemas
 from partledger.context import RunContext
 from partledger.functions.columns import any_null, banded, percent
 from partledger.operators import skew
+from partledger.operators.rules import REASON
 from partledger.operators.skew import HotKeys
 from partledger.sources.files import file_stats
 
@@ -51,9 +52,17 @@ def freshness(tables: Sequence[tuple[str, DataFrame, str]]) -> DataFrame:
 
 def quarantine_rate(pairs: Sequence[tuple[str, DataFrame, DataFrame]]) -> DataFrame:
     """Share of rejected rows per table, from (table, clean, rejected)."""
-    tagged = _union([
+    return _rate(_union([
         side.select(F.lit(table).alias("table_name"), F.lit(bad).alias("bad"))
-        for table, clean, rejected in pairs for side, bad in ((clean, False), (rejected, True))])
+        for table, clean, rejected in pairs for side, bad in ((clean, False), (rejected, True))]))
+
+
+def judged_rate(tables: Sequence[tuple[str, DataFrame]]) -> DataFrame:
+    """``quarantine_rate`` from (table, its judged rows): each table is read and judged once."""
+    return _rate(_union([df.select(F.lit(table).alias("table_name"), F.col(REASON).isNotNull().alias("bad")) for table, df in tables]))
+
+
+def _rate(tagged: DataFrame) -> DataFrame:
     counted = tagged.groupBy("table_name").agg(
         F.count_if("bad").alias("rejected_rows"), F.count(F.lit(1)).alias("total_rows"))
     return counted.select("*", percent(F.col("rejected_rows"), F.col("total_rows")).alias("quarantine_pct"))
