@@ -15,13 +15,13 @@ from partledger import fixtures, schemas
 from partledger.context import CURRENCIES, RunContext
 from partledger.fixtures import DESIGN, PLANT
 from partledger.functions.columns import code, file_date
-from partledger.operators import history, merge, policy, rights, rules, sketches, skew
+from partledger.operators import history, merge, policy, rights, rules, sketches, skew, slices
 from partledger.operators.dedup import duplicate_keys, latest_per_key
 from partledger.operators.skew import Hot
 from partledger.plans import bronze, gold, governance, serving, silver, star
 from partledger.plans.run import SOURCES, Run, Sources
-from partledger.session import apply_settings, fit_partitions, shared_dir
-from partledger.sinks import Lake, bytes_of, compact, upsert_partitions, write_partitioned
+from partledger.session import apply_settings, drop_path, fit_partitions, shared_dir
+from partledger.sinks import Lake, bytes_of, compact, existing, upsert_partitions, write_partitioned
 from partledger.sources import arrivals, drift, files, incremental
 from partledger.streaming import jobs, state
 
@@ -33,7 +33,7 @@ class Plant:
     """The layers over one data folder, built on demand."""
 
     def __init__(self, spark: SparkSession, folder: str):
-        self.spark = apply_settings(spark)
+        self.spark = apply_settings(spark, tables=True)
         self.folder = folder
         self._bytes = 0
         fit_partitions(self.spark, 0)
@@ -109,27 +109,48 @@ class Plant:
     def fact(self):
         return gold.fact_bom_cost(self.lines, None, self.cost, self.hot)
 
-    @cached_property
-    def rollup(self):
-        self.ahead("bom_lines", "revisions", "cost")
-        return gold.assembly_rollup(self.bom, self.cost, hot=self.hot)
+    def with_totals(self, lines: DataFrame) -> DataFrame:
+        """Lines with their assembly's figures. ``lines`` has every line of an assembly that it has any of."""
+        bom = silver.with_current_revision(lines, self.revisions, self.hot)
+        rollup = gold.assembly_rollup(bom, self.cost, hot=self.hot)
+        return serving.with_needed_totals(lines.select("assembly_id", "part_id", "quantity"), self.cost, rollup, self.hot)
 
-    @cached_property
-    def lines_of_assemblies(self):
-        """Lines with their assembly's figures first and their part's revision after: the revision's columns are
-        joined where prices are, so they are not moved by assembly and then by part."""
-        self.ahead("bom_lines", "revisions", "cost")
-        lines = serving.with_needed_totals(self.bom_lines.select("assembly_id", "part_id", "quantity"), self.cost, self.rollup, self.hot)
-        return silver.with_open_revision(lines, self.revisions, self.hot)
+    def priced_assemblies(self, build: Callable[[DataFrame], DataFrame], dims: bool = False, store: bool = False) -> DataFrame:
+        """``build`` of the cost fact's rows with their assembly's figures, and with ``dims`` their part's.
 
-    @cached_property
-    def priced_assemblies(self):
-        return gold.fact_bom_cost(self.lines_of_assemblies, None, self.cost, self.hot)
-
-    @cached_property
-    def mart(self):
-        lines = serving.with_part(self.lines_of_assemblies, self.dim_part, self.hot)
-        return serving.mart_assembly_cost(gold.fact_bom_cost(lines, None, self.cost, self.hot), PLANT)
+        The assembly's figures come first and the revision's columns after, where prices are joined, so they are not moved
+        by assembly and then by part. Large tables go slice by slice, first by assembly, then by part: what a slice has
+        moved is gone before the next begins, and so are the lines it has used up. What is made of slices is a written
+        table; ``store`` asks for one in any case.
+        """
+        self.ahead("bom_lines", "revisions", "cost")
+        n = slices.how_many(bytes_of(self.bom_lines))
+
+        def priced(lines: DataFrame, revisions: DataFrame, cost: DataFrame) -> DataFrame:
+            lines = silver.with_open_revision(lines, revisions, self.hot, together=n > 1)
+            if dims:
+                lines = serving.with_part(lines, gold.dim_part(revisions, cost), self.hot)
+            return build(gold.fact_bom_cost(lines, None, cost, self.hot, together=n > 1))
+
+        if n == 1:
+            found = priced(self.with_totals(self.bom_lines), self.revisions, self.cost)
+            return self.stored("priced", found) if store else found
+        path, out = shared_dir(self.spark, "totals"), shared_dir(self.spark, "priced")
+        for i in range(n):
+            lines = self.with_totals(slices.of(self.bom_lines, "assembly_id", n, i))
+            lines.withColumn("_slice", slices.number("part_id", n)).write.partitionBy("_slice").parquet(f"{path}/assemblies={i}")
+        for i in range(n):
+            folders = existing(self.spark, f"{path}/assemblies=*/_slice={i}")
+            some = self.spark.read.schema(lines.schema).parquet(*folders) if folders else self.spark.createDataFrame([], lines.schema)
+            found = priced(some, *[slices.of(df, "part_id", n, i) for df in (self.revisions, self.cost)])
+            found.write.mode("append").parquet(out)
+            for folder in folders:
+                drop_path(self.spark, folder)
+        return self.spark.read.schema(found.schema).parquet(out)
+
+    def mart(self, last: Callable[[DataFrame], DataFrame] = lambda mart: mart, store: bool = False) -> DataFrame:
+        """The assembly mart, or what ``last`` takes of each of its rows."""
+        return self.priced_assemblies(lambda fact: last(serving.mart_assembly_cost(fact, PLANT)), dims=True, store=store)
 
     @cached_property
     def dim_part(self):
@@ -512,7 +533,7 @@ def supplier_performance(p):
 
 @query
 def vw_assembly_cost_dashboard(p):
-    return serving.assembly_cost_dashboard(p.priced_assemblies)
+    return p.priced_assemblies(serving.assembly_cost_dashboard)
 
 
 @query
@@ -537,7 +558,7 @@ def vw_cad_health(p):
 
 @query
 def mart_assembly_cost(p):
-    return p.mart
+    return p.mart()
 
 
 @query
@@ -578,7 +599,7 @@ def guarded_mart(p):
     """What four readers see through one view; groups are nested, two of them in a circle."""
     assembly = F.when(F.col("assembly_data_completeness") != "Incomplete", F.col("assembly_id"))
     mart, members, granted = (f"{n}_{uuid.uuid4().hex}" for n in ("mart", "members", "granted"))
-    p.stored("mart", p.mart.select(assembly.alias("assembly_id"), "part_id", "line_cost", "unit_cost")).createOrReplaceTempView(mart)
+    p.mart(lambda m: m.select(assembly.alias("assembly_id"), "part_id", "line_cost", "unit_cost"), store=True).createOrReplaceTempView(mart)
     p.spark.createDataFrame(MEMBERS, rights.MEMBERSHIPS).createOrReplaceTempView(members)
     rights.standard_rights(p.spark, mart, {"unit_cost": policy.COST_READERS}).createOrReplaceTempView(granted)
     seen = []
@@ -590,15 +611,16 @@ def guarded_mart(p):
 
 @query
 def masked_mart(p):
-    return policy.mask_columns(p.mart, {"unit_cost": policy.COST_READERS}, ["plm_engineers"]).select(
-        "assembly_id", "part_id", "supplier_name", "unit_cost", "part_revision")
+    return p.mart(lambda m: policy.mask_columns(m, {"unit_cost": policy.COST_READERS}, ["plm_engineers"]).select(
+        "assembly_id", "part_id", "supplier_name", "unit_cost", "part_revision"))
 
 
 @query
 def row_filtered_mart(p):
     # Lines of assemblies that are not released to the reader have no assembly id.
-    mart = p.mart.withColumn("assembly_id", F.when(F.col("assembly_data_completeness") != "Incomplete", F.col("assembly_id")))
-    return policy.filter_rows(mart, "assembly_id", ["procurement_team"]).select("assembly_id", "part_id", "line_cost")
+    assembly = F.when(F.col("assembly_data_completeness") != "Incomplete", F.col("assembly_id"))
+    return p.mart(lambda m: policy.filter_rows(m.withColumn("assembly_id", assembly), "assembly_id", ["procurement_team"]).select(
+        "assembly_id", "part_id", "line_cost"))
 
 
 @query
